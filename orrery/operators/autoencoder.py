@@ -1,0 +1,22 @@
+"""Autoencoder recommender pieces (D1–D11) as Spark jobs.
+
+Column standardisation is a per-item aggregate joined back; the network
+parts run NumPy inside ``mapInPandas`` over Arrow batches of user vectors.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def standardise(df: DataFrame, key: str, value: str, eps: float = 0.01, scale: float = 1.0,
+                offset: float = 0.0, out: str = "z") -> DataFrame:
+    """(x - mean) / sqrt(var_pop + eps) * scale + offset per ``key``.
+
+    Mean and population variance are algebraic aggregates; the per-key table
+    is joined back (Spark broadcasts it when its measured size is small).
+    """
+    st = df.groupBy(key).agg(F.avg(value).alias("_mu"), F.var_pop(value).alias("_var"))
+    z = (F.col(value) - F.col("_mu")) / F.sqrt(F.col("_var") + F.lit(eps)) * F.lit(scale) + F.lit(offset)
+    return df.join(st, key).withColumn(out, z).drop("_mu", "_var")
