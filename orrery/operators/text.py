@@ -140,7 +140,8 @@ class Corpus:
 
     @property
     def stemmed(self):
-        return self._m("st", lambda: stemmed_counts(token_counts(self.tokens)))
+        """Persisted: feeds the stem dictionary, term frequencies and vocabulary."""
+        return self._m("st", lambda: stemmed_counts(token_counts(self.tokens)).persist())
 
     @property
     def tf(self):
@@ -153,7 +154,8 @@ class Corpus:
 
     @property
     def weights(self):
-        return self._m("w", lambda: tfidf(self.tf, self.vocab, self.n_docs))
+        """Persisted: every clustering step and report reads it again."""
+        return self._m("w", lambda: tfidf(self.tf, self.vocab, self.n_docs).persist())
 
     @property
     def counts(self):

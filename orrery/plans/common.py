@@ -20,7 +20,31 @@ ROUND = 6
 
 
 def r6(col) -> "F.Column":
-    return F.round(col, ROUND)
+    """Round for comparison; ``+ 0.0`` turns a rounded -0.0 into 0.0."""
+    return F.round(col, ROUND) + F.lit(0.0)
+
+
+def _zero_safe_rounds(sql: str) -> str:
+    """Wrap every ``round(...)`` of the SQL text in ``(... + 0.0)`` so both
+    engines print a rounded negative zero as 0.0 (not nested)."""
+    out, i, key = [], 0, "round("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k = 0, j + len(key) - 1
+        while k < len(sql):
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            if depth == 0:
+                break
+            k += 1
+        out.append(sql[i:j] + "(" + sql[j:k + 1] + " + 0.0)")
+        i = k + 1
 
 
 @dataclass
@@ -38,7 +62,7 @@ def query(name: str, sql: str | None = None, ops: str = ""):
     def deco(fn):
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Query(name, fn, sql.strip() if sql else None, ops)
+        REGISTRY[name] = Query(name, fn, _zero_safe_rounds(sql.strip()) if sql else None, ops)
         return fn
     return deco
 

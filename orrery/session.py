@@ -62,6 +62,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
+    """Reliable checkpoint to the shared folder (never ``localCheckpoint``):
+    survives executor loss. The input is persisted for the duration so the
+    checkpoint write does not recompute it."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
