@@ -20,3 +20,204 @@ def standardise(df: DataFrame, key: str, value: str, eps: float = 0.01, scale: f
     st = df.groupBy(key).agg(F.avg(value).alias("_mu"), F.var_pop(value).alias("_var"))
     z = (F.col(value) - F.col("_mu")) / F.sqrt(F.col("_var") + F.lit(eps)) * F.lit(scale) + F.lit(offset)
     return df.join(st, key).withColumn(out, z).drop("_mu", "_var")
+
+
+# ------------------------------------------------------------------ network
+import math  # noqa: E402
+from dataclasses import dataclass  # noqa: E402
+
+import numpy as np  # noqa: E402
+import pandas as pd  # noqa: E402
+from pyspark.ml.functions import array_to_vector  # noqa: E402
+from pyspark.ml.stat import Summarizer  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+_CHUNK = 1024  # users per dense block inside a task
+
+
+@dataclass
+class AEConfig:
+    layers: int = 5          # hidden layers (the original's num_layer)
+    hidden: int = 128
+    act: str = "relu"        # or "sigmoid"
+    reg: str = "L1"          # "L1", "L2" or None
+    lam: float = 0.01        # the penalty is applied twice: lam * (lam * ||W||), ledger Q28
+    lr: float = 0.0005
+    epochs: int = 31
+    log_every: int = 5
+    seed: int = 0
+
+
+def init_params(num_v: int, cfg: AEConfig):
+    """Weights ~ N(0, 0.05), biases 0 (the original's initialisers)."""
+    rng = np.random.default_rng(cfg.seed)
+    shapes = [(num_v, cfg.hidden)] + [(cfg.hidden, cfg.hidden)] * (cfg.layers - 1) + [(cfg.hidden, num_v)]
+    ws = [rng.normal(0.0, 0.05, s) for s in shapes]
+    bs = [np.zeros(cfg.hidden) for _ in range(cfg.layers)]
+    return ws, bs
+
+
+def _act(z, kind):
+    return np.maximum(z, 0.0) if kind == "relu" else 1.0 / (1.0 + np.exp(-z))
+
+
+def _act_grad(z, h, kind):
+    return (z > 0).astype(z.dtype) if kind == "relu" else h * (1.0 - h)
+
+
+def forward(x: np.ndarray, ws, bs, kind: str):
+    """Hidden layers with activation and bias, linear output without bias."""
+    zs, hs, h = [], [x], x
+    for w, b in zip(ws[:-1], bs):
+        z = h @ w + b
+        h = _act(z, kind)
+        zs.append(z)
+        hs.append(h)
+    return h @ ws[-1], zs, hs
+
+
+def sse_and_grads(x: np.ndarray, ws, bs, kind: str):
+    """Masked squared error over the rated cells of ``x`` and its gradient."""
+    y, zs, hs = forward(x, ws, bs, kind)
+    mask = x != 0
+    err = np.where(mask, y - x, 0.0)
+    d = 2.0 * err
+    gw = [None] * len(ws)
+    gb = [None] * len(bs)
+    gw[-1] = hs[-1].T @ d
+    dh = d @ ws[-1].T
+    for i in range(len(bs) - 1, -1, -1):
+        dz = dh * _act_grad(zs[i], hs[i + 1], kind)
+        gw[i] = hs[i].T @ dz
+        gb[i] = dz.sum(axis=0)
+        dh = dz @ ws[i].T
+    return float((err * err).sum()), int(mask.sum()), gw, gb
+
+
+def penalty(ws, cfg: AEConfig):
+    """λ·(λ·Σ|W|) or λ·(λ·ΣW²/2) and its gradient (D6, ledger Q28)."""
+    if cfg.reg == "L1":
+        return cfg.lam * cfg.lam * sum(np.abs(w).sum() for w in ws), [cfg.lam * cfg.lam * np.sign(w) for w in ws]
+    if cfg.reg == "L2":
+        return cfg.lam * cfg.lam * sum((w * w).sum() / 2 for w in ws), [cfg.lam * cfg.lam * w for w in ws]
+    return 0.0, [np.zeros_like(w) for w in ws]
+
+
+def _flatten(gw, gb):
+    return np.concatenate([g.ravel() for g in gw] + [g.ravel() for g in gb])
+
+
+def _unflatten(flat, ws, bs):
+    out_w, out_b, i = [], [], 0
+    for w in ws:
+        out_w.append(flat[i:i + w.size].reshape(w.shape))
+        i += w.size
+    for b in bs:
+        out_b.append(flat[i:i + b.size].reshape(b.shape))
+        i += b.size
+    return out_w, out_b
+
+
+def _dense(pdf, num_v):
+    x = np.zeros((len(pdf), num_v))
+    for r, (codes, vals) in enumerate(zip(pdf["codes"], pdf["vals"])):
+        if codes is not None and len(codes):
+            x[r, np.asarray(codes, dtype=np.int64)] = np.asarray(vals, dtype=np.float64)
+    return x
+
+
+def user_vectors(ratings: DataFrame, codes: DataFrame, user="user_id", item="item_key") -> DataFrame:
+    """``user, codes, vals`` per user with ratings (D2, R22); users without
+    ratings do not appear (ledger Q26: keyed by user, not by row number)."""
+    j = ratings.join(codes, item)
+    return (j.groupBy(user).agg(F.sort_array(F.collect_list(F.struct(F.col("code").cast("int").alias("c"),
+                                                                      F.col("rating").alias("v")))).alias("cv"))
+            .select(user, F.col("cv.c").alias("codes"), F.col("cv.v").alias("vals")))
+
+
+def train_autoencoder(train_vecs: DataFrame, test_vecs: DataFrame | None, num_v: int, cfg: AEConfig,
+                      user="user_id"):
+    """Synchronous data-parallel Adam (D7 re-aimed): each epoch the weights are
+    broadcast, every task computes the masked error and gradient of its users
+    in dense blocks, ``Summarizer.sum`` adds the gradient vectors (map-side
+    combine), and the driver applies one Adam step. Returns the parameters and
+    the loss log every ``log_every`` epochs (D9): train loss = RMSE of the
+    penalised objective, test loss = mean over users of per-user RMSE (D8)."""
+    spark = train_vecs.sparkSession
+    sc = spark.sparkContext
+    ws, bs = init_params(num_v, cfg)
+    m = np.zeros(sum(w.size for w in ws) + sum(b.size for b in bs))
+    v = np.zeros_like(m)
+    b1, b2, eps = 0.9, 0.999, 1e-8
+    train_vecs = train_vecs.persist()
+    log = []
+    grad_schema = T.StructType([T.StructField("g", T.ArrayType(T.DoubleType())),
+                                T.StructField("sse", T.DoubleType()), T.StructField("n", T.LongType())])
+    for epoch in range(cfg.epochs):
+        bw = sc.broadcast((ws, bs))
+
+        def grads(batches, bw=bw):
+            w_, b_ = bw.value
+            for pdf in batches:
+                for s in range(0, len(pdf), _CHUNK):
+                    x = _dense(pdf.iloc[s:s + _CHUNK], num_v)
+                    sse, n, gw, gb = sse_and_grads(x, w_, b_, cfg.act)
+                    yield pd.DataFrame({"g": [_flatten(gw, gb)], "sse": [sse], "n": [n]})
+
+        tot = (train_vecs.mapInPandas(grads, grad_schema)
+               .agg(Summarizer.sum(array_to_vector("g")).alias("g"), F.sum("sse").alias("sse"),
+                    F.sum("n").alias("n")).first())
+        n = max(int(tot["n"] or 0), 1)
+        pen, pgrad = penalty(ws, cfg)
+        gw, gb = _unflatten(np.asarray(tot["g"].toArray()) / n, ws, bs)
+        g = _flatten([a + p for a, p in zip(gw, pgrad)], gb)
+        m = b1 * m + (1 - b1) * g
+        v = b2 * v + (1 - b2) * g * g
+        t = epoch + 1
+        step = cfg.lr * (m / (1 - b1 ** t)) / (np.sqrt(v / (1 - b2 ** t)) + eps)
+        flat = _flatten(ws, bs) - step
+        train_loss = math.sqrt(float(tot["sse"]) / n + pen)
+        ws, bs = _unflatten(flat, ws, bs)
+        bw.unpersist()
+        if epoch % cfg.log_every == 0:
+            test_loss = (mean_user_rmse_ae(train_vecs, test_vecs, num_v, ws, bs, cfg, user)
+                         if test_vecs is not None else float("nan"))
+            log.append((epoch, train_loss, test_loss))
+    train_vecs.unpersist()
+    return (ws, bs), log
+
+
+def predict_cells(train_vecs: DataFrame, test_vecs: DataFrame, num_v: int, ws, bs, cfg: AEConfig,
+                  user="user_id") -> DataFrame:
+    """Prediction of every test cell from the user's train vector."""
+    sc = train_vecs.sparkSession.sparkContext
+    bw = sc.broadcast((ws, bs))
+    j = (test_vecs.select(user, F.col("codes").alias("tc"), F.col("vals").alias("tv"))
+         .join(train_vecs, user, "left"))
+    schema = T.StructType([T.StructField(user, train_vecs.schema[user].dataType),
+                           T.StructField("code", T.IntegerType()), T.StructField("rating", T.DoubleType()),
+                           T.StructField("prediction", T.DoubleType())])
+
+    def fn(batches):
+        w_, b_ = bw.value
+        for pdf in batches:
+            for s in range(0, len(pdf), _CHUNK):
+                part = pdf.iloc[s:s + _CHUNK]
+                y, _, _ = forward(_dense(part, num_v), w_, b_, cfg.act)
+                us, cs, rs, ps = [], [], [], []
+                for r, (u, tc, tv) in enumerate(zip(part[user], part["tc"], part["tv"])):
+                    tc = np.asarray(tc, dtype=np.int64)
+                    us += [u] * len(tc)
+                    cs += tc.tolist()
+                    rs += list(tv)
+                    ps += y[r, tc].tolist()
+                yield pd.DataFrame({user: us, "code": cs, "rating": rs, "prediction": ps})
+
+    return j.mapInPandas(fn, schema)
+
+
+def mean_user_rmse_ae(train_vecs, test_vecs, num_v, ws, bs, cfg, user="user_id") -> float:
+    p = predict_cells(train_vecs, test_vecs, num_v, ws, bs, cfg, user)
+    r = (p.groupBy(user).agg(F.sqrt(F.avg(F.pow(F.col("rating") - F.col("prediction"), 2))).alias("r"))
+         .agg(F.avg("r")).first()[0])
+    return float(r) if r is not None else float("nan")

@@ -15,14 +15,20 @@ Plan (no self-join on the row key, so no pair rows are ever shuffled):
 
 1. Row sizes ``m`` by an algebraic count; a row with ``m > hot_threshold``
    (one user with a third of the data) is *hot*. Its columns are hashed
-   into ``ceil(m / hot_threshold)`` column blocks and its entries are
-   replicated to every block pair, so each task sees at most about
-   ``2 * hot_threshold`` entries of that row. Cold rows are not replicated.
+   into the next power of two ≥ ``m / hot_threshold`` column blocks and its
+   entries are replicated to every block pair, so each task sees at most
+   about ``2 * hot_threshold`` entries of that row. Powers of two keep the
+   number of distinct blockings logarithmic, so a pair gets few partials.
+   Cold rows are not replicated.
+   If rows are long on average (``dense_row_length``), all rows share one
+   blocking of about ``block_cols`` columns per block instead.
 2. Entries are hash-partitioned by ``(row chunk, block pair)``; a row chunk
    holds about ``rows_per_task`` entries.
 3. In each task NumPy joins left and right entries on the row key, forms the
    pair contributions in bounded slices and sums them per pair, so a task
-   emits at most one partial row per distinct pair.
+   emits at most one partial row per distinct pair. When the block is dense
+   (few long rows, e.g. terms × documents) the same sums come from dense
+   matrix products instead.
 4. Spark sums the partials per pair (map-side combine, then one shuffle).
 
 Sums are in float64: exact when values are integers below 2**53 (doubled
@@ -43,6 +49,11 @@ STATS = ("n", "sx", "sy", "sxy", "sxx", "syy")
 
 # Upper bound of pair contributions materialised at once inside a task.
 _SLICE_PAIRS = 2_000_000
+# Dense block products are used when the dense matrices stay below this many
+# cells and cost at most this many multiply-adds per sparse pair contribution.
+_DENSE_CELLS = 16_000_000
+_DENSE_COLS = 4096
+_DENSE_FLOPS_PER_PAIR = 64
 
 
 def _pair_slices(counts: np.ndarray, cap: int):
@@ -57,7 +68,8 @@ def _pair_slices(counts: np.ndarray, cap: int):
         yield s, e
 
 
-def _block_product(pdf: pd.DataFrame, stats, include_self: bool) -> pd.DataFrame:
+def _block_product(pdf: pd.DataFrame, stats, include_self: bool,
+                   dense_flops_per_pair: float = _DENSE_FLOPS_PER_PAIR) -> pd.DataFrame:
     b1 = int(pdf["_b1"].iat[0])
     b2 = int(pdf["_b2"].iat[0])
     if b1 == b2:
@@ -85,6 +97,13 @@ def _block_product(pdf: pd.DataFrame, stats, include_self: bool) -> pd.DataFrame
     counts = np.searchsorted(rr, lr, "right") - starts
     ncol = np.int64(len(col_keys))
 
+    n_rows = int(row_codes.max()) + 1
+    n_pairs = int(counts.sum())
+    cells = n_rows * len(col_keys)
+    if (cells <= _DENSE_CELLS and len(col_keys) <= _DENSE_COLS
+            and n_rows * float(len(col_keys)) ** 2 <= dense_flops_per_pair * max(n_pairs, 1)):
+        return _dense_block(lr, lc, lv, rr, rc, rv, n_rows, col_keys, b1 == b2, stats, include_self)
+
     part_keys, part_sums = [], []
     for s, e in _pair_slices(counts, _SLICE_PAIRS):
         cnt = counts[s:e]
@@ -139,9 +158,52 @@ def _block_product(pdf: pd.DataFrame, stats, include_self: bool) -> pd.DataFrame
     return pd.DataFrame(out)
 
 
+def _dense_block(lr, lc, lv, rr, rc, rv, n_rows, col_keys, diagonal, stats, include_self):
+    """Same statistics by dense products when the block is dense enough:
+    with masks M and values X of the two sides, n = MᵀM, Σxy = XᵀX,
+    Σx = XᵀM, Σy = MᵀX, Σx² = (X²)ᵀM, Σy² = Mᵀ(X²)."""
+    ncol = len(col_keys)
+    xl = np.zeros((n_rows, ncol))
+    ml = np.zeros((n_rows, ncol))
+    xl[lr, lc] = lv
+    ml[lr, lc] = 1.0
+    if diagonal:
+        xr, mr = xl, ml
+    else:
+        xr = np.zeros((n_rows, ncol))
+        mr = np.zeros((n_rows, ncol))
+        xr[rr, rc] = rv
+        mr[rr, rc] = 1.0
+    n = ml.T @ mr
+    prods = {"n": lambda: n, "sxy": lambda: xl.T @ xr, "sx": lambda: xl.T @ mr,
+             "sy": lambda: ml.T @ xr, "sxx": lambda: (xl * xl).T @ mr, "syy": lambda: ml.T @ (xr * xr)}
+    if diagonal:
+        a, b = np.nonzero(np.triu(n > 0, k=0 if include_self else 1))
+        out = {"c1": col_keys.take(a), "c2": col_keys.take(b)}
+        for st in stats:
+            m = prods[st]()
+            out[st] = np.rint(m[a, b]).astype(np.int64) if st == "n" else m[a, b]
+        return pd.DataFrame(out)
+    a, b = np.nonzero(n > 0)
+    swap = a > b
+    lo, hi = np.where(swap, b, a), np.where(swap, a, b)
+    out = {"c1": col_keys.take(lo), "c2": col_keys.take(hi)}
+    mats = {st: prods[st]() for st in stats}
+    partner = {"sx": "sy", "sy": "sx", "sxx": "syy", "syy": "sxx"}
+    for st in stats:
+        v = mats[st][a, b]
+        if st in partner:
+            other = mats[partner[st]] if partner[st] in mats else prods[partner[st]]()
+            v = np.where(swap, other[a, b], v)
+        out[st] = np.rint(v).astype(np.int64) if st == "n" else v
+    return pd.DataFrame(out)
+
+
 def pair_stats(df: DataFrame, row: str, col: str, value: str | None = None,
                stats=STATS, include_self: bool = False, hot_threshold: int = 2048,
-               rows_per_task: int = 400_000, hot_broadcast_limit: int = 200_000) -> DataFrame:
+               rows_per_task: int = 400_000, hot_broadcast_limit: int = 200_000,
+               dense_row_length: int = 256, block_cols: int = 2048,
+               dense_flops_per_pair: float = _DENSE_FLOPS_PER_PAIR) -> DataFrame:
     """Columns ``c1, c2`` and the requested ``stats`` for pairs sharing a row.
 
     ``c1 < c2``; with ``include_self`` also ``c1 == c2`` (then x == y).
@@ -156,23 +218,34 @@ def pair_stats(df: DataFrame, row: str, col: str, value: str | None = None,
     base = df.select(F.col(row).alias("_r"), F.col(col).alias("_c"), val.alias("_v"))
 
     sizes = base.groupBy("_r").agg(F.count(F.lit(1)).alias("_m"))
-    summ = sizes.agg(F.sum("_m").alias("total"), F.max("_m").alias("mx")).first()
+    summ = sizes.agg(F.sum("_m").alias("total"), F.max("_m").alias("mx"),
+                     F.count(F.lit(1)).alias("rows")).first()
     total = int(summ["total"] or 0)
     max_m = int(summ["mx"] or 0)
+    n_rows = max(int(summ["rows"] or 0), 1)
     n_chunks = max(1, math.ceil(total / rows_per_task))
 
-    if max_m > hot_threshold:
+    if total / n_rows >= dense_row_length:
+        # Dense regime (long rows on average, e.g. terms × documents): one
+        # uniform column blocking for all rows, so each pair lives in exactly
+        # one block pair and the in-task products can be dense.
+        n_cols = int(base.agg(F.approx_count_distinct("_c").alias("c")).first()["c"] or 1)
+        nb = F.lit(max(1, math.ceil(n_cols / block_cols)))
+        hot_rows = False
+    elif max_m > hot_threshold:
         hot = (sizes.where(F.col("_m") > hot_threshold)
-               .select("_r", F.ceil(F.col("_m") / F.lit(hot_threshold)).cast("int").alias("_nb")))
+               .select("_r", F.pow(F.lit(2), F.ceil(F.log2(F.col("_m") / F.lit(hot_threshold))))
+                       .cast("int").alias("_nb")))
         # Broadcast only below a counted bound; beyond it a shuffle join,
         # which AQE splits if the hot keys skew it.
         if hot.count() <= hot_broadcast_limit:
             hot = F.broadcast(hot)
         base = base.join(hot, "_r", "left")
         nb = F.coalesce(F.col("_nb"), F.lit(1))
+        hot_rows = True
     else:
         nb = F.lit(1)
-    hot_rows = max_m > hot_threshold
+        hot_rows = False
 
     cb = F.pmod(F.xxhash64(F.col("_c")), nb.cast("bigint")).cast("int")
     entries = (base.withColumn("_cb", cb)
@@ -187,7 +260,7 @@ def pair_stats(df: DataFrame, row: str, col: str, value: str | None = None,
     schema = T.StructType(fields)
 
     def fn(pdf):
-        return _block_product(pdf, stats, include_self)
+        return _block_product(pdf, stats, include_self, dense_flops_per_pair)
 
     partial = entries.groupBy("_k", "_b1", "_b2").applyInPandas(fn, schema)
     if n_chunks == 1 and not hot_rows:

@@ -1,0 +1,47 @@
+"""Registered autoencoder queries (D2–D9, D11, W9); rows-only checks plus
+property tests (the fit is stochastic)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from orrery.operators import autoencoder as AE
+from orrery.operators.ordered import dense_index
+from orrery.plans.common import Inputs, query
+
+CFG = AE.AEConfig(layers=2, hidden=32, act="relu", reg="L1", lam=0.01, lr=0.01, epochs=11, log_every=5)
+
+
+def _vectors(spark, sf_dir):
+    train, test = Inputs(spark, sf_dir).split(dense=True)
+    keys = train.select("item_key").unionByName(test.select("item_key"))
+    codes = dense_index(keys, "item_key", "code")
+    num_v = int(codes.agg(F.max("code")).first()[0]) + 1
+    return (AE.user_vectors(train, codes), AE.user_vectors(test, codes), codes, num_v)
+
+
+@query("autoencoder_fit", ops="D4 D5 D6 D7 D8 D9")
+def autoencoder_fit(spark, sf_dir):
+    tr, te, _, num_v = _vectors(spark, sf_dir)
+    _, log = AE.train_autoencoder(tr, te, num_v, CFG)
+    return spark.createDataFrame(log, "epoch int, train_loss double, test_loss double")
+
+
+@query("autoencoder_predict", ops="D4 D8 W3")
+def autoencoder_predict(spark, sf_dir):
+    tr, te, codes, num_v = _vectors(spark, sf_dir)
+    (ws, bs), _ = AE.train_autoencoder(tr, None, num_v, CFG)
+    p = AE.predict_cells(tr, te, num_v, ws, bs, CFG)
+    return p.join(codes, "code").select("user_id", "item_key", "rating", "prediction")
+
+
+@query("autoencoder_sweep", ops="D11 W9")
+def autoencoder_sweep(spark, sf_dir):
+    tr, te, _, num_v = _vectors(spark, sf_dir)
+    rows = []
+    for layers in (1, 2, 3):
+        cfg = AE.AEConfig(**{**CFG.__dict__, "layers": layers})
+        _, log = AE.train_autoencoder(tr, te, num_v, cfg)
+        rows += [(layers, e, trl, tel) for e, trl, tel in log]
+    runs = spark.createDataFrame(rows, "layers int, epoch int, train_loss double, test_loss double")
+    return runs.groupBy("layers").pivot("epoch", sorted({r[1] for r in rows})).agg(F.first("test_loss"))

@@ -1,0 +1,20 @@
+import datetime as dt
+import os
+
+from orrery.streaming import ratings_stream as RS
+
+
+def test_item_average_stream_matches_batch(spark, tmpdir_session):
+    src = os.path.join(tmpdir_session, "stream_src")
+    rows = [(u, i, float(1 + (u + i) % 5), dt.datetime(2001, 1, 1 + u % 3)) for u in range(20) for i in range(5)]
+    df = spark.createDataFrame(rows, RS.RATING_SCHEMA)
+    df.repartition(4).write.mode("overwrite").parquet(src)
+    q = (RS.item_average_stream(RS.rating_stream(spark, src))
+         .writeStream.outputMode("complete").format("memory").queryName("item_avg_test").start())
+    q.processAllAvailable()
+    q.stop()
+    got = {r["item_id"]: (r["n_ratings"], r["item_avg"]) for r in spark.sql("SELECT * FROM item_avg_test").collect()}
+    want = {r["item_id"]: (r["n"], r["a"]) for r in
+            df.groupBy("item_id").agg({"*": "count", "rating": "avg"})
+            .withColumnRenamed("count(1)", "n").withColumnRenamed("avg(rating)", "a").collect()}
+    assert got == want
