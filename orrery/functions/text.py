@@ -35,7 +35,8 @@ _BASE_RULES_HEAD = [
     ("^(.*[aeiouy].*)(at|bl|iz)(ed|edly|ing|ingly)$", "{1}{2}e"),
 ]
 _BASE_RULES_TAIL = [
-    ("^(.*[aeiouy].*)(ed|edly|ing|ingly)$", "{1}"),
+    ("^(.*[aeiouy].*[^e])(ed|edly)$", "{1}"),
+    ("^(.*[aeiouy].*)(ing|ingly)$", "{1}"),
     ("^(.+[^aeiouy])y$", "{1}i"),
 ]
 # --------------------------------------------------------------------------

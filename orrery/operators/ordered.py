@@ -45,16 +45,16 @@ def dense_index(df: DataFrame, key: str, out: str = "idx", partitions: int | Non
     order = F.col(key).desc() if descending else F.col(key).asc()
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
     ranged = (keys.repartitionByRange(p, order).sortWithinPartitions(order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
+              .withColumn("__ord_pid", F.spark_partition_id())
+              .withColumn("__ord_mid", F.monotonically_increasing_id()))
     ranged = cut_lineage(ranged)
-    stats = {r["_pid"]: (r["c"], r["lo"]) for r in
-             ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("c"),
-                                        F.min("_mid").alias("lo")).collect()}
+    stats = {r["__ord_pid"]: (r["c"], r["lo"]) for r in
+             ranged.groupBy("__ord_pid").agg(F.count(F.lit(1)).alias("c"),
+                                        F.min("__ord_mid").alias("lo")).collect()}
     offsets = _offset_map({k: v[0] for k, v in stats.items()})
     lows = F.create_map(*[x for k in sorted(stats) for x in (F.lit(k), F.lit(stats[k][1]))])
-    return ranged.select(key, (F.element_at(offsets, F.col("_pid"))
-                               + F.col("_mid") - F.element_at(lows, F.col("_pid"))).alias(out))
+    return ranged.select(key, (F.element_at(offsets, F.col("__ord_pid"))
+                               + F.col("__ord_mid") - F.element_at(lows, F.col("__ord_pid"))).alias(out))
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending: bool = True,
@@ -64,10 +64,10 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending:
     p = _partitions(df, partitions)
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     ranged = (df.repartitionByRange(p, order).sortWithinPartitions(order)
-              .withColumn("_pid", F.spark_partition_id()))
+              .withColumn("__ord_pid", F.spark_partition_id()))
     ranged = cut_lineage(ranged)
-    tot = {r["_pid"]: [r[c] for c in sum_cols] for r in
-           ranged.groupBy("_pid").agg(*[F.sum(c).alias(c) for c in sum_cols]).collect()}
+    tot = {r["__ord_pid"]: [r[c] for c in sum_cols] for r in
+           ranged.groupBy("__ord_pid").agg(*[F.sum(c).alias(c) for c in sum_cols]).collect()}
     base, acc = {}, np.zeros(len(sum_cols))
     for pid in sorted(tot):
         base[pid] = acc.copy()
@@ -82,7 +82,7 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending:
         for pdf in batches:
             if pdf.empty:
                 continue
-            pid = int(pdf["_pid"].iat[0])
+            pid = int(pdf["__ord_pid"].iat[0])
             if carry is None:
                 carry = base.get(pid, np.zeros(len(sum_cols)))
             vals = pdf[sum_cols].to_numpy(np.float64)
@@ -92,4 +92,4 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending:
                 pdf[f"cum_{c}"] = cum[:, j]
             yield pdf
 
-    return ranged.mapInPandas(fn, schema).drop("_pid")
+    return ranged.mapInPandas(fn, schema).drop("__ord_pid")

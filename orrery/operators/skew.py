@@ -16,10 +16,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _hot(df: DataFrame, keys: list[str], threshold: int, name: str, limit: int):
-    h = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-         .where(F.col("_n") > threshold)
-         .select(*keys, F.ceil(F.col("_n") / F.lit(threshold)).cast("int").alias(name)))
+def _hot_keys(left: DataFrame, right: DataFrame, keys: list[str], threshold: int, limit: int):
+    """Keys with more than ``threshold`` rows on either side, with the salt
+    count of each side, found in one aggregation; broadcast below ``limit``."""
+    tagged = (left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_rr"))
+              .unionByName(right.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_rr"))))
+    h = (tagged.groupBy(*keys).agg(F.sum("_l").alias("_nl"), F.sum("_rr").alias("_nr"))
+         .where((F.col("_nl") > threshold) | (F.col("_nr") > threshold))
+         .select(*keys,
+                 F.greatest(F.lit(1), F.ceil(F.col("_nl") / F.lit(threshold))).cast("int").alias("_sl"),
+                 F.greatest(F.lit(1), F.ceil(F.col("_nr") / F.lit(threshold))).cast("int").alias("_sr")))
     n = h.count()
     if n == 0:
         return None
@@ -35,30 +41,26 @@ def fanout_join(left: DataFrame, right: DataFrame, keys: list[str] | str,
     key's rows over salts (hash of it); default is a hash of all columns.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    hl = _hot(left, keys, hot_threshold, "_sl", broadcast_limit)
-    hr = _hot(right, keys, hot_threshold, "_sr", broadcast_limit)
-    if hl is None and hr is None:
+    hot = _hot_keys(left, right, keys, hot_threshold, broadcast_limit)
+    if hot is None:
         return left.join(right, keys)
 
-    def spread(df, cols):
-        return F.xxhash64(*[F.col(c) for c in cols])
+    lcols = [left_tiebreak] if left_tiebreak else list(left.columns)
+    rcols = [right_tiebreak] if right_tiebreak else list(right.columns)
 
-    lcols = [left_tiebreak] if left_tiebreak else [c for c in left.columns]
-    rcols = [right_tiebreak] if right_tiebreak else [c for c in right.columns]
+    def salted(df):
+        return (df.join(hot, keys, "left")
+                .withColumn("_sl", F.coalesce(F.col("_sl"), F.lit(1)))
+                .withColumn("_sr", F.coalesce(F.col("_sr"), F.lit(1))))
 
-    l2, r2 = left, right
-    for side_hot, name in ((hl, "_sl"), (hr, "_sr")):
-        if side_hot is None:
-            l2 = l2.withColumn(name, F.lit(1))
-            r2 = r2.withColumn(name, F.lit(1))
-        else:
-            l2 = l2.join(side_hot, keys, "left").withColumn(name, F.coalesce(F.col(name), F.lit(1)))
-            r2 = r2.join(side_hot, keys, "left").withColumn(name, F.coalesce(F.col(name), F.lit(1)))
-    # left rows: own salt a from hash, replicated over the right side's salts b
-    l2 = (l2.withColumn("_a", F.pmod(spread(l2, lcols), F.col("_sl").cast("bigint")).cast("int"))
+    # left rows: own salt a from a hash, replicated over the right side's salts b
+    l2 = salted(left)
+    l2 = (l2.withColumn("_a", F.pmod(F.xxhash64(*[F.col(c) for c in lcols]),
+                                     F.col("_sl").cast("bigint")).cast("int"))
           .withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("_sr") - 1))))
-    r2 = (r2.withColumn("_b", F.pmod(spread(r2, rcols), F.col("_sr").cast("bigint")).cast("int"))
+    r2 = salted(right)
+    r2 = (r2.withColumn("_b", F.pmod(F.xxhash64(*[F.col(c) for c in rcols]),
+                                     F.col("_sr").cast("bigint")).cast("int"))
           .withColumn("_a", F.explode(F.sequence(F.lit(0), F.col("_sl") - 1))))
-    l2 = l2.drop("_sl", "_sr")
-    r2 = r2.drop("_sl", "_sr")
-    return l2.join(r2, keys + ["_a", "_b"]).drop("_a", "_b")
+    return (l2.drop("_sl", "_sr").join(r2.drop("_sl", "_sr"), keys + ["_a", "_b"])
+            .drop("_a", "_b"))

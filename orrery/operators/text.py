@@ -9,7 +9,7 @@ Stems are computed once per distinct token and joined back.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.functions import text as TX
@@ -19,12 +19,24 @@ from orrery.operators.gram import pair_stats
 BROADCAST_ROWS = 2_000_000
 
 
+def spread(df: DataFrame, key: str = "doc_id", min_partitions: int | None = None) -> DataFrame:
+    """Hash-repartition by document only when the scan gives fewer partitions
+    than the cluster's parallelism (e.g. one large row group): tokenising is
+    CPU work per document and must not run in a handful of tasks, and the
+    per-document counts and norms downstream then reuse this partitioning.
+    Large inputs already arrive in many splits and are left as they are."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want, key)
+    return df
+
+
 def english_documents(documents: DataFrame) -> DataFrame:
     """The corpus: English documents; rank = doc order, title from source and id."""
-    return (documents.where(F.col("lang") == "en")
-            .select("doc_id",
-                    F.concat(F.col("source"), F.lit("#"), F.col("doc_id").cast("string")).alias("title"),
-                    "text"))
+    return spread(documents.where(F.col("lang") == "en")
+                  .select("doc_id",
+                          F.concat(F.col("source"), F.lit("#"), F.col("doc_id").cast("string")).alias("title"),
+                          "text"))
 
 
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -51,7 +63,8 @@ def stem_map(counts: DataFrame) -> DataFrame:
 
 def stemmed_counts(counts: DataFrame) -> DataFrame:
     """Token counts with their stem; the stem map is broadcast below a counted size."""
-    return counts.join(_maybe_broadcast(stem_map(counts)), "token")
+    sm = stem_map(counts).persist()
+    return counts.join(_maybe_broadcast(sm), "token")
 
 
 def stem_to_word(stemmed: DataFrame) -> DataFrame:
@@ -95,9 +108,10 @@ def tfidf(tf: DataFrame, vocab: DataFrame, n_docs: int) -> DataFrame:
     """
     w = (tf.join(F.broadcast(idf_table(vocab, n_docs)), "term")
          .select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("raw")))
-    norms = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return (w.join(norms, "doc_id")
-            .select("doc_id", "term", (F.col("raw") / F.col("norm")).alias("weight")))
+    # A document's weights are bounded by the vocabulary size, so the
+    # per-document window is bounded; it reuses the doc partitioning of tf.
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("doc_id")))
+    return w.select("doc_id", "term", (F.col("raw") / norm).alias("weight"))
 
 
 def scaled(weights: DataFrame, factor: int = 1000) -> DataFrame:
@@ -138,14 +152,21 @@ class Corpus:
     def tokens(self):
         return self._m("tok", lambda: tokens(self.docs))
 
+    @property
+    def token_counts(self):
+        """Persisted: the only pass over the raw texts; every later step
+        (stem map size check, stems, vocabulary) reads these counts."""
+        return self._m("tc", lambda: token_counts(self.tokens).persist())
+
     @property
     def stemmed(self):
         """Persisted: feeds the stem dictionary, term frequencies and vocabulary."""
-        return self._m("st", lambda: stemmed_counts(token_counts(self.tokens)).persist())
+        return self._m("st", lambda: stemmed_counts(self.token_counts).persist())
 
     @property
     def tf(self):
-        return self._m("tf", lambda: term_frequencies(self.stemmed))
+        """Persisted: read by the vocabulary and by the weights."""
+        return self._m("tf", lambda: term_frequencies(self.stemmed).persist())
 
     @property
     def vocab(self):

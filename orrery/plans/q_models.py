@@ -115,7 +115,7 @@ cw AS (SELECT c.cluster, p.term, sum(p.weight) / sz.n AS weight
        FROM w p JOIN clusters c ON p.doc_id = c.doc_id JOIN sz ON sz.cluster = c.cluster
        GROUP BY c.cluster, p.term, sz.n),
 top AS (SELECT cluster, term, weight,
-               row_number() OVER (PARTITION BY cluster ORDER BY weight DESC, term) AS term_rank FROM cw)
+               row_number() OVER (PARTITION BY cluster ORDER BY round(weight, 9) DESC, term) AS term_rank FROM cw)
 SELECT t.cluster, t.term_rank, t.term, s.word, round(t.weight, 6) AS weight
 FROM top t JOIN s2w s ON t.term = s.stem WHERE t.term_rank <= 6""")
 def cluster_terms(spark, sf_dir):

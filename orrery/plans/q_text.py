@@ -46,8 +46,7 @@ def tokens(spark, sf_dir):
 
 @query("stem_vocab", ops="T4", sql=SQL_TEXT + "SELECT token, stem FROM stm")
 def stem_vocab(spark, sf_dir):
-    c = corpus(spark, sf_dir)
-    return TXT.stem_map(TXT.token_counts(c.tokens))
+    return TXT.stem_map(corpus(spark, sf_dir).token_counts)
 
 
 @query("stem_to_word", ops="T5 A14", sql=SQL_TEXT + "SELECT stem, word FROM s2w")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orrery.operators.ordered import dense_index
+from orrery.session import cut_lineage
 
 RATINGS_SCHEMA = T.StructType([
     T.StructField("userId", T.IntegerType()), T.StructField("movieId", T.IntegerType()),
@@ -73,8 +74,10 @@ def read_dat(spark, path) -> DataFrame:
 
 
 def with_source_order(df: DataFrame, out: str = "rank") -> DataFrame:
-    """0-based position of each record in source order."""
-    tagged = df.withColumn("_mid", F.monotonically_increasing_id())
+    """0-based position of each record in source order (W7). The tagged
+    relation is checkpointed first: the id is not deterministic across
+    differently pruned scans, so both uses must read the same tags."""
+    tagged = cut_lineage(df.withColumn("_mid", F.monotonically_increasing_id()))
     idx = dense_index(tagged, "_mid", out)
     return tagged.join(idx, "_mid").drop("_mid")
 
@@ -103,4 +106,6 @@ def read_vector_shards(spark, path, width: int, key: str = "user_id",
     """A folder of fixed-length vector shards (S7); every vector must have
     ``width`` entries (``assert_true`` fails the job otherwise)."""
     df = spark.read.parquet(path)
-    return df.withColumn("_ok", F.assert_true(F.size(vec) == width)).drop("_ok")
+    # assert_true returns NULL or fails the task; as a filter predicate it
+    # cannot be pruned away like an unused column.
+    return df.where(F.assert_true(F.size(vec) == width).isNull())
