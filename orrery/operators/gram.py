@@ -223,14 +223,20 @@ def pair_stats(df: DataFrame, row: str, col: str, value: str | None = None,
     total = int(summ["total"] or 0)
     max_m = int(summ["mx"] or 0)
     n_rows = max(int(summ["rows"] or 0), 1)
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
     n_chunks = max(1, math.ceil(total / rows_per_task))
 
     if total / n_rows >= dense_row_length:
         # Dense regime (long rows on average, e.g. terms × documents): one
         # uniform column blocking for all rows, so each pair lives in exactly
-        # one block pair and the in-task products can be dense.
+        # one block pair and the in-task products can be dense. Parallelism
+        # comes from the block pairs (at least one per core), not from more
+        # row chunks, which would repeat nearly every pair once per chunk.
         n_cols = int(base.agg(F.approx_count_distinct("_c").alias("c")).first()["c"] or 1)
-        nb = F.lit(max(1, math.ceil(n_cols / block_cols)))
+        nb_i = max(1, math.ceil(n_cols / block_cols))
+        while nb_i * (nb_i + 1) // 2 < parallelism and nb_i < n_cols:
+            nb_i += 1
+        nb = F.lit(nb_i)
         hot_rows = False
     elif max_m > hot_threshold:
         hot = (sizes.where(F.col("_m") > hot_threshold)
@@ -246,6 +252,10 @@ def pair_stats(df: DataFrame, row: str, col: str, value: str | None = None,
     else:
         nb = F.lit(1)
         hot_rows = False
+    if not (total / n_rows >= dense_row_length):
+        # Sparse regime: at least one row chunk per core so the block
+        # products spread; extra chunks only add partials the final sum merges.
+        n_chunks = max(parallelism, n_chunks)
 
     cb = F.pmod(F.xxhash64(F.col("_c")), nb.cast("bigint")).cast("int")
     entries = (base.withColumn("_cb", cb)
@@ -262,9 +272,14 @@ def pair_stats(df: DataFrame, row: str, col: str, value: str | None = None,
     def fn(pdf):
         return _block_product(pdf, stats, include_self, dense_flops_per_pair)
 
-    partial = entries.groupBy("_k", "_b1", "_b2").applyInPandas(fn, schema)
+    # The block products are CPU work on few bytes: an explicit partition
+    # count keeps AQE from coalescing them into a couple of tasks, and the
+    # grouping below reuses this partitioning (no second shuffle).
+    n_parts = max(parallelism, n_chunks)
+    partial = (entries.repartition(n_parts, "_k", "_b1", "_b2")
+               .groupBy("_k", "_b1", "_b2").applyInPandas(fn, schema))
     if n_chunks == 1 and not hot_rows:
-        return partial
+        return partial  # every pair is emitted by exactly one group
     aggs = [F.sum(st).alias(st) for st in stats]
     return partial.groupBy("c1", "c2").agg(*aggs)
 

@@ -1,0 +1,17 @@
+"""Input parallelism guard shared by the operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
+    """Repartition (by ``keys`` if given) only when the scan yields fewer
+    partitions than the cluster's parallelism, e.g. a file stored as one
+    large row group; CPU-heavy work then does not run in a handful of tasks.
+    Inputs that already arrive in many splits are returned unchanged, so at
+    scale this adds no shuffle."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)

@@ -14,29 +14,18 @@ from pyspark.sql import functions as F
 
 from orrery.functions import text as TX
 from orrery.operators.gram import pair_stats
+from orrery.operators.partitioning import spread
 
 # Vocabulary maps larger than this are joined by shuffle instead of broadcast.
 BROADCAST_ROWS = 2_000_000
 
 
-def spread(df: DataFrame, key: str = "doc_id", min_partitions: int | None = None) -> DataFrame:
-    """Hash-repartition by document only when the scan gives fewer partitions
-    than the cluster's parallelism (e.g. one large row group): tokenising is
-    CPU work per document and must not run in a handful of tasks, and the
-    per-document counts and norms downstream then reuse this partitioning.
-    Large inputs already arrive in many splits and are left as they are."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want, key)
-    return df
-
-
 def english_documents(documents: DataFrame) -> DataFrame:
     """The corpus: English documents; rank = doc order, title from source and id."""
     return spread(documents.where(F.col("lang") == "en")
                   .select("doc_id",
                           F.concat(F.col("source"), F.lit("#"), F.col("doc_id").cast("string")).alias("title"),
-                          "text"))
+                          "text"), "doc_id")
 
 
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
