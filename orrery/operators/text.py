@@ -171,3 +171,18 @@ class Corpus:
     def counts(self):
         """Term-count matrix on the fixed vocabulary."""
         return self._m("cnt", lambda: self.tf.join(F.broadcast(self.vocab.select("term")), "term"))
+
+
+def assemble_corpus(titles: DataFrame, first: DataFrame, second: DataFrame,
+                    pos: str = "position") -> DataFrame:
+    """Documents from position-aligned sources (J9, P10, W7): a title list and
+    two synopsis files, each with a source-order ``position``; the two texts
+    of a position are concatenated, rank = position + 1. An equi-join on the
+    position, so nothing is zipped on the driver."""
+    t = titles.select(F.col(pos), F.col(titles.columns[0] if titles.columns[0] != pos
+                                        else titles.columns[1]).alias("title"))
+    a = first.select(F.col(pos), F.col("text").alias("_a"))
+    b = second.select(F.col(pos), F.col("text").alias("_b"))
+    return (t.join(a, pos).join(b, pos)
+            .select(F.col(pos).alias("doc_id"), (F.col(pos) + 1).alias("rank"), "title",
+                    F.concat(F.col("_a"), F.col("_b")).alias("text")))

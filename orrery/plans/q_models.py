@@ -349,3 +349,47 @@ def dense_als_all_cells(spark, sf_dir):
     d = Inputs(spark, sf_dir)
     users, items = ALSO.dense_als(d.dense, 10, 5, 0.1)
     return ALSO.all_cells(users, items)
+
+
+# ------------------------------------------------------------------ model-based CF
+
+
+def _modelcf(spark, sf_dir):
+    """ALS (rank 20, 20 iterations, λ 0.3 as the model-based job) on the
+    sparse train split; test pairs get the blend of item average (default
+    4.0) and the ALS prediction, or the item average alone (R5, R6, R9, R10)."""
+    from orrery.operators import itemcf as CF
+    train, test = _sparse_int(spark, sf_dir)
+    m = ALSO.fit_als(train, rank=20, iterations=20, reg=0.3)
+    pred = m.transform(test).select("user_id", F.col("item_id").alias("target"), "prediction")
+    return train, test, pred, CF.blend(test, train, pred)
+
+
+@query("modelcf_blended_rmse", ops="R6 R7 A5 J4")
+def modelcf_blended_rmse(spark, sf_dir):
+    from orrery.operators import evaluate as E
+    return E.rmse(_modelcf(spark, sf_dir)[3])
+
+
+@query("modelcf_error_levels", ops="R8 P6 F9")
+def modelcf_error_levels(spark, sf_dir):
+    from orrery.operators import evaluate as E
+    return E.error_levels(_modelcf(spark, sf_dir)[3])
+
+
+@query("modelcf_rmse_no_fallback", ops="R7 J1 (ledger Q10)")
+def modelcf_rmse_no_fallback(spark, sf_dir):
+    """Inner join of predictions and test rows, divided by all test rows."""
+    from orrery.operators import evaluate as E
+    _, test, pred, _ = _modelcf(spark, sf_dir)
+    scored = test.join(pred.withColumnRenamed("target", "item_id"), ["user_id", "item_id"])
+    return E.rmse(scored, denominator=test.count())
+
+
+@query("modelcf_prediction_output", ops="K1 O2 W3 P9")
+def modelcf_prediction_output(spark, sf_dir):
+    s = _modelcf(spark, sf_dir)[3]
+    return (s.select(F.concat_ws(",", F.col("user_id").cast("string"), F.col("item_id").cast("string"),
+                                 F.col("prediction").cast("string")).alias("line"),
+                     F.col("user_id").cast("string").alias("u"), F.col("item_id").cast("string").alias("i"))
+            .orderBy("u", "i").select("line"))

@@ -134,3 +134,13 @@ def test_dense_als_beats_zero_model(spark):
     mse = d.agg(F.avg(F.pow(F.col("rating") - F.col("prediction"), 2))).first()[0]
     zero = d.agg(F.avg(F.pow(F.col("rating"), 2))).first()[0]
     assert mse < zero
+
+
+def test_modelcf_levels_cover_all_test_rows(spark):
+    import __spark_entry__ as entry
+    q = entry.queries()
+    lv = q["modelcf_error_levels"](spark, "/root/testdata/sf0.001").collect()
+    rm = q["modelcf_blended_rmse"](spark, "/root/testdata/sf0.001").first()
+    assert sum(r["n"] for r in lv) == rm["n_scored"] and len(lv) == 5
+    nf = q["modelcf_rmse_no_fallback"](spark, "/root/testdata/sf0.001").first()
+    assert nf["n_scored"] <= rm["n_scored"]

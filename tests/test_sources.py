@@ -86,3 +86,14 @@ def test_k1_sorted_lines_and_k3_split(spark, tmpdir_session):
     back = spark.read.parquet(split_out)
     assert back.count() == 400
     assert set(x["split"] for x in back.select("split").distinct().collect()) == {"train", "test"}
+
+
+def test_j9_p10_corpus_from_aligned_files(spark, tmpdir_session):
+    from orrery.operators.text import assemble_corpus
+    tp = _write(os.path.join(tmpdir_session, "title_list.txt"), "Alpha\nBeta\nGamma\n")
+    wp = _write(os.path.join(tmpdir_session, "wiki.txt"), "wa\n BREAKS HEREwb\n BREAKS HEREwc")
+    ip = _write(os.path.join(tmpdir_session, "imdb.txt"), "ia\n BREAKS HEREib\n BREAKS HEREic")
+    docs = assemble_corpus(S.read_lines(spark, tp, first=100), S.read_records(spark, wp, first=100),
+                           S.read_records(spark, ip, first=100))
+    got = [(r["rank"], r["title"], r["text"]) for r in docs.orderBy("rank").collect()]
+    assert got == [(1, "Alpha", "waia"), (2, "Beta", "wbib"), (3, "Gamma", "wcic")]
