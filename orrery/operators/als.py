@@ -135,16 +135,27 @@ def _half_step(ratings: DataFrame, fixed: DataFrame, fixed_key: str, solve_key:
 
 
 def dense_als_path(ratings: DataFrame, rank: int, iterations: int, lam: float, seed: int = 3,
-                   user="user_id", item="item_key"):
+                   user="user_id", item="item_key", checkpoint_every: int = 3):
     """Yields (iteration, user factors, item factors) after every iteration,
-    users solved first; factor tables are checkpointed to the shared folder."""
+    users solved first. Factor tables are persisted per half step (each is
+    read by the Gram pass and the join) and checkpointed to the shared folder
+    every ``checkpoint_every`` iterations, which bounds the lineage without
+    writing every step."""
     r = ratings.select(F.col(user).alias("u"), F.col(item).alias("i"),
                        F.col("rating").cast("double")).persist()
-    items = init_factors(r.select("i").distinct(), "i", rank, seed)
+    items = init_factors(r.select("i").distinct(), "i", rank, seed).persist()
+    old = []
     for it in range(1, iterations + 1):
-        users = cut_lineage(_half_step(r, items, "i", "u", rank, lam))
-        items = cut_lineage(_half_step(r, users, "u", "i", rank, lam))
+        users = _half_step(r, items, "i", "u", rank, lam).persist()
+        items_new = _half_step(r, users, "u", "i", rank, lam).persist()
+        if it % checkpoint_every == 0:
+            users, items_new = cut_lineage(users), cut_lineage(items_new)
+        for df in old:
+            df.unpersist()
+        old = [items]
+        items = items_new
         yield it, users.select(F.col("u").alias(user), "f"), items.select(F.col("i").alias(item), "f")
+        old.append(users)
 
 
 def dense_als(ratings: DataFrame, rank: int, iterations: int, lam: float, seed: int = 3,
