@@ -102,3 +102,9 @@ def overlap_count(train: DataFrame, test: DataFrame, keys=("user_id", "item_id")
     """Rows of ``test`` whose key is also in ``train``; 0 means disjoint (U4)."""
     return (test.select(*keys).join(train.select(*keys), list(keys), "left_semi")
             .agg(F.count(F.lit(1)).alias("overlap")))
+
+
+def shuffle_rows(df: DataFrame, seed: int = 5) -> DataFrame:
+    """Rows in a seeded random order (O4): a full range-partitioned sort on
+    ``rand(seed)``, stronger than a bounded shuffle buffer."""
+    return df.orderBy(F.rand(seed))

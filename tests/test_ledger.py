@@ -165,3 +165,9 @@ def test_q29_users_without_test_rows_are_absent(spark):
     r = E.mean_user_rmse(df).first()
     assert r["n_users"] == 2
     assert r["mean_user_rmse"] == pytest.approx(((2.0 ** 2 / 2) ** 0.5 + 2.0) / 2)
+
+
+def test_o4_shuffle_keeps_every_row(spark):
+    df = spark.range(200).withColumnRenamed("id", "user_id")
+    out = [r["user_id"] for r in R.shuffle_rows(df, 3).collect()]
+    assert sorted(out) == list(range(200)) and out != list(range(200))
