@@ -73,7 +73,8 @@ SQL_CLUSTERS = SQL_TEXT + ", " + _sql_sparse_kmeans_ctes() + "\n"
 
 def _text_clusters(spark, sf_dir):
     c = corpus(spark, sf_dir)
-    assign = TP.kmeans_sparse(c.weights, "doc_id", "term", "weight", K, STEPS)
+    assign = (TP.kmeans_sparse(c.weights, "doc_id", "term", "weight", K, STEPS)
+              .withColumn("cluster", F.col("cluster").cast("bigint")))
     ranks = dense_index(c.docs, "doc_id", "idx").select("doc_id", (F.col("idx") + 1).alias("rank"))
     return c, assign, ranks
 
@@ -85,7 +86,7 @@ def _text_clusters(spark, sf_dir):
 def kmeans_fixed_start(spark, sf_dir):
     emb = Inputs(spark, sf_dir).t("embeddings")
     assign, _ = TP.kmeans_dense(emb, "vec_id", "embedding", K, STEPS)
-    return assign
+    return assign.withColumn("cluster", F.col("cluster").cast("bigint"))
 
 
 @query("text_clusters", ops="M1 M2 (sparse Lloyd)", sql=SQL_CLUSTERS + "SELECT doc_id, cluster FROM clusters")
@@ -124,7 +125,8 @@ def cluster_terms(spark, sf_dir):
     top = TP.top_terms(cw, n=6)
     words = TXT.stem_to_word(c.stemmed)
     return (top.join(words, top.term == words.stem)
-            .select("cluster", "term_rank", "term", "word", r6(F.col("weight")).alias("weight")))
+            .select("cluster", F.col("term_rank").cast("bigint").alias("term_rank"), "term", "word",
+                    r6(F.col("weight")).alias("weight")))
 
 
 @query("cluster_titles", ops="A13 M4 J9", sql=SQL_CLUSTERS + """
@@ -178,7 +180,8 @@ def pca_covariance(spark, sf_dir):
     st = pair_stats(long, row="vec_id", col="dim", value="x", stats=("n", "sx", "sy", "sxy"),
                     include_self=True)
     cov = (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / (F.col("n") - 1)
-    return st.select(F.col("c1").alias("dim_1"), F.col("c2").alias("dim_2"), r6(cov).alias("cov"))
+    return st.select(F.col("c1").cast("bigint").alias("dim_1"), F.col("c2").cast("bigint").alias("dim_2"),
+                     r6(cov).alias("cov"))
 
 
 @query("pca_xy", ops="M5")

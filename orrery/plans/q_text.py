@@ -41,7 +41,7 @@ w AS (SELECT r.doc_id, r.term, r.raw / n.norm AS weight FROM raww r JOIN norms n
 
 @query("tokens", ops="T1 T2 T3 F4 F5", sql=SQL_TEXT + "SELECT doc_id, pos, token FROM tok")
 def tokens(spark, sf_dir):
-    return corpus(spark, sf_dir).tokens
+    return corpus(spark, sf_dir).tokens.withColumn("pos", F.col("pos").cast("bigint"))
 
 
 @query("stem_vocab", ops="T4", sql=SQL_TEXT + "SELECT token, stem FROM stm")
