@@ -45,6 +45,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orrery.operators.partitioning import parallelism as _parallelism
+
 STATS = ("n", "sx", "sy", "sxy", "sxx", "syy")
 
 # Upper bound of pair contributions materialised at once inside a task.
@@ -223,7 +225,7 @@ def pair_stats(df: DataFrame, row: str, col: str, value: str | None = None,
     total = int(summ["total"] or 0)
     max_m = int(summ["mx"] or 0)
     n_rows = max(int(summ["rows"] or 0), 1)
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    parallelism = _parallelism(df.sparkSession)
     n_chunks = max(1, math.ceil(total / rows_per_task))
 
     if total / n_rows >= dense_row_length:

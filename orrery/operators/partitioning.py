@@ -11,7 +11,20 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
     large row group; CPU-heavy work then does not run in a handful of tasks.
     Inputs that already arrive in many splits are returned unchanged, so at
     scale this adds no shuffle."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    want = min_partitions or parallelism(df.sparkSession)
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session)
+        return df
+    if have >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
+
+
+def parallelism(spark) -> int:
+    """Cores available to tasks; the shuffle partition setting where the
+    session exposes no SparkContext."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
