@@ -14,16 +14,13 @@ It is not the Snowball stemmer; it covers plural and -ed/-ing/-y endings.
 from __future__ import annotations
 
 import functools
-import glob
-import os
-import zipfile
+from importlib import resources
 
 from pyspark.sql import functions as F
 
 # Fixed values -------------------------------------------------------------
 TOKEN_PATTERN = "'?[a-z0-9]+"
 LETTER_PATTERN = "[a-z]"
-VOWELS = "aeiouy"
 DOUBLE_CONSONANTS = "bdfgmnprt"
 # (pattern, replacement); in replacements {1}, {2} name capture groups.
 _BASE_RULES_HEAD = [
@@ -58,17 +55,10 @@ def _re2_repl(r: str) -> str:
 
 @functools.lru_cache(maxsize=None)
 def stopwords(language: str = "english") -> tuple[str, ...]:
-    """Spark ML's default stop-word list, read from the mllib jar on the
-    Python side so SQL text can be generated without a JVM."""
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for j in jars:
-        with zipfile.ZipFile(j) as z:
-            name = f"org/apache/spark/ml/feature/stopwords/{language}.txt"
-            if name in z.namelist():
-                return tuple(w for w in z.read(name).decode("utf-8").split("\n") if w)
-    from pyspark.ml.feature import StopWordsRemover
-    return tuple(StopWordsRemover.loadDefaultStopWords(language))
+    """Spark ML's default stop words, kept as a text file of the package:
+    neither a JVM nor a jar is needed to build queries or SQL text."""
+    text = resources.files(__package__).joinpath(f"stopwords_{language}.txt").read_text("utf-8")
+    return tuple(w for w in text.split("\n") if w)
 
 
 def token_array(text_col, case_sensitive_stopwords: bool = False):
