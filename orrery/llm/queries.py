@@ -12,6 +12,13 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op3_simhash(spark, sf_dir):
+    """SimHash fingerprint and near-duplicate component of every document."""
+    from orrery.llm.simhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, radius=3)
+
+
 def op5_license_scan(spark, sf_dir):
     """Licences of every document by sentence rules."""
     from orrery.llm.licenses import scan_licences
@@ -56,6 +63,7 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'res
 """
 
 QUERIES = {
+    "op3_simhash": op3_simhash,
     "op5_license_scan": op5_license_scan,
     "op6_sentencepiece": op6_sentencepiece,
     "op10_legacy_archives": op10_legacy_archives,
