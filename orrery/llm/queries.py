@@ -12,6 +12,13 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_quality_rules(spark, sf_dir):
+    """Base rules and the perplexity band over every document."""
+    from orrery.llm.quality_rules import quality_rules
+
+    return quality_rules(_table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark, sf_dir):
     """SimHash fingerprint and near-duplicate component of every document."""
     from orrery.llm.simhash import near_duplicates
@@ -35,6 +42,17 @@ def op6_sentencepiece(spark, sf_dir):
         "doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_xxhash64"), "round_trip")
 
 
+def op8_language_id(spark, sf_dir):
+    """Language of every document, learnt from two thirds of them."""
+    from orrery.llm.langid import identify, train
+
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    learnt = train(docs.where(~held_out))
+    return identify(docs, learnt).select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+                                         .alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op10_legacy_archives(spark, sf_dir):
     """Pages through ARC and WARC files, read back."""
     from orrery.llm.warc import convert_pages
@@ -63,9 +81,11 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'res
 """
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op3_simhash": op3_simhash,
     "op5_license_scan": op5_license_scan,
     "op6_sentencepiece": op6_sentencepiece,
+    "op8_language_id": op8_language_id,
     "op10_legacy_archives": op10_legacy_archives,
 }
 
