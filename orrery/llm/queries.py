@@ -19,6 +19,13 @@ def op1_quality_rules(spark, sf_dir):
     return quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark, sf_dir):
+    """Benchmark items found in every document."""
+    from orrery.llm.decontam import decontaminate
+
+    return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_simhash(spark, sf_dir):
     """SimHash fingerprint and near-duplicate component of every document."""
     from orrery.llm.simhash import near_duplicates
@@ -82,6 +89,7 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'res
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
     "op5_license_scan": op5_license_scan,
     "op6_sentencepiece": op6_sentencepiece,
