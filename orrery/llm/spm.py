@@ -22,7 +22,9 @@ rows; extra columns are ignored.
 from __future__ import annotations
 
 import math
+from array import array
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 from orrery.llm.common import id_text_columns, in_small_batches
@@ -41,19 +43,19 @@ class Pieces:
         self.bytes_at, self.byte_score = bytes_at, byte_score
         self.longest = max(map(len, self.of), default=1)
 
+    def text_of(self) -> dict:
+        return {i: p.replace(SPACE, " ") for p, (_, i) in self.of.items()}
+
     def trie(self) -> dict:
-        """Nested dicts by character; "" holds a piece's (score, id)."""
+        """Character -> (next characters, score or None, id)."""
         root: dict = {}
-        for p, hit in self.of.items():
-            node = root
-            for c in p:
-                node = node.setdefault(c, {})
-            node[""] = hit
+        for p in sorted(self.of):  # a prefix comes before what it begins
+            level = root
+            for c in p[:-1]:
+                level = level.setdefault(c, ({}, None, 0))[0]
+            level[p[-1]] = ({}, *self.of[p])
         return root
 
-    def text_of(self) -> dict:
-        return {i: p.replace(SPACE, " ") for p, (_, i) in self.of.items()}
-
 
 def load_pieces(model_file: str) -> Pieces:
     """Read a model file (on the driver; the pieces go to tasks by value)."""
@@ -105,15 +107,17 @@ class StreamingViterbi:
         back.extend([None] * more)
         until = n if last else n - self.p.longest + 1
         while at < until:
-            here, node = score[at], root
-            for end in range(at, n):
-                node = node.get(buf[end])
+            here, level, end = score[at], root, at
+            for c in buf[at:at + self.p.longest]:
+                node = level.get(c)
                 if node is None:
                     break
-                hit = node.get("")
-                if hit and here + hit[0] > score[end + 1]:
-                    score[end + 1], back[end + 1] = here + hit[0], (at, hit[1])
-            if buf[at] not in self.p.of:  # no piece itself: it goes by its bytes
+                level, value, piece = node
+                end += 1
+                if value is not None and here + value > score[end]:
+                    score[end], back[end] = here + value, (at, piece)
+            node = root.get(buf[at])
+            if node is None or node[1] is None:  # no piece itself: it can go by its bytes
                 value = here + len(buf[at].encode("utf-8")) * self.p.byte_score
                 if value > score[at + 1]:
                     score[at + 1], back[at + 1] = value, (at, -1)
@@ -145,41 +149,75 @@ class StreamingViterbi:
 
 
 class Encoder:
-    """Whole texts. No piece holds a space after another character, so every
-    path converges on the boundary before a word; what lies between two such
-    boundaries always gets the same ids, and those of the last
+    """Whole texts. Every path converges between two characters that stand
+    side by side in no piece: before a word, as no piece holds a space after
+    another character, at most line ends, and inside many words. What lies
+    between two such boundaries always gets the same ids; those of the last
     ``remembered`` different stretches are kept."""
 
-    def __init__(self, pieces: Pieces, remembered: int = 1 << 17, longest_kept: int = 64):
-        import re
-
-        self.search, self.kept = StreamingViterbi(pieces), {}
+    def __init__(self, pieces: Pieces, remembered: int = 1 << 18, longest_kept: int = 64):
+        self.search, self.kept, self.after_space = StreamingViterbi(pieces), {}, {}
         self.remembered, self.longest_kept = remembered, longest_kept
-        converge = not any(SPACE in p.lstrip(SPACE) for p in pieces.of)
-        self.cut = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+") if converge else None
+        self.pairs = frozenset(p[k:k + 2] for p in pieces.of for k in range(len(p) - 1))
+        self.words = not any(SPACE in p.lstrip(SPACE) for p in pieces.of)
+        self.lines = not any("\n" in p for p in pieces.of)
+        self.line_end = self._bytes("\n") if self.lines else b""
 
-    def encode(self, text: str) -> list:
-        out: list = []
+    def _bytes(self, c: str) -> bytes:
+        return np.array([self.search.p.bytes_at[b] for b in c.encode("utf-8")], np.int32).tobytes()
+
+    def encode(self, text: str) -> np.ndarray:
+        parts: list = []
         for k, part in enumerate(text.split(SPACE) if text else ()):
             if k:  # the text's own U+2581 is spelled in bytes, so that it comes back
-                out += [self.search.p.bytes_at[b] for b in SPACE.encode("utf-8")]
-            self._stretch((SPACE if k == 0 else "") + part.replace(" ", SPACE), out)
-        return out
-
-    def _stretch(self, text: str, out: list) -> None:
-        if self.cut is None:
-            out += self.search.encode(text)
+                parts.append(self._bytes(SPACE))
+            for i, line in enumerate(part.split("\n") if self.lines else [part]):
+                if i:
+                    parts.append(self.line_end)
+                self._line((" " if k == i == 0 else "") + line, parts)
+        return np.frombuffer(b"".join(parts), np.int32)
+
+    def _line(self, text: str, parts: list) -> None:
+        if not self.words:
+            parts.append(self._ids(text.replace(" ", SPACE)))
             return
-        kept = self.kept
-        for word in self.cut.findall(text):
-            ids = kept.get(word)
-            if ids is None:
-                ids = self.search.encode(word)
-                if len(word) <= self.longest_kept:
-                    if len(kept) >= self.remembered:
-                        kept.clear()
-                    kept[word] = ids
-            out += ids
+        first, *rest = text.split(" ")
+        if first:
+            parts.append(self._ids(first))
+        if "" in rest:
+            space = ""  # a run of spaces goes with the word after it
+            for word in rest:
+                if word:
+                    parts.append(self._ids(space + SPACE + word))
+                space = "" if word else space + SPACE
+            if space:
+                parts.append(self._ids(space))
+        else:
+            known, new = self.after_space.get, self._after_space
+            parts += [known(word) or new(word) for word in rest]
+
+    def _after_space(self, word: str) -> bytes:
+        ids = self._ids(SPACE + word)
+        if len(word) <= self.longest_kept:
+            if len(self.after_space) >= self.remembered:
+                self.after_space.clear()
+            self.after_space[word] = ids
+        return ids
+
+    def _ids(self, word: str) -> bytes:
+        """The ids of a stretch between boundaries, as the bytes of 32-bit numbers."""
+        ids = self.kept.get(word)
+        if ids is None:
+            pairs = self.pairs
+            cuts = [k for k in range(1, len(word)) if word[k - 1:k + 1] not in pairs]
+            if cuts:
+                return b"".join([self._ids(word[a:b]) for a, b in zip([0, *cuts], [*cuts, len(word)])])
+            ids = array("i", self.search.encode(word)).tobytes()
+            if len(word) <= self.longest_kept:
+                if len(self.kept) >= self.remembered:
+                    self.kept.clear()
+                self.kept[word] = ids
+        return ids
 
 
 def decode(ids: list, text_of: dict, byte_of: dict) -> str:
@@ -201,9 +239,11 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
         for b in in_small_batches(batches, 2 << 20):
             texts = [t or "" for t in b.column(1).to_pylist()]
             ids = [enc.encode(t) for t in texts]
-            same = [decode(i, text_of, byte_of) == t for i, t in zip(ids, texts, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(same)],
-                                             ["doc_id", "ids", "round_trip"])
+            same = [decode(i.tolist(), text_of, byte_of) == t for i, t in zip(ids, texts, strict=True)]
+            flat = np.concatenate(ids)
+            offsets = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([b.column(0), lists, pa.array(same)], ["doc_id", "ids", "round_trip"])
 
     return id_text_columns(docs).mapInArrow(run, SCHEMA)
 
