@@ -33,7 +33,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm.common import scratch_path
+from orrery.llm.common import saved, scratch_path
 
 RECORDS_PER_FILE = 2000
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:arc-to-warc")
@@ -72,8 +72,8 @@ def write_arc(pages: DataFrame, path: str, date: str = "20240101000000") -> str:
     # even ids to version 1, odd ones and null to version 2
     version = F.when(F.col("page_id") % 2 == 0, 1).otherwise(2)
     pages.select(version.alias("version"), arc_record(keyed, F.lit(date), payload, version).alias("value")).write \
-        .option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE) \
-        .partitionBy("version").mode("overwrite").text(path)
+        .option("lineSep", "\n").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED") \
+        .option("maxRecordsPerFile", RECORDS_PER_FILE).partitionBy("version").mode("overwrite").text(path)
     return path
 
 
@@ -192,6 +192,7 @@ def to_warc(records: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"),
              F.max(F.struct(F.coalesce("page_id", F.lit(-1)).alias("p"), F.col("record_id"))).alias("top")) \
         .where("n > 1").select("payload_digest", "payload_bytes", "top")
+    first = saved(first)  # its size is then known when the join is planned
     joined = found.join(first, ["payload_digest", "payload_bytes"], "left")
     again = F.col("top").isNotNull() & (F.col("record_id") != F.col("top.record_id"))
     return joined.select(
