@@ -32,6 +32,7 @@ from orrery.llm.common import id_text_columns, in_small_batches
 SPACE = "▁"
 #: Scores are whole multiples of 1 / FIXED: sums are exact wherever they start.
 FIXED = 1 << 20
+UNREACHED = -(1 << 62)
 SCHEMA = "doc_id long, ids array<int>, round_trip boolean"
 
 
@@ -88,64 +89,66 @@ class StreamingViterbi:
 
     def __init__(self, pieces: Pieces):
         self.p, self.root = pieces, pieces.trie()
+        self.alone = frozenset(p for p in pieces.of if len(p) == 1)
 
     def encode(self, text: str, step: int = 256) -> list:
         """Ids of ``text``, read ``step`` characters at a time."""
         out: list = []
-        buf, at, score, back = "", 0, [0], [None]
+        buf, at, score, start, piece = "", 0, [0], [-1], [0]
         for lo in range(0, len(text), step):
-            buf += text[lo:lo + step]
+            more = text[lo:lo + step]
+            buf += more
+            score += [UNREACHED] * len(more)
+            start += [-1] * len(more)
+            piece += [0] * len(more)
             last = lo + step >= len(text)
-            at = self._advance(buf, at, score, back, last)
-            buf, at, score, back = self._commit(buf, at, score, back, out)
+            at = self._advance(buf, at, score, start, piece, len(buf) if last else len(buf) - self.p.longest + 1)
+            buf, at, score, start, piece = self._commit(buf, at, score, start, piece, out)
         return out
 
-    def _advance(self, buf, at, score, back, last):
-        root, n = self.root, len(buf)
-        more = n + 1 - len(score)
-        score.extend([-math.inf] * more)
-        back.extend([None] * more)
-        until = n if last else n - self.p.longest + 1
-        while at < until:
+    def _advance(self, buf, at, score, start, piece, until):
+        root = self.root
+        for at in range(at, until):
             here, level, end = score[at], root, at
-            for c in buf[at:at + self.p.longest]:
+            for c in buf[at:]:
                 node = level.get(c)
                 if node is None:
                     break
-                level, value, piece = node
+                level, value, i = node
                 end += 1
                 if value is not None and here + value > score[end]:
-                    score[end], back[end] = here + value, (at, piece)
-            node = root.get(buf[at])
-            if node is None or node[1] is None:  # no piece itself: it can go by its bytes
+                    score[end], start[end], piece[end] = here + value, at, i
+            if buf[at] not in self.alone:  # no piece itself: it can go by its bytes
                 value = here + len(buf[at].encode("utf-8")) * self.p.byte_score
                 if value > score[at + 1]:
-                    score[at + 1], back[at + 1] = value, (at, -1)
-            at += 1
-        return at
+                    score[at + 1], start[at + 1], piece[at + 1] = value, at, -1
+        return max(at, until) if until > 0 else at
 
-    def _commit(self, buf, at, score, back, out):
+    def _commit(self, buf, at, score, start, piece, out):
         """Emit the ids before the latest boundary that all open paths share."""
-        open_at = {at} if at == len(buf) else {e for e in range(at, len(score)) if back[e] or e == 0}
-        while len(open_at) > 1:
-            far = max(open_at)
-            open_at.discard(far)
-            open_at.add(back[far][0])
-        shared = end = open_at.pop()
-        ids = []
+        if at == len(buf):
+            shared = at
+        else:
+            open_at = {e for e in range(at, len(score)) if start[e] >= 0 or e == 0}
+            while len(open_at) > 1:
+                far = max(open_at)
+                open_at.discard(far)
+                open_at.add(start[far])
+            shared = open_at.pop()
+        ids, end = [], shared
         while end > 0:
-            start, piece = back[end]
-            if piece >= 0:
-                ids.append(piece)
+            if piece[end] >= 0:
+                ids.append(piece[end])
             else:
-                ids.extend(self.p.bytes_at[b] for b in reversed(buf[start:end].encode("utf-8")))
-            end = start
-        out.extend(reversed(ids))
-        if not shared or shared == len(buf):
-            return (buf, at, score, back) if not shared else ("", 0, [0], [None])
+                ids.extend([self.p.bytes_at[b] for b in reversed(buf[start[end]:end].encode("utf-8"))])
+            end = start[end]
+        ids.reverse()
+        out += ids
+        if not shared or at == len(buf):
+            return (buf, at, score, start, piece) if not shared else ("", 0, [0], [-1], [0])
         base = score[shared]
-        return (buf[shared:], at - shared, [s - base for s in score[shared:]],
-                [None] + [b and (b[0] - shared, b[1]) for b in back[shared + 1:]])
+        return (buf[shared:], at - shared, [s - base if s > UNREACHED else s for s in score[shared:]],
+                [-1] + [b - shared if b >= 0 else b for b in start[shared + 1:]], [0, *piece[shared + 1:]])
 
 
 class Encoder:
