@@ -49,6 +49,35 @@ def op6_sentencepiece(spark, sf_dir):
         "doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_xxhash64"), "round_trip")
 
 
+def op7_suffix_dedup(spark, sf_dir):
+    """Bytes of 50-byte strings that an earlier document has, removed."""
+    from orrery.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"), 50).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+# the hexadecimal text stands for the bytes: two digits each
+OP7_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s
+      FROM (SELECT doc_id, h, unnest(range(CAST(greatest(length(h) // 2 - 49, 0) AS BIGINT))) AS p FROM d) x),
+f AS (SELECT s, min(doc_id) AS first_doc FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT w.doc_id, w.p FROM w JOIN f ON w.s = f.s WHERE w.doc_id > f.first_doc),
+g AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER o + 50 THEN 0 ELSE 1 END AS new FROM hit WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+r AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p ROWS UNBOUNDED PRECEDING) AS run FROM g),
+s AS (SELECT doc_id, run, min(p) AS a, max(p) + 50 AS z FROM r GROUP BY doc_id, run),
+t AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM s),
+k AS (SELECT t.doc_id, string_agg(substr(h, CAST(2 * before + 1 AS BIGINT), CAST(2 * (a - before) AS BIGINT)), '' ORDER BY a) AS kept,
+             max(z) AS z, sum(z - a) AS n_removed, count(*) AS n_spans
+      FROM t JOIN d ON d.doc_id = t.doc_id GROUP BY t.doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN z IS NULL THEN h ELSE kept || substr(h, CAST(2 * z + 1 AS BIGINT)) END)) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
+
+
 def op8_language_id(spark, sf_dir):
     """Language of every document, learnt from two thirds of them."""
     from orrery.llm.langid import identify, train
@@ -93,10 +122,12 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op5_license_scan": op5_license_scan,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_language_id": op8_language_id,
     "op10_legacy_archives": op10_legacy_archives,
 }
 
 ORACLE_SQL = {
+    "op7_suffix_dedup": OP7_SQL,
     "op10_legacy_archives": OP10_SQL,
 }
