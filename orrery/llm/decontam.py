@@ -13,9 +13,10 @@ a small edit distance becomes a small Hamming distance. Keys hash a few sampled
 steps of a walk. Repetitions, over several walks, are added until edited copies
 of the items, with as many edits as allowed, are found at the target recall.
 
-Windows of which too few words are words of any item are left out first: a
-stretch within e edits of n words has n - e of them, so nothing is lost.
-Candidates are verified by exact semi-global edit distance.
+Windows that cannot match are left out first, without loss: e edits cut an
+item of n words into e + 1 stretches that stay as they are, so a match has
+ceil((n - e) / (e + 1)) successive words of the item at least, and n - e words
+of it in all. Candidates are verified by exact semi-global edit distance.
 
 Items go in blocks of at most ``BLOCK_CHARS`` characters; each block is one
 pass over the documents. Items of fewer than ``min_item_words`` words are too
@@ -32,24 +33,35 @@ from pyspark.sql import functions as F
 from orrery.llm.common import Powers, id_text_columns, in_small_batches, mix, prefix_sums, span_hashes
 
 BLOCK_CHARS = 4 << 20
-MOST_REPEATS = 96
+MOST_REPEATS = 160
 _WORD = np.zeros(256, bool)
 _WORD[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = True
 _WORD[128:] = True
 PAD = np.uint64(0)
 
 
-def words_of(texts: list, powers: Powers):
-    """Word hashes, text index and byte span of each word of lower-cased texts."""
-    raw = [t.lower().encode("utf-8") for t in texts]
+def words_of(texts: list, powers: Powers, size: int = 1 << 20):
+    """Hash and text index of each word of lower-cased texts."""
+    parts, held, total, first = [], [], 0, 0
+    for i, t in enumerate(texts):
+        held.append(t.lower().encode("utf-8"))
+        total += len(held[-1])
+        if total >= size or i + 1 == len(texts):
+            parts.append(_words(held, first, powers))
+            held, total, first = [], 0, i + 1
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _words(raw: list, first: int, powers: Powers):
     buf = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
     edge = np.flatnonzero(np.diff(np.concatenate(([False], _WORD[buf])).view(np.int8)))
     start, end = edge[::2], edge[1::2]
     ends = np.cumsum([len(t) + 1 for t in raw])
-    owner = np.searchsorted(ends, start, "right")
     h = span_hashes(prefix_sums(buf, powers), start, end, powers)
     h[h == PAD] = np.uint64(1)
-    return h, owner, start - (ends - [len(t) + 1 for t in raw])[owner] if len(texts) else start
+    return h, np.searchsorted(ends, start, "right") + first
 
 
 def walk(words: np.ndarray, at: np.ndarray, stop: np.ndarray, steps: int, seed: int):
@@ -75,6 +87,15 @@ def key_of(out: np.ndarray, places: np.ndarray, steps, n: int) -> np.ndarray:
     return h
 
 
+def runs_of(words: np.ndarray, r: int) -> np.ndarray:
+    """Hashes of each r successive words."""
+    n = len(words) - r + 1
+    h = np.zeros(max(n, 0), np.uint64)
+    for k in range(r):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + words[k:k + n]
+    return mix(h)
+
+
 def semi_global(x: np.ndarray, y: np.ndarray):
     """Least edits between each whole row of y and a stretch of the same row of
     x, and where the stretch ends."""
@@ -107,10 +128,10 @@ class Index:
     def edits(self, n: int) -> int:
         return int((1 - self.similarity) * n + 1e-9)
 
-    def build(self, recall: float, walks: int, tries: int = 400) -> None:
+    def build(self, recall: float, walks: int, tries: int = 2000) -> None:
         """Add repetitions until ``recall`` of edited items are found."""
         rng = np.random.default_rng(7)
-        rows = {n: rng.permutation(len(w))[:max(1, tries // len(self.words))] for n, w in self.words.items()}
+        rows = {n: rng.integers(0, len(w), max(20, tries // len(self.words))) for n, w in self.words.items()}
         edited = {n: [self._edited(self.words[n][i], self.edits(n), rng) for i in rows[n]] for n in rows}
         hit = {n: np.zeros(len(r), bool) for n, r in rows.items()}
         for r in range(MOST_REPEATS):
@@ -123,8 +144,9 @@ class Index:
                 hit[n] |= self._keys(edited[n], n, r % walks, steps) == keys[rows[n]]
             total = sum(len(x) for x in hit.values())
             self.recall = sum(int(x.sum()) for x in hit.values()) / max(total, 1)
-            if self.recall >= recall and all(h.mean() >= recall - 0.15 for h in hit.values() if len(h) > 9):
+            if self.recall >= recall:
                 break
+        self._seeds()
 
     def _keys(self, rows: list, n: int, seed: int, steps) -> np.ndarray:
         flat, size = np.concatenate(rows), np.array([len(x) for x in rows])
@@ -140,50 +162,86 @@ class Index:
             out[at:at + (kind != 0)] = [new] if kind != 2 or len(out) == 1 else []
         return np.array(out, np.uint64)
 
+    def run(self, n: int) -> int:
+        """Successive words of an item of n words that every match has."""
+        e = self.edits(n)
+        return -(-(n - e) // (e + 1))
+
+    def _seeds(self) -> None:
+        """Run length -> sorted hashes of the items' runs, and the lengths of the items that have each."""
+        self.seeds = {}
+        for n, w in self.words.items():
+            r = self.run(n)
+            h = np.unique(runs_of(w.ravel(), r)[np.arange(w.size - r + 1) % n <= n - r])
+            keys, of = self.seeds.get(r, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+            self.seeds[r] = np.append(keys, h), np.append(of, np.full(len(h), n))
+        for r, (keys, of) in self.seeds.items():
+            order = np.argsort(keys, kind="stable")
+            self.seeds[r] = keys[order], of[order]
+
     def state(self) -> dict:
         return vars(self)
 
+    def _open(self, words, owner, stop) -> dict:
+        """Length -> starts of the windows that may match an item of it."""
+        at = np.searchsorted(self.vocabulary, words)
+        at[at == len(self.vocabulary)] = 0
+        is_known = self.vocabulary[at] == words
+        known = np.concatenate(([0], np.cumsum(is_known)))
+        begin = np.searchsorted(owner, owner)
+        found: dict = {}
+        for r, (keys, of) in self.seeds.items():
+            # runs of known words only, within one text
+            run = np.flatnonzero((known[r:] - known[:-r] == r)) if len(words) >= r else np.zeros(0, np.int64)
+            run = run[run + r <= stop[run]]
+            h = runs_of(words, r)[run]
+            left, right = np.searchsorted(keys, h), np.searchsorted(keys, h, "right")
+            hit = np.flatnonzero(right > left)
+            count = (right - left)[hit]
+            place = np.repeat(left[hit] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            seed, n_of = np.repeat(run[hit], count), of[place]
+            for n in np.unique(n_of):
+                e = self.edits(n)
+                first = (seed[n_of == n][:, None] - np.arange(n + e - r + 1)).ravel()
+                some = np.repeat(seed[n_of == n], n + e - r + 1)
+                first = np.unique(first[first >= begin[some]])
+                enough = known[np.minimum(first + n + e, stop[first])] - known[first] >= n - e
+                if enough.any():
+                    found[int(n)] = first[enough]
+        return found
+
     def search(self, words: np.ndarray, owner: np.ndarray, n_texts: int):
         """Verified (text index, item id, edits, first word, end word)."""
         if not len(words) or not len(self.vocabulary):
             return []
-        at = np.searchsorted(self.vocabulary, words)
-        at[at == len(self.vocabulary)] = 0
-        known = np.concatenate(([0], np.cumsum(self.vocabulary[at] == words)))
         bound = np.searchsorted(owner, np.arange(n_texts), "right")  # end of each text's words
         stop = bound[owner]
-        position = np.arange(len(words))
-        open_at = {}
-        for n in self.words:
-            e = self.edits(n)
-            enough = np.flatnonzero(known[np.minimum(position + n + e, stop)] - known[position] >= n - e)
-            if len(enough):
-                open_at[n] = enough
+        open_at = self._open(words, owner, stop)
         if not open_at:
             return []
-        all_open = np.unique(np.concatenate(list(open_at.values())))
-        pairs = {n: [] for n in open_at}
-        longest = max(open_at)
-        for seed in sorted({s for n in open_at for s, _ in self.samples[n]}):
-            for lo in range(0, len(all_open), 1 << 14):
-                some = all_open[lo:lo + (1 << 14)]
-                out, places = walk(words, some, stop[some], 2 * longest, seed)
-                for n, mine in open_at.items():
-                    a, b = np.searchsorted(mine, (some[0], some[-1] + 1))
-                    if a == b:
+        lengths = sorted(open_at)
+        every = np.concatenate([open_at[n] for n in lengths])
+        cut = np.cumsum([0, *(len(open_at[n]) for n in lengths)])
+        pairs = {n: [] for n in lengths}
+        for seed in sorted({s for n in lengths for s, _ in self.samples[n]}):
+            for lo in range(0, len(every), 1 << 14):
+                some = every[lo:lo + (1 << 14)]
+                out, places = walk(words, some, stop[some], 2 * lengths[-1], seed)
+                for n, a, b in zip(lengths, cut, cut[1:]):
+                    a, b = max(a - lo, 0), min(b - lo, len(some))
+                    if a >= b:
                         continue
-                    col = np.searchsorted(some, mine[a:b])
-                    o, p = out[:2 * n, col], places[:2 * n, col]
+                    o, p, mine = out[:2 * n, a:b], places[:2 * n, a:b], some[a:b]
                     for (s, steps), (keys, items) in zip(self.samples[n], self.tables[n], strict=True):
                         if s != seed:
                             continue
                         h = key_of(o, p, steps, n)
                         left, right = np.searchsorted(keys, h), np.searchsorted(keys, h, "right")
-                        some_hit = np.flatnonzero(right > left)
-                        if len(some_hit):
-                            count = (right - left)[some_hit]
-                            place = np.repeat(left[some_hit] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-                            pairs[n].append(np.repeat(mine[a:b][some_hit], count) * len(self.ids[n]) + items[place])
+                        hit = np.flatnonzero(right > left)
+                        if len(hit):
+                            count = (right - left)[hit]
+                            place = np.repeat(left[hit] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+                            pairs[n].append(np.repeat(mine[hit], count) * len(self.ids[n]) + items[place])
         found = []
         for n, parts in pairs.items():
             if parts:
@@ -201,8 +259,11 @@ class Index:
             span = first[:, None] + np.arange(size)
             x = np.where(span < stop[at][:, None], words[np.minimum(span, len(words) - 1)], PAD)
             edits, end = semi_global(x, w[item])
-            for k in np.flatnonzero(edits <= e):
+            good = np.flatnonzero(edits <= e)
+            for k in good[np.argsort(edits[good], kind="stable")]:
                 key = int(owner[at[k]]), int(self.ids[n][item[k]])
+                if any(old[0] <= edits[k] and old[1] < first[k] + end[k] <= old[2] for old in found.get(key, ())):
+                    continue
                 back, length = semi_global(x[k:k + 1, :end[k]][:, ::-1], w[item[k:k + 1]][:, ::-1])
                 here = (int(edits[k]), int(first[k] + end[k] - length[0]), int(first[k] + end[k]))
                 held = found.setdefault(key, [])
@@ -215,7 +276,7 @@ class Index:
         return [(t, i, *x) for (t, i), rows in found.items() for x in rows]
 
 
-def _pieces(text: str, overlap: int, size: int = 1 << 21):
+def _pieces(text: str, overlap: int, size: int = 1 << 22):
     """Parts of a long text; each has the last ``overlap`` blank-separated
     words of the one before. Yields (start, part)."""
     at = 0
@@ -239,7 +300,7 @@ def item_blocks(items: DataFrame, min_item_words: int, similarity: float, recall
     for b in range(blocks):
         got = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
         got.sort()
-        h, owner, _ = words_of([r["text"] for r in got], powers)
+        h, owner = words_of([r["text"] for r in got], powers)
         cut = np.searchsorted(owner, np.arange(len(got) + 1))
         words = [h[cut[i]:cut[i + 1]] for i in range(len(got))]
         use = [i for i, w in enumerate(words) if len(w) >= min_item_words]
@@ -252,10 +313,10 @@ def item_blocks(items: DataFrame, min_item_words: int, similarity: float, recall
 HITS = "doc_id long, item_id long, edits int, first_word long, end_word long"
 
 
-def contaminations(docs: DataFrame, items: DataFrame, similarity: float = 0.8, recall: float = 0.98,
+def contaminations(docs: DataFrame, items: DataFrame, similarity: float = 0.8, recall: float = 0.995,
                    sampled: int = 3, walks: int = 6, min_item_words: int = 5) -> DataFrame:
     """(doc_id, item_id, edits, first_word, end_word): the stretches found,
-    word numbers counted within the document (or its part of two million
+    word numbers counted within the document (or its part of four million
     characters that holds them)."""
     spark = docs.sparkSession
     found = spark.createDataFrame([], HITS)
@@ -270,13 +331,13 @@ def contaminations(docs: DataFrame, items: DataFrame, similarity: float = 0.8, r
             vars(index).update(sent.value)
             powers, kind = Powers(), pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("edits", pa.int32()),
                                                 ("first_word", pa.int64()), ("end_word", pa.int64())])
-            for b in in_small_batches(batches, 2 << 20):
+            for b in in_small_batches(batches, 6 << 20):
                 ids, parts = [], []
                 for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                     for _, part in _pieces(t or "", longest):
                         ids.append(i)
                         parts.append(part)
-                h, owner, _ = words_of(parts, powers)
+                h, owner = words_of(parts, powers)
                 first = np.searchsorted(owner, np.arange(len(parts)))
                 rows = [(ids[t], item, edits, a - int(first[t]), z - int(first[t]))
                         for t, item, edits, a, z in index.search(h, owner, len(parts))]
