@@ -33,6 +33,13 @@ def op3_simhash(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+def op4_quality_classifier(spark, sf_dir):
+    """Quality of every document by two co-trained views."""
+    from orrery.llm.cotrain import quality_classifier
+
+    return quality_classifier(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_license_scan(spark, sf_dir):
     """Licences of every document by sentence rules."""
     from orrery.llm.licenses import scan_licences
@@ -120,6 +127,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_license_scan": op5_license_scan,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_suffix_dedup": op7_suffix_dedup,
