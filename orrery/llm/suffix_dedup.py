@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from orrery.llm.common import Powers, find, in_small_batches, prefix_sums, saved, sorted_unique, span_hashes, utf8
 
 GRAM = 24
-PACK_BYTES = 2 << 20
+PACK_BYTES = 1 << 20
 HOT = 1 << 14
 #: Bytes sorted at once; a frequent minimizer's strings may be more.
 SORT_BYTES = 1 << 20
@@ -415,10 +415,15 @@ def covered_windows(packed: DataFrame, bits: DataFrame, length: int, shards: int
                     yield _covered(r["batch"], *(_spread(r[c], np.int64) for c in ("part", "start", "windows")))
                 continue
             doc, size = (np.concatenate([_spread(r[c], np.int64) for r in rows]) for c in ("doc", "windows"))
-            data = np.frombuffer(b"".join(zstandard.decompress(r["data"]) for r in rows), np.uint8)
+            data, parts = [], []
+            for r in rows:
+                data.append(zstandard.decompress(r["data"]))
+                n = _spread(r["windows"], np.int64) + length - 1
+                parts.append(hashes(np.frombuffer(data[-1], np.uint8), np.cumsum(n) - n, np.cumsum(n)))
+            data = np.frombuffer(b"".join(data), np.uint8)
             span = size + length - 1
             at = np.cumsum(span) - span
-            one, two = hashes(data, at, at + span)
+            one, two = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
             least, place = _least_of_equal(one, two, size, doc)
             # windows of equal strings share their fate, but for the least document's own
             earlier = _earlier(data, at[least], size[least], doc[least], length)
@@ -476,12 +481,15 @@ def _sortable(data, at, span, length):
         yield np.arange(len(at))
         return
     # the minimizer of a string's first window is that of all its windows
-    p = Powers()
-    sums = prefix_sums(data, p)
-    gram = min(GRAM, length)
+    p, gram, step = Powers(), min(GRAM, length), 1 << 14
     least = np.full(len(at), np.iinfo(np.uint64).max, np.uint64)
-    for k in range(length - gram + 1):
-        least = np.minimum(least, span_hashes(sums, at + k, at + k + gram, p) >> np.uint64(16))
+    for lo in range(0, len(at), step):
+        some = at[lo:lo + step]
+        sums = prefix_sums(_strings(data, some, np.full(len(some), length)), p)
+        first = np.arange(len(some)) * length
+        for k in range(length - gram + 1):
+            h = span_hashes(sums, first + k, first + k + gram, p) >> np.uint64(16)
+            np.minimum(least[lo:lo + step], h, out=least[lo:lo + step])
     order = np.argsort(least, kind="stable")
     cut = np.flatnonzero(np.concatenate(([True], least[order][1:] != least[order][:-1])))
     ends = np.cumsum(span[order])
