@@ -96,6 +96,15 @@ def op8_language_id(spark, sf_dir):
                                          .alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op9_attention_lm(spark, sf_dir):
+    """Log probabilities of every text, learnt from four fifths of them."""
+    from orrery.llm.attention_lm import score_documents
+
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
+    return score_documents(_table(spark, sf_dir, "documents"), ~held_out, PIECES).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_legacy_archives(spark, sf_dir):
     """Pages through ARC and WARC files, read back."""
     from orrery.llm.warc import convert_pages
@@ -132,6 +141,7 @@ QUERIES = {
     "op6_sentencepiece": op6_sentencepiece,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_language_id": op8_language_id,
+    "op9_attention_lm": op9_attention_lm,
     "op10_legacy_archives": op10_legacy_archives,
 }
 
