@@ -97,7 +97,7 @@ def sentence_table(sentences: dict | None = None):
     for name, forms in (sentences or SENTENCES).items():
         for form in (x.strip() for x in forms.split("|")):
             if "#" in form:
-                gaps.append((re.compile(".*".join(map(re.escape, form.split("#")))), name))
+                gaps.append((re.compile("(?: .*)?".join(map(re.escape, form.split(" #")))), name))
             else:
                 exact[form] = name
     return exact, gaps
