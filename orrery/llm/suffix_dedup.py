@@ -41,7 +41,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import Powers, find, in_small_batches, prefix_sums, saved, sorted_unique, span_hashes, utf8
+from orrery.llm.common import Powers, find, in_small_batches, mix, prefix_sums, saved, span_hashes, utf8
 
 GRAM = 24
 PACK_BYTES = 1 << 20
@@ -143,29 +143,29 @@ class Pack:
         self.buf, self.length = np.frombuffer(data, np.uint8), length
         n, gram = len(self.buf), min(GRAM, length)
         self.begins = np.concatenate(([0], ends[:-1]))
-        ok = np.zeros(max(n - length + 1, 0) + 1, np.int8)
-        long = ends - self.begins >= length
-        np.add.at(ok, self.begins[long], 1)
-        np.add.at(ok, ends[long] - length + 1, -1)
-        valid = np.flatnonzero(np.cumsum(ok)[:max(n - length + 1, 0)])
-        if not len(valid):
+        many = np.maximum(ends - self.begins - length + 1, 0)  # windows of each part
+        part = np.repeat(np.arange(len(ends)), many)
+        if not len(part):
             self.start = self.end = self.part = np.zeros(0, np.int64)
             self.value = np.zeros(0, np.uint64)
             return
-        p = np.arange(n - gram + 1)
-        h = span_hashes(prefix_sums(self.buf, powers), p, p + gram, powers) >> np.uint64(16)
+        valid = np.arange(len(part)) + np.repeat(self.begins - (np.cumsum(many) - many), many)
+        _, down = powers.upto(n + 1)
+        sums = prefix_sums(self.buf, powers)
+        h = sums[gram:] - sums[:-gram]
+        h *= down[:len(h)]
+        h = mix(h) >> np.uint64(16)
         width, least, have = length - gram + 1, h, 1
         while have < width:
             step = min(have, width - have)
             least = np.minimum(least[:-step], least[step:])
             have += step
-        part = np.searchsorted(ends, valid, "right")
         value = least[valid]
-        new = np.concatenate(([True], (value[1:] != value[:-1]) | (valid[1:] != valid[:-1] + 1) | (part[1:] != part[:-1])))
+        new = np.concatenate(([True], (value[1:] != value[:-1]) | (part[1:] != part[:-1])))
         first = np.flatnonzero(new)
         #: runs: windows [start, end) of one minimizer
         self.start, self.value, self.part = valid[first], value[first], part[first]
-        self.end = np.append(valid[first[1:] - 1], valid[-1]) + 1
+        self.end = self.start + np.diff(np.append(first, len(valid)))
 
 
 def _squeeze(a: np.ndarray) -> bytes:
@@ -402,7 +402,7 @@ def covered_windows(packed: DataFrame, bits: DataFrame, length: int, shards: int
                         out["batch"].append(row["batch"])
                         for c, v in (("doc", doc), ("part", part), ("start", start), ("windows", size)):
                             out[c].append(_squeeze(v[mine].astype(np.int64)))
-                        out["data"].append(zstandard.compress(_strings(p.buf, start[mine], size[mine] + length - 1).tobytes(), 1))
+                        out["data"].append(zstandard.compress(_strings(p.buf, start[mine], size[mine] + length - 1).tobytes(), 3))
                 yield pa.RecordBatch.from_pydict(out, schema=kind)
 
     def sort(batches):
@@ -427,6 +427,8 @@ def covered_windows(packed: DataFrame, bits: DataFrame, length: int, shards: int
             least, place = _least_of_equal(one, two, size, doc)
             # windows of equal strings share their fate, but for the least document's own
             earlier = _earlier(data, at[least], size[least], doc[least], length)
+            some = np.zeros(len(least), bool)
+            some[list(earlier)] = True
             end = 0
             for r in rows:
                 n = len(_spread(r["windows"], np.int64))
@@ -434,7 +436,7 @@ def covered_windows(packed: DataFrame, bits: DataFrame, length: int, shards: int
                 end += n
                 part, start = _spread(r["part"], np.int64), _spread(r["start"], np.int64)
                 whole = doc[mine] > doc[least][place[mine]]
-                single = [(mine[k] - (end - n), w, m) for k in np.flatnonzero(~whole) for w, m in earlier.get(int(place[mine[k]]), ())]
+                single = [(k, w, m) for k in np.flatnonzero(~whole & some[place[mine]]) for w, m in earlier[int(place[mine[k]])]]
                 got = [np.concatenate((v[whole], np.array(x, np.int64))) for v, x in (
                     (part, [part[k] for k, _, _ in single]), (start, [start[k] + w for k, w, _ in single]),
                     (size[mine], [m for _, _, m in single]))]
@@ -449,8 +451,6 @@ def _earlier(data, at, size, doc, length):
     too, over the windows of the given different strings."""
     out: dict = {}
     span = size + length - 1
-    # strings of one minimizer belong together: all of a shard are sorted at
-    # once, in groups by the hash of a window's minimizer if they are too many
     for mine in _sortable(data, at, span, length):
         text = _strings(data, at[mine], span[mine])
         begin = np.cumsum(span[mine]) - span[mine]
@@ -475,23 +475,26 @@ def _earlier(data, at, size, doc, length):
 
 def _sortable(data, at, span, length):
     """Groups of strings, of at most SORT_BYTES where more than one minimizer
-    is left; equal windows are always in one group."""
-    total = int(span.sum())
-    if total <= SORT_BYTES:
-        yield np.arange(len(at))
-        return
+    is left; equal windows are always in one group. A minimizer of one string
+    only is left out: what equals that string is known already."""
     # the minimizer of a string's first window is that of all its windows
-    p, gram, step = Powers(), min(GRAM, length), 1 << 14
+    p, gram, step = Powers(), min(GRAM, length), 1 << 13
     least = np.full(len(at), np.iinfo(np.uint64).max, np.uint64)
+    width = length - gram + 1
     for lo in range(0, len(at), step):
         some = at[lo:lo + step]
         sums = prefix_sums(_strings(data, some, np.full(len(some), length)), p)
-        first = np.arange(len(some)) * length
-        for k in range(length - gram + 1):
-            h = span_hashes(sums, first + k, first + k + gram, p) >> np.uint64(16)
-            np.minimum(least[lo:lo + step], h, out=least[lo:lo + step])
+        _, down = p.upto(len(sums))
+        h = sums[gram:] - sums[:-gram]
+        h *= down[:len(h)]
+        h = mix(h)
+        inside = np.lib.stride_tricks.as_strided(h, (len(some), width), (length * 8, 8))
+        least[lo:lo + step] = inside.min(axis=1) >> np.uint64(16)
     order = np.argsort(least, kind="stable")
-    cut = np.flatnonzero(np.concatenate(([True], least[order][1:] != least[order][:-1])))
+    first = np.flatnonzero(np.concatenate(([True], least[order][1:] != least[order][:-1]))) if len(order) else np.zeros(0, np.int64)
+    size = np.diff(np.append(first, len(order)))
+    order = order[np.repeat(size > 1, size)]
+    cut = np.flatnonzero(np.concatenate(([True], least[order][1:] != least[order][:-1]))) if len(order) else first
     ends = np.cumsum(span[order])
     lo = 0
     while lo < len(order):
@@ -507,6 +510,22 @@ def _sortable(data, at, span, length):
 
 # ---- the operator ---------------------------------------------------------
 
+def _small(rows: DataFrame) -> DataFrame:
+    """The rows with their text compressed (z), for the last join."""
+    kind = f"doc_id long, z binary, row_key long, rest {rows.schema['rest'].dataType.simpleString()}"
+
+    def run(batches):
+        import pyarrow as pa
+        import zstandard
+
+        shrink = zstandard.ZstdCompressor(level=1).compress
+        for b in in_small_batches(batches, 4 << 20):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shrink(t or b"") for t in utf8(b.column(1))], pa.binary()),
+                                              b.column(2), b.column(3)], ["doc_id", "z", "row_key", "rest"])
+
+    return rows.mapInArrow(run, kind)
+
+
 def _spans(packed: DataFrame, covered: DataFrame, length: int) -> DataFrame:
     """(doc_id, row_key, spans): covered bytes as [start, end, start, end ...]."""
     gathered = covered.groupBy("batch").agg(F.collect_list(F.struct("part", "start", "windows")).alias("found"))
@@ -552,10 +571,13 @@ def remove_repeats(docs: DataFrame, length: int = 50, carry: tuple = ()) -> Data
     def run(batches):
         import pyarrow as pa
 
-        for b in in_small_batches(batches, 4 << 20):
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        for b in in_small_batches(batches, 1 << 20, "z"):
             out = {c: [] for c in ("kept", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256")}
-            for text, found in zip(utf8(b.column(1)), b.column(3).to_pylist(), strict=True):
-                text = text or b""
+            for z, found in zip(b.column(1).to_pylist(), b.column(3).to_pylist(), strict=True):
+                text = unpack(z)
                 merged: list = []
                 flat = found or []
                 for a, z in sorted(zip(flat[::2], flat[1::2])):
@@ -580,8 +602,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, carry: tuple = ()) -> Data
                  pa.array(out["kept_sha256"], pa.string()), b.column(2)],
                 ["doc_id", "kept", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256", "rest"])
 
-    joined = rows.join(spans, (rows["doc_id"] == spans["of_id"]) & (rows["row_key"] == spans["of_key"]), "left") \
-        .select("doc_id", "text", "rest", "spans")
+    joined = _small(rows).join(spans, (F.col("doc_id") == F.col("of_id")) & (F.col("row_key") == F.col("of_key")), "left") \
+        .select("doc_id", "z", "rest", "spans")
     done = joined.mapInArrow(run, "doc_id long, kept binary, text string, n_bytes long, n_removed long, n_spans long,"
                                   f" kept_sha256 string, rest {rows.schema['rest'].dataType.simpleString()}")
     return done.select("doc_id", "kept", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256",
