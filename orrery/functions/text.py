@@ -8,7 +8,9 @@ dropped.
 Stemmer: a light English suffix stripper, one ``regexp_replace`` per rule,
 applied in order. Written with patterns that mean the same in Java regex
 (Spark) and RE2 (DuckDB): no look-around, no back-references in patterns.
-It is not the Snowball stemmer; it covers plural and -ed/-ing/-y endings.
+The endings are those of Porter's published algorithm: plural and -ed/-ing/-y
+first, then the derived endings where enough of a word stands before them.
+Where the longest ending leaves too little, a shorter one may still apply.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ from importlib import resources
 from pyspark.sql import functions as F
 
 # Fixed values -------------------------------------------------------------
-TOKEN_PATTERN = "'?[a-z0-9]+"
-LETTER_PATTERN = "[a-z]"
+TOKEN_PATTERN = "'?[\\p{L}0-9]+"
+LETTER_PATTERN = "\\p{L}"
 DOUBLE_CONSONANTS = "bdfgmnprt"
 # (pattern, replacement); in replacements {1}, {2} name capture groups.
 _BASE_RULES_HEAD = [
@@ -36,13 +38,29 @@ _BASE_RULES_TAIL = [
     ("^(.*[aeiouy].*)(ing|ingly)$", "{1}"),
     ("^(.+[^aeiouy])y$", "{1}i"),
 ]
+# Later endings by what replaces them; the first list asks for one vowel and
+# consonant before the ending, the second for two.
+_LATER_RULES = [
+    ("ational|ation|ator", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("ization|izer", "ize"),
+    ("abli", "able"), ("alism|aliti|alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousness|ousli", "ous"),
+    ("iveness|iviti", "ive"), ("fulness", "ful"), ("biliti", "ble"),
+    ("icate|iciti|ical", "ic"), ("alize", "al"), ("ative|ful|ness", ""),
+]
+_LAST_RULES = [
+    ("ement|ance|ence|able|ible|ment|ant|ent|ism|ate|iti|ous|ive|ize|al|er|ic|ou", ""), ("e", ""),
+]
 # --------------------------------------------------------------------------
+_ONE = "[^aeiouy]*[aeiouy]+[^aeiouy]"
+_TWO = "[^aeiouy]*[aeiouy]+[^aeiouy]+[aeiouy]+[^aeiouy]"
 
 
 def stem_rules() -> list[tuple[str, str]]:
     """Ordered rules; the double-consonant rules are generated per letter."""
     doubles = [(f"^(.*[aeiouy].*){c}{c}(ed|edly|ing|ingly)$", "{1}" + c) for c in DOUBLE_CONSONANTS]
-    return _BASE_RULES_HEAD + doubles + _BASE_RULES_TAIL
+    later = [(f"^({_ONE}.*?)({endings})$", "{1}" + new) for endings, new in _LATER_RULES]
+    last = [(f"^({_TWO}.*?)({endings})$", "{1}" + new) for endings, new in _LAST_RULES]
+    ion = [(f"^({_TWO[:-len('[^aeiouy]')]}[st])ion$", "{1}"), (f"^({_TWO}.*[st])ion$", "{1}")]
+    return _BASE_RULES_HEAD + doubles + _BASE_RULES_TAIL + later + last[:1] + ion + last[1:] + [(f"^({_TWO[:-len('[^aeiouy]')]}.*l)l$", "{1}")]
 
 
 def _java_repl(r: str) -> str:
@@ -70,7 +88,7 @@ def token_array(text_col, case_sensitive_stopwords: bool = False):
     """
     stop = list(stopwords())
     if case_sensitive_stopwords:
-        raw = F.regexp_extract_all(text_col, F.lit("'?[A-Za-z0-9]+"), 0)
+        raw = F.regexp_extract_all(text_col, F.lit(TOKEN_PATTERN), 0)
         kept = F.filter(raw, lambda t: ~t.isin(*stop))
         return F.filter(F.transform(kept, lambda t: F.lower(t)), lambda t: t.rlike(LETTER_PATTERN))
     toks = F.regexp_extract_all(F.lower(text_col), F.lit(TOKEN_PATTERN), 0)

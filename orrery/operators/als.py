@@ -1,7 +1,8 @@
 """Matrix factorisation.
 
-* ``fit_als`` / grid search: Spark ML ``ALS`` (block ALS on the JVM), data
-  cached once per grid, each fit scored on train and test.
+* ``fit_als`` / grid search: Spark ML ``ALS`` (block ALS on the JVM) on dense
+  integer codes of the ids, data cached for the grid, a few fits at a time,
+  each scored on train and test.
 * ``dense_als``: the local notebook's variant where every unrated cell is an
   observed 0 and the penalty is plain λ (ledger Q18). Since zeros add
   nothing to ``Σ r·y``, each half step is: k×k Gram of the fixed side
@@ -16,12 +17,10 @@ import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.session import cut_lineage
-
-FACTOR_BROADCAST_ROWS = 5_000_000
+from orrery.session import checkpoint_dir, cut_lineage
 
 # ------------------------------------------------------------------ Spark ML ALS
 
@@ -40,29 +39,43 @@ def als_mse(model, df: DataFrame, rating="rating") -> float:
 
 
 def grid_search(train: DataFrame, test: DataFrame, ranks, iterations, regs, seed: int = 11,
-                user="user_id", item="item_id", rating="rating"):
-    """Every (rank, iterations, λ) fit; returns a run table DataFrame with
-    train and test MSE (ledger Q17) and the best model by test MSE (R13)."""
+                user="user_id", item="item_id", rating="rating", at_once: int = 4):
+    """Every (rank, iterations, λ) fit, ``at_once`` at a time; a run table with
+    train and test MSE (ledger Q17) and the best model by train MSE, as the
+    original chooses it (R13)."""
+    from concurrent.futures import ThreadPoolExecutor
     spark = train.sparkSession
+    checkpoint_dir(spark)  # ALS cuts its own lineage there
     train = train.select(user, item, rating).cache()
     test = test.select(user, item, rating).cache()
-    runs, best = [], (float("inf"), None, None)
-    for it in iterations:
-        for rk in ranks:
-            for lam in regs:
-                m = fit_als(train, rk, it, lam, seed, user, item, rating)
-                tr, te = als_mse(m, train, rating), als_mse(m, test, rating)
-                runs.append((rk, it, float(lam), tr, te))
-                if te < best[0]:
-                    best = (te, m, (rk, it, lam))
-    table = spark.createDataFrame(runs, "rank int, iterations int, reg double, mse_train double, mse_test double")
-    return table, best[1], best[2]
+
+    def run(setting):
+        rk, it, lam = setting
+        m = fit_als(train, rk, it, lam, seed, user, item, rating)
+        return (rk, it, float(lam), als_mse(m, train, rating), als_mse(m, test, rating)), m
+
+    try:
+        train.count(), test.count()
+        with ThreadPoolExecutor(at_once) as pool:
+            done = list(pool.map(run, [(rk, it, lam) for it in iterations for rk in ranks for lam in regs]))
+    finally:
+        train.unpersist()
+        test.unpersist()
+    best = min(done, key=lambda d: (d[0][3], d[0][:3]))
+    table = spark.createDataFrame([d[0] for d in done], "rank int, iterations int, reg double, mse_train double, mse_test double")
+    return table, best[1], best[0][:3]
+
+
+def best_run(runs: DataFrame, metric="mse_train") -> DataFrame:
+    """Row with the smallest ``metric`` (A15); ties go to the smaller setting."""
+    top = F.min(F.struct(F.col(metric), "rank", "iterations", "reg")).alias("best")
+    return runs.agg(top).select("best.rank", "best.iterations", "best.reg", F.col("best")[metric].alias(metric))
 
 
-def best_run(runs: DataFrame, metric="mse_test") -> DataFrame:
-    """Row with the smallest ``metric`` (A15) via ``min_by``."""
-    return runs.agg(F.min_by(F.struct("rank", "iterations", "reg"), F.col(metric)).alias("best"),
-                    F.min(metric).alias(metric)).select("best.*", metric)
+def pivot_runs(runs: DataFrame, y="mse_train") -> DataFrame:
+    """One row per (rank, λ), a column per number of iterations."""
+    its = sorted(r[0] for r in runs.select("iterations").distinct().collect())
+    return runs.groupBy("rank", "reg").pivot("iterations", its).agg(F.first(y))
 
 
 def curves(runs: DataFrame, series="rank", x="reg", y="mse_train") -> DataFrame:
@@ -71,14 +84,15 @@ def curves(runs: DataFrame, series="rank", x="reg", y="mse_train") -> DataFrame:
     return runs.groupBy(series, "iterations").agg(pts.alias("points"))
 
 
-def top_n_named(model, n: int, names: DataFrame, item_key="p_partkey", name_col="p_name",
+def top_n_named(model, n: int, users: DataFrame, names: DataFrame, item_key="p_partkey", name_col="p_name",
                 user="user_id") -> DataFrame:
-    """Top-``n`` items per user with names as columns recommend_1..n.
+    """Top-``n`` items of the given users with names as columns
+    recommend_1..n (R11, R12).
 
     One left join to the names and a conditional aggregate per rank, so a
     user missing a name keeps the row (ledger Q31).
     """
-    recs = model.recommendForAllUsers(n)
+    recs = model.recommendForUserSubset(users, n)
     flat = recs.select(user, F.posexplode("recommendations").alias("pos", "rec")).select(
         user, "pos", F.col("rec.*"))
     item_col = [c for c in flat.columns if c not in (user, "pos", "rating")][0]
@@ -116,19 +130,15 @@ def gram(factors: DataFrame, rank: int) -> tuple[np.ndarray, int]:
 
 
 def _matvec(a: np.ndarray, vec_col):
-    rows = [F.array(*[F.lit(float(x)) for x in row]) for row in a]
-    return F.array(*[F.aggregate(F.zip_with(r, vec_col, lambda p, q: p * q), F.lit(0.0),
-                                 lambda s, x: s + x) for r in rows])
+    """The matrix is one array literal, whatever the rank."""
+    return F.transform(F.lit(a.tolist()), lambda row: dot(row, vec_col))
 
 
 def _half_step(ratings: DataFrame, fixed: DataFrame, fixed_key: str, solve_key: str,
                rank: int, lam: float) -> DataFrame:
-    g, n_fixed = gram(fixed, rank)
+    g, _ = gram(fixed, rank)
     a = np.linalg.inv(g + lam * np.eye(rank))
-    fx = fixed.select(F.col(fixed_key), F.col("f"))
-    if n_fixed <= FACTOR_BROADCAST_ROWS:
-        fx = F.broadcast(fx)
-    ry = (ratings.join(fx, fixed_key)
+    ry = (ratings.join(fixed.select(F.col(fixed_key), F.col("f")), fixed_key)
           .select(solve_key, F.transform("f", lambda v: v * F.col("rating")).alias("ry")))
     b = ry.groupBy(solve_key).agg(Summarizer.sum(array_to_vector("ry")).alias("b"))
     return b.select(solve_key, _matvec(a, vector_to_array(F.col("b"))).alias("f"))
@@ -144,18 +154,21 @@ def dense_als_path(ratings: DataFrame, rank: int, iterations: int, lam: float, s
     r = ratings.select(F.col(user).alias("u"), F.col(item).alias("i"),
                        F.col("rating").cast("double")).persist()
     items = init_factors(r.select("i").distinct(), "i", rank, seed).persist()
-    old = []
-    for it in range(1, iterations + 1):
-        users = _half_step(r, items, "i", "u", rank, lam).persist()
-        items_new = _half_step(r, users, "u", "i", rank, lam).persist()
-        if it % checkpoint_every == 0:
-            users, items_new = cut_lineage(users), cut_lineage(items_new)
-        for df in old:
+    held = [items]
+    try:
+        for it in range(1, iterations + 1):
+            users = _half_step(r, items, "i", "u", rank, lam).persist()
+            new = _half_step(r, users, "u", "i", rank, lam).persist()
+            held += [users, new]
+            if it % checkpoint_every == 0 or it == iterations:
+                users, new = cut_lineage(users), cut_lineage(new)
+                while held:  # what the checkpoint has replaced
+                    held.pop().unpersist()
+            items = new
+            yield it, users.select(F.col("u").alias(user), "f"), items.select(F.col("i").alias(item), "f")
+    finally:
+        for df in (*held, r):
             df.unpersist()
-        old = [items]
-        items = items_new
-        yield it, users.select(F.col("u").alias(user), "f"), items.select(F.col("i").alias(item), "f")
-        old.append(users)
 
 
 def dense_als(ratings: DataFrame, rank: int, iterations: int, lam: float, seed: int = 3,
@@ -181,21 +194,35 @@ def predict_rated(cells: DataFrame, users: DataFrame, items: DataFrame, user="us
     return j.withColumn("prediction", p).drop("fu", "fi")
 
 
-def all_cells(users: DataFrame, items: DataFrame, user="user_id", item="item_key",
-              block: int = 2048) -> DataFrame:
-    """Scores of every user × item cell (J10) as a blocked product, not a
-    cross join: users and items are hashed into blocks of about ``block``
-    rows; each user row is replicated once per item block and each item row
-    once per user block, and the equi-join on (user block, item block) gives
-    tasks of at most about block × block cells. The output itself is
-    users × items rows, so use it only where the full matrix is wanted."""
-    nu = max(1, -(-users.count() // block))
-    ni = max(1, -(-items.count() // block))
-    ub = users.select(user, F.col("f").alias("fu"),
-                      F.pmod(F.xxhash64(F.col(user)), F.lit(nu)).alias("_ub"),
-                      F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(ni - 1).cast("bigint"))).alias("_ib"))
-    ib = items.select(item, F.col("f").alias("fi"),
-                      F.pmod(F.xxhash64(F.col(item)), F.lit(ni)).alias("_ib"),
-                      F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(nu - 1).cast("bigint"))).alias("_ub"))
-    return (ub.join(ib, ["_ub", "_ib"])
-            .select(user, item, dot(F.col("fu"), F.col("fi")).alias("prediction")))
+def top_cells(users: DataFrame, items: DataFrame, n: int = 10, user="user_id", item="item_key",
+              block: int = 256) -> DataFrame:
+    """The ``n`` best items of each given user (J10, R15), ties to the smaller
+    item: a stated set of users, hashed into blocks, against all items. Items
+    are copied once per block of users, and a task keeps ``n`` rows a user."""
+    n_blocks = F.greatest(F.lit(1), F.ceil(users.agg(F.count(F.lit(1))).scalar() / block)).cast("bigint")
+    asked = users.select(user, F.col("f").alias("fu"), F.pmod(F.xxhash64(user), n_blocks).alias("_b"))
+    offered = items.select(item, F.col("f").alias("fi"), F.explode(F.sequence(F.lit(0).cast("bigint"), n_blocks - 1)).alias("_b"))
+    scored = asked.join(offered, "_b").select(user, item, dot(F.col("fu"), F.col("fi")).alias("prediction"))
+    w = Window.partitionBy(user).orderBy(F.col("prediction").desc(), F.col(item))
+    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
+def dense_grid(ratings: DataFrame, ranks, iterations, regs, at_once: int = 4, **keys) -> DataFrame:
+    """MSE over the rated cells of every (rank, iterations, λ). A run of the
+    most iterations passes through the shorter ones, so each (rank, λ) runs
+    once and is recorded on the way."""
+    from concurrent.futures import ThreadPoolExecutor
+    spark = ratings.sparkSession
+
+    def run(setting):
+        rk, lam = setting
+        out = []
+        for it, users, items in dense_als_path(ratings, rk, max(iterations), lam, **keys):
+            if it in iterations:
+                err = F.pow(F.col("rating") - F.col("prediction"), 2)
+                out.append((rk, it, float(lam), float(predict_rated(ratings, users, items).agg(F.avg(err)).first()[0] or 0.0)))
+        return out
+
+    with ThreadPoolExecutor(at_once) as pool:
+        rows = [r for part in pool.map(run, [(rk, lam) for lam in regs for rk in ranks]) for r in part]
+    return spark.createDataFrame(rows, "rank int, iterations int, reg double, mse double")

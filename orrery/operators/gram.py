@@ -1,305 +1,58 @@
-"""Pair statistics of columns over shared rows — a block sparse Gram product.
+"""Pair statistics of columns over shared rows, as a self-join on the row.
 
-For a long relation ``(row, col, value)`` this computes, for every pair of
-columns ``c1 < c2`` that share at least one row, the statistics over the
-shared rows::
+For a long relation ``(row, col, value)``: for every pair of columns
+``c1 < c2`` that share at least one row, over the shared rows,
 
     n   = number of shared rows      sxy = sum x*y
     sx  = sum x     sy = sum y       sxx = sum x*x    syy = sum y*y
 
-where x is the value in c1 and y the value in c2. Item–item similarity
-(rows = users), co-rater counts, document cosine (rows = terms) and the
-covariance of vector components are all instances.
+where x is the value in c1 and y the value in c2. Item–item similarity and
+co-rater counts (rows = users) and the covariance of vector components are
+instances. The result has one row per pair of columns, so columns are the
+bounded side (items, dimensions), never documents.
 
-Plan (no self-join on the row key, so no pair rows are ever shuffled):
-
-1. Row sizes ``m`` by an algebraic count; a row with ``m > hot_threshold``
-   (one user with a third of the data) is *hot*. Its columns are hashed
-   into the next power of two ≥ ``m / hot_threshold`` column blocks and its
-   entries are replicated to every block pair, so each task sees at most
-   about ``2 * hot_threshold`` entries of that row. Powers of two keep the
-   number of distinct blockings logarithmic, so a pair gets few partials.
-   Cold rows are not replicated.
-   If rows are long on average (``dense_row_length``), all rows share one
-   blocking of about ``block_cols`` columns per block instead.
-2. Entries are hash-partitioned by ``(row chunk, block pair)``; a row chunk
-   holds about ``rows_per_task`` entries.
-3. In each task NumPy joins left and right entries on the row key, forms the
-   pair contributions in bounded slices and sums them per pair, so a task
-   emits at most one partial row per distinct pair. When the block is dense
-   (few long rows, e.g. terms × documents) the same sums come from dense
-   matrix products instead.
-4. Spark sums the partials per pair (map-side combine, then one shuffle).
-
-Sums are in float64: exact when values are integers below 2**53 (doubled
-half-star ratings), so zero tests stay exact.
+Rows are cut into blocks of columns on both sides (``skew``), so that a row
+with a third of all entries spreads over many tasks; the pairs of a block are
+added up before the shuffle on (c1, c2). Sums of integers (doubled half-star
+ratings) are exact.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from orrery.operators.partitioning import parallelism as _parallelism
+from orrery.operators.skew import BLOCK, blocks, every_block, own_block
 
 STATS = ("n", "sx", "sy", "sxy", "sxx", "syy")
 
-# Upper bound of pair contributions materialised at once inside a task.
-_SLICE_PAIRS = 2_000_000
-# Dense block products are used when the dense matrices stay below this many
-# cells and cost at most this many multiply-adds per sparse pair contribution.
-_DENSE_CELLS = 16_000_000
-_DENSE_COLS = 4096
-_DENSE_FLOPS_PER_PAIR = 64
-
-
-def _pair_slices(counts: np.ndarray, cap: int):
-    """Split left entries into consecutive slices whose pair count is <= cap
-    (a single entry with more partners forms its own slice)."""
-    if len(counts) == 0:
-        return
-    cs = np.cumsum(counts)
-    cuts = np.searchsorted(cs, np.arange(cap, int(cs[-1]), cap), side="left") + 1
-    edges = [0, *sorted({int(c) for c in cuts if 0 < c < len(counts)}), len(counts)]
-    for s, e in zip(edges[:-1], edges[1:]):
-        yield s, e
-
-
-def _block_product(pdf: pd.DataFrame, stats, include_self: bool,
-                   dense_flops_per_pair: float = _DENSE_FLOPS_PER_PAIR) -> pd.DataFrame:
-    b1 = int(pdf["_b1"].iat[0])
-    b2 = int(pdf["_b2"].iat[0])
-    if b1 == b2:
-        left = right = pdf
-    else:
-        left = pdf[pdf["_cb"] == b1]
-        right = pdf[pdf["_cb"] == b2]
-    cols_out = ["c1", "c2", *stats]
-    if len(left) == 0 or len(right) == 0:
-        return pd.DataFrame({c: [] for c in cols_out})
-
-    # Codes ordered like the keys, so code order is key order.
-    col_codes, col_keys = pd.factorize(pd.concat([left["_c"], right["_c"]], ignore_index=True),
-                                       sort=True)
-    row_codes, _ = pd.factorize(pd.concat([left["_r"], right["_r"]], ignore_index=True))
-    nl = len(left)
-    lr, rr = row_codes[:nl], row_codes[nl:]
-    lc, rc = col_codes[:nl].astype(np.int64), col_codes[nl:].astype(np.int64)
-    lv = left["_v"].to_numpy(np.float64)
-    rv = right["_v"].to_numpy(np.float64)
-
-    order = np.argsort(rr, kind="stable")
-    rr, rc, rv = rr[order], rc[order], rv[order]
-    starts = np.searchsorted(rr, lr, "left")
-    counts = np.searchsorted(rr, lr, "right") - starts
-    ncol = np.int64(len(col_keys))
-
-    n_rows = int(row_codes.max()) + 1
-    n_pairs = int(counts.sum())
-    cells = n_rows * len(col_keys)
-    if (cells <= _DENSE_CELLS and len(col_keys) <= _DENSE_COLS
-            and n_rows * float(len(col_keys)) ** 2 <= dense_flops_per_pair * max(n_pairs, 1)):
-        return _dense_block(lr, lc, lv, rr, rc, rv, n_rows, col_keys, b1 == b2, stats, include_self)
-
-    part_keys, part_sums = [], []
-    for s, e in _pair_slices(counts, _SLICE_PAIRS):
-        cnt = counts[s:e]
-        total = int(cnt.sum())
-        if total == 0:
-            continue
-        li = np.repeat(np.arange(s, e), cnt)
-        offs = np.repeat(np.cumsum(cnt) - cnt, cnt)
-        ri = starts[li] + (np.arange(total) - offs)
-        a, b = lc[li], rc[ri]
-        x, y = lv[li], rv[ri]
-        if b1 == b2:
-            keep = (a <= b) if include_self else (a < b)
-            a, b, x, y = a[keep], b[keep], x[keep], y[keep]
-        else:
-            swap = a > b
-            a, b = np.where(swap, b, a), np.where(swap, a, b)
-            x, y = np.where(swap, y, x), np.where(swap, x, y)
-        if len(a) == 0:
-            continue
-        key = a * ncol + b
-        uniq, inv = np.unique(key, return_inverse=True)
-        sums = []
-        for st in stats:
-            if st == "n":
-                w = None
-            elif st == "sx":
-                w = x
-            elif st == "sy":
-                w = y
-            elif st == "sxy":
-                w = x * y
-            elif st == "sxx":
-                w = x * x
-            else:
-                w = y * y
-            sums.append(np.bincount(inv, weights=w, minlength=len(uniq)))
-        part_keys.append(uniq)
-        part_sums.append(np.vstack(sums))
-
-    if not part_keys:
-        return pd.DataFrame({c: [] for c in cols_out})
-    keys = np.concatenate(part_keys)
-    sums = np.hstack(part_sums)
-    if len(part_keys) > 1:
-        uniq, inv = np.unique(keys, return_inverse=True)
-        sums = np.vstack([np.bincount(inv, weights=row, minlength=len(uniq)) for row in sums])
-        keys = uniq
-    out = {"c1": col_keys.take(keys // ncol), "c2": col_keys.take(keys % ncol)}
-    for st, row in zip(stats, sums):
-        out[st] = np.rint(row).astype(np.int64) if st == "n" else row
-    return pd.DataFrame(out)
-
-
-def _dense_block(lr, lc, lv, rr, rc, rv, n_rows, col_keys, diagonal, stats, include_self):
-    """Same statistics by dense products when the block is dense enough:
-    with masks M and values X of the two sides, n = MᵀM, Σxy = XᵀX,
-    Σx = XᵀM, Σy = MᵀX, Σx² = (X²)ᵀM, Σy² = Mᵀ(X²)."""
-    ncol = len(col_keys)
-    xl = np.zeros((n_rows, ncol))
-    ml = np.zeros((n_rows, ncol))
-    xl[lr, lc] = lv
-    ml[lr, lc] = 1.0
-    if diagonal:
-        xr, mr = xl, ml
-    else:
-        xr = np.zeros((n_rows, ncol))
-        mr = np.zeros((n_rows, ncol))
-        xr[rr, rc] = rv
-        mr[rr, rc] = 1.0
-    n = ml.T @ mr
-    prods = {"n": lambda: n, "sxy": lambda: xl.T @ xr, "sx": lambda: xl.T @ mr,
-             "sy": lambda: ml.T @ xr, "sxx": lambda: (xl * xl).T @ mr, "syy": lambda: ml.T @ (xr * xr)}
-    if diagonal:
-        a, b = np.nonzero(np.triu(n > 0, k=0 if include_self else 1))
-        out = {"c1": col_keys.take(a), "c2": col_keys.take(b)}
-        for st in stats:
-            m = prods[st]()
-            out[st] = np.rint(m[a, b]).astype(np.int64) if st == "n" else m[a, b]
-        return pd.DataFrame(out)
-    a, b = np.nonzero(n > 0)
-    swap = a > b
-    lo, hi = np.where(swap, b, a), np.where(swap, a, b)
-    out = {"c1": col_keys.take(lo), "c2": col_keys.take(hi)}
-    mats = {st: prods[st]() for st in stats}
-    partner = {"sx": "sy", "sy": "sx", "sxx": "syy", "syy": "sxx"}
-    for st in stats:
-        v = mats[st][a, b]
-        if st in partner:
-            other = mats[partner[st]] if partner[st] in mats else prods[partner[st]]()
-            v = np.where(swap, other[a, b], v)
-        out[st] = np.rint(v).astype(np.int64) if st == "n" else v
-    return pd.DataFrame(out)
-
-
-def pair_stats(df: DataFrame, row: str, col: str, value: str | None = None,
-               stats=STATS, include_self: bool = False, hot_threshold: int = 2048,
-               rows_per_task: int = 400_000, hot_broadcast_limit: int = 200_000,
-               dense_row_length: int = 256, block_cols: int = 2048,
-               dense_flops_per_pair: float = _DENSE_FLOPS_PER_PAIR) -> DataFrame:
-    """Columns ``c1, c2`` and the requested ``stats`` for pairs sharing a row.
-
-    ``c1 < c2``; with ``include_self`` also ``c1 == c2`` (then x == y).
-    Each (row, col) should appear once; de-duplicate before calling.
-    """
-    stats = tuple(stats)
-    unknown = set(stats) - set(STATS)
-    if unknown:
-        raise ValueError(f"unknown stats {unknown}")
-    col_type = df.schema[col].dataType
-    val = F.col(value).cast("double") if value else F.lit(1.0)
-    base = df.select(F.col(row).alias("_r"), F.col(col).alias("_c"), val.alias("_v"))
-
-    sizes = base.groupBy("_r").agg(F.count(F.lit(1)).alias("_m"))
-    summ = sizes.agg(F.sum("_m").alias("total"), F.max("_m").alias("mx"),
-                     F.count(F.lit(1)).alias("rows")).first()
-    total = int(summ["total"] or 0)
-    max_m = int(summ["mx"] or 0)
-    n_rows = max(int(summ["rows"] or 0), 1)
-    parallelism = _parallelism(df.sparkSession)
-    n_chunks = max(1, math.ceil(total / rows_per_task))
-
-    if total / n_rows >= dense_row_length:
-        # Dense regime (long rows on average, e.g. terms × documents): one
-        # uniform column blocking for all rows, so each pair lives in exactly
-        # one block pair and the in-task products can be dense. Parallelism
-        # comes from the block pairs (at least one per core), not from more
-        # row chunks, which would repeat nearly every pair once per chunk.
-        n_cols = int(base.agg(F.approx_count_distinct("_c").alias("c")).first()["c"] or 1)
-        nb_i = max(1, math.ceil(n_cols / block_cols))
-        while nb_i * (nb_i + 1) // 2 < parallelism and nb_i < n_cols:
-            nb_i += 1
-        nb = F.lit(nb_i)
-        hot_rows = False
-    elif max_m > hot_threshold:
-        hot = (sizes.where(F.col("_m") > hot_threshold)
-               .select("_r", F.pow(F.lit(2), F.ceil(F.log2(F.col("_m") / F.lit(hot_threshold))))
-                       .cast("int").alias("_nb")))
-        # Broadcast only below a counted bound; beyond it a shuffle join,
-        # which AQE splits if the hot keys skew it.
-        if hot.count() <= hot_broadcast_limit:
-            hot = F.broadcast(hot)
-        base = base.join(hot, "_r", "left")
-        nb = F.coalesce(F.col("_nb"), F.lit(1))
-        hot_rows = True
-    else:
-        nb = F.lit(1)
-        hot_rows = False
-    if not (total / n_rows >= dense_row_length):
-        # Sparse regime: at least one row chunk per core so the block
-        # products spread; extra chunks only add partials the final sum merges.
-        n_chunks = max(parallelism, n_chunks)
-
-    cb = F.pmod(F.xxhash64(F.col("_c")), nb.cast("bigint")).cast("int")
-    entries = (base.withColumn("_cb", cb)
-               .withColumn("_o", F.explode(F.sequence(F.lit(0), nb - F.lit(1))))
-               .select("_r", "_c", "_v", "_cb",
-                       F.least("_cb", "_o").alias("_b1"), F.greatest("_cb", "_o").alias("_b2"),
-                       F.pmod(F.xxhash64(F.col("_r"), F.lit(7)), F.lit(n_chunks)).alias("_k")))
-
-    fields = [T.StructField("c1", col_type), T.StructField("c2", col_type)]
-    for st in stats:
-        fields.append(T.StructField(st, T.LongType() if st == "n" else T.DoubleType()))
-    schema = T.StructType(fields)
-
-    def fn(pdf):
-        return _block_product(pdf, stats, include_self, dense_flops_per_pair)
-
-    # The block products are CPU work on few bytes: an explicit partition
-    # count keeps AQE from coalescing them into a couple of tasks, and the
-    # grouping below reuses this partitioning (no second shuffle).
-    n_parts = max(parallelism, n_chunks)
-    partial = (entries.repartition(n_parts, "_k", "_b1", "_b2")
-               .groupBy("_k", "_b1", "_b2").applyInPandas(fn, schema))
-    if n_chunks == 1 and not hot_rows:
-        return partial  # every pair is emitted by exactly one group
-    aggs = [F.sum(st).alias(st) for st in stats]
-    return partial.groupBy("c1", "c2").agg(*aggs)
-
 
-def pearson(stats_df: DataFrame, exact_integers: bool = True, out: str = "similarity"):
+def pair_stats(df: DataFrame, row: str, col: str, value: str | None = None, stats=STATS,
+               include_self: bool = False, block: int = BLOCK) -> DataFrame:
+    """``c1, c2`` and the asked ``stats`` (``n`` bigint, sums double)."""
+    x = F.col(value).cast("double") if value else F.lit(1.0)
+    base = df.select(F.col(row).alias("_r"), F.col(col).alias("_c"), x.alias("_v"))
+    sizes = base.groupBy("_r").agg(blocks(F.count(F.lit(1)), block).alias("_s"))
+    sized = base.join(sizes, "_r").withColumn("_o", own_block(["_c"], F.col("_s")))
+    a = sized.select("_r", F.col("_c").alias("c1"), F.col("_v").alias("x"), F.col("_o").alias("_a"),
+                     every_block(F.col("_s")).alias("_b"))
+    b = sized.select("_r", F.col("_c").alias("c2"), F.col("_v").alias("y"), F.col("_o").alias("_b"),
+                     every_block(F.col("_s")).alias("_a"))
+    met = a.join(b, ["_r", "_a", "_b"]).where(F.col("c1") <= F.col("c2") if include_self else F.col("c1") < F.col("c2"))
+    sums = {"n": F.count(F.lit(1)), "sx": F.sum("x"), "sy": F.sum("y"), "sxy": F.sum(F.col("x") * F.col("y")),
+            "sxx": F.sum(F.col("x") * F.col("x")), "syy": F.sum(F.col("y") * F.col("y"))}
+    return met.groupBy("c1", "c2").agg(*[sums[s].alias(s) for s in stats])
+
+
+def pearson(stats_df: DataFrame, exact_integers: bool = True, out: str = "similarity") -> DataFrame:
     """Pearson correlation over shared rows from one-pass sums (ledger Q5):
     (n·Σxy − Σx·Σy) / (√(n·Σx² − (Σx)²) · √(n·Σy² − (Σy)²)), 0 if any factor is 0.
 
     With integer data the three factors are computed in bigint, so the zero
     tests are exact (ANSI mode raises on overflow instead of wrapping).
     """
-    if exact_integers:
-        n = F.col("n")
-        sx, sy = F.col("sx").cast("bigint"), F.col("sy").cast("bigint")
-        sxy, sxx, syy = (F.col(c).cast("bigint") for c in ("sxy", "sxx", "syy"))
-    else:
-        n = F.col("n").cast("double")
-        sx, sy, sxy, sxx, syy = (F.col(c) for c in ("sx", "sy", "sxy", "sxx", "syy"))
+    kind = "bigint" if exact_integers else "double"
+    n, sx, sy, sxy, sxx, syy = (F.col(c).cast(kind) for c in STATS)
     num = n * sxy - sx * sy
     d1 = n * sxx - sx * sx
     d2 = n * syy - sy * sy

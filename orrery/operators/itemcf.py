@@ -1,6 +1,6 @@
 """Item-based collaborative filtering (R1–R6) as DataFrame joins and aggregates.
 
-similarity   Pearson over common raters of items with support (block Gram)
+similarity   Pearson over common raters of items with support (``gram``)
 candidates   test (user, target) × train (user, neighbour) with similarity > 0
 prediction   top-k neighbours per test pair, weighted mean Σ w·r / Σ |w|
 blend        item average (default 4.0) averaged with the prediction if any
@@ -48,23 +48,22 @@ def co_rater_counts(ratings: DataFrame, user="user_id", item="item_key", include
                      F.col("n").alias("n_common"))
 
 
-def candidates(train: DataFrame, test: DataFrame, sim_full: DataFrame, user="user_id",
-               item="item_id", rating="rating", min_support: int = 25,
-               hot_threshold: int = 4096) -> DataFrame:
+def candidates(train: DataFrame, test: DataFrame, sim: DataFrame, user="user_id",
+               item="item_id", rating="rating", min_support: int = 25) -> DataFrame:
     """Neighbour candidates of every test pair.
 
     Test pairs meet the supported train items of the same user through a
-    fan-out join that salts hot users; the similarity lookup is an equi-join
-    on (target, neighbour); only positive similarities survive.
+    fan-out join that splits large users; the similarity (half matrix,
+    ``item_1 < item_2``) is looked up by the ordered pair; only positive ones
+    survive.
     """
     tr = with_support(train, item, min_support).select(
         user, F.col(item).alias("neighbour"), F.col(rating).alias("neighbour_rating"))
     te = test.select(user, F.col(item).alias("target"))
-    pairs = fanout_join(te, tr, user, hot_threshold=hot_threshold,
-                        left_tiebreak="target", right_tiebreak="neighbour")
-    sim = sim_full.select(F.col("item_1").alias("target"), F.col("item_2").alias("neighbour"),
-                          "similarity").where(F.col("similarity") > 0)
-    return pairs.join(sim, ["target", "neighbour"])
+    pairs = fanout_join(te, tr, user, left_tiebreak="target", right_tiebreak="neighbour") \
+        .withColumn("item_1", F.least("target", "neighbour")).withColumn("item_2", F.greatest("target", "neighbour"))
+    good = sim.select("item_1", "item_2", "similarity").where(F.col("similarity") > 0)
+    return pairs.join(good, ["item_1", "item_2"]).drop("item_1", "item_2")
 
 
 def neighbour_prediction(cands: DataFrame, k: int = 5, order: str = "desc",

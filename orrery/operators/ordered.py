@@ -1,95 +1,72 @@
 """Operators that need a global order: dense ordered index and running sums.
 
 A window without ``partitionBy`` would pull every row into one task. Here the
-rows are range-partitioned and sorted, each partition counts itself, the
-driver receives one number per partition (bounded by the partition count,
-not by the data) and turns them into offsets, and each partition adds its
-offset. The sorted relation is checkpointed to the shared checkpoint folder
-so both passes see identical partitions.
+order is cut into ranges at fixed bounds, taken once from a bounded sample of
+the keys (those of smallest hash), so the range of a row is a function of its
+key alone: every evaluation agrees, and nothing is checkpointed. Each range is
+a window of its own; the ranges' totals are a table of at most ``RANGES`` rows
+whose running sums are joined back.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from orrery.session import cut_lineage
+#: Ranges, and sampled keys from which their bounds are taken.
+RANGES, SAMPLE = 256, 4096
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def range_bounds(df: DataFrame, key: str, ranges: int = RANGES, sample: int = SAMPLE) -> list:
+    """Ascending bounds that cut the distinct keys into about equal ranges."""
+    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
+    got = sorted(r[0] for r in keys.orderBy(F.xxhash64(key), key).limit(sample).collect())
+    n = min(ranges, max(1, len(got) // 4))
+    return sorted({got[len(got) * i // n] for i in range(1, n)})
+
+
+def range_of(key: Column, bounds: list, first: int = 0) -> Column:
+    """Number of bounds not above the key, as a balanced tree of comparisons."""
+    if not bounds:
+        return F.lit(first)
+    mid = len(bounds) // 2
+    return F.when(key < F.lit(bounds[mid]), range_of(key, bounds[:mid], first)) \
+        .otherwise(range_of(key, bounds[mid + 1:], first + mid + 1))
 
 
-def _offset_map(counts: dict[int, int]):
-    """Literal map pid -> rows in earlier partitions (one entry per partition)."""
-    acc, pairs = 0, []
-    for pid in sorted(counts):
-        pairs += [F.lit(pid), F.lit(acc)]
-        acc += counts[pid]
-    return F.create_map(*pairs) if pairs else F.create_map()
+def _before(per_range: DataFrame, sums: list[str], descending: bool) -> DataFrame:
+    """The sums of the ranges before each (a table of at most RANGES rows)."""
+    order = F.col("_range").desc() if descending else F.col("_range").asc()
+    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return per_range.select("_range", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_before_{c}") for c in sums])
 
 
-def dense_index(df: DataFrame, key: str, out: str = "idx", partitions: int | None = None,
+def dense_index(df: DataFrame, key: str, out: str = "idx", ranges: int = RANGES,
                 descending: bool = False) -> DataFrame:
     """Distinct ``key`` values with a 0-based ``out`` index in key order.
 
-    Same result as ``dense_rank() OVER (ORDER BY key) - 1`` without a
-    single-partition window.
+    Same result as ``dense_rank() OVER (ORDER BY key) - 1``.
     """
-    p = _partitions(df, partitions)
-    order = F.col(key).desc() if descending else F.col(key).asc()
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    ranged = (keys.repartitionByRange(p, order).sortWithinPartitions(order)
-              .withColumn("__ord_pid", F.spark_partition_id())
-              .withColumn("__ord_mid", F.monotonically_increasing_id()))
-    ranged = cut_lineage(ranged)
-    stats = {r["__ord_pid"]: (r["c"], r["lo"]) for r in
-             ranged.groupBy("__ord_pid").agg(F.count(F.lit(1)).alias("c"),
-                                        F.min("__ord_mid").alias("lo")).collect()}
-    offsets = _offset_map({k: v[0] for k, v in stats.items()})
-    lows = F.create_map(*[x for k in sorted(stats) for x in (F.lit(k), F.lit(stats[k][1]))])
-    return ranged.select(key, (F.element_at(offsets, F.col("__ord_pid"))
-                               + F.col("__ord_mid") - F.element_at(lows, F.col("__ord_pid"))).alias(out))
+    placed = keys.withColumn("_range", range_of(F.col(key), range_bounds(keys, key, ranges)))
+    before = _before(placed.groupBy("_range").agg(F.count(F.lit(1)).alias("n")), ["n"], descending)
+    w = Window.partitionBy("_range").orderBy(F.col(key).desc() if descending else F.col(key).asc())
+    return placed.withColumn("_nth", F.row_number().over(w)).join(before, "_range") \
+        .select(key, (F.col("_before_n") + F.col("_nth") - 1).cast("bigint").alias(out))
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: list[str], descending: bool = True,
-                 partitions: int | None = None) -> DataFrame:
-    """For each distinct ``order_col`` value (one row per value expected): the
+                 ranges: int = RANGES, group: str | None = None) -> DataFrame:
+    """For each row (one per ``order_col`` value of a ``group`` expected): the
     inclusive running totals ``cum_<c>`` of ``sum_cols`` in that order."""
-    p = _partitions(df, partitions)
+    placed = df.withColumn("_range", range_of(F.col(order_col), range_bounds(df, order_col, ranges)))
+    by = [group] if group else []
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    ranged = (df.repartitionByRange(p, order).sortWithinPartitions(order)
-              .withColumn("__ord_pid", F.spark_partition_id()))
-    ranged = cut_lineage(ranged)
-    tot = {r["__ord_pid"]: [r[c] for c in sum_cols] for r in
-           ranged.groupBy("__ord_pid").agg(*[F.sum(c).alias(c) for c in sum_cols]).collect()}
-    base, acc = {}, np.zeros(len(sum_cols))
-    for pid in sorted(tot):
-        base[pid] = acc.copy()
-        acc = acc + np.array([v or 0 for v in tot[pid]], dtype=np.float64)
-
-    out_fields = list(ranged.schema.fields) + [
-        T.StructField(f"cum_{c}", T.DoubleType()) for c in sum_cols]
-    schema = T.StructType(out_fields)
-
-    def fn(batches):
-        carry = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pid = int(pdf["__ord_pid"].iat[0])
-            if carry is None:
-                carry = base.get(pid, np.zeros(len(sum_cols)))
-            vals = pdf[sum_cols].to_numpy(np.float64)
-            cum = np.cumsum(vals, axis=0) + carry
-            carry = cum[-1]
-            for j, c in enumerate(sum_cols):
-                pdf[f"cum_{c}"] = cum[:, j]
-            yield pdf
-
-    return ranged.mapInPandas(fn, schema).drop("__ord_pid")
+    totals = placed.groupBy(*by, "_range").agg(*[F.sum(c).alias(c) for c in sum_cols])
+    # ranges without rows of a group are not in its totals, so the sums before stay right
+    across = Window.partitionBy(*by).orderBy(F.col("_range").desc() if descending else F.col("_range").asc()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(*by, "_range", *[F.coalesce(F.sum(c).over(across), F.lit(0.0)).alias(f"_before_{c}") for c in sum_cols])
+    within = Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    cum = placed.select("*", *[F.sum(c).over(within).alias(f"_in_{c}") for c in sum_cols]).join(before, [*by, "_range"])
+    return cum.select(*df.columns, *[(F.col(f"_in_{c}") + F.col(f"_before_{c}")).cast("double").alias(f"cum_{c}") for c in sum_cols])

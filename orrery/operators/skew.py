@@ -1,66 +1,50 @@
-"""Equi-joins that fan out per key, with hot keys split on both sides.
+"""Equi-joins that fan out per key, with large keys split on both sides.
 
 ``fanout_join(left, right, key)`` is ``left.join(right, key)`` whose output
 for one key is |left_k| × |right_k| rows (test pairs × train items of a
-user). If one key holds a third of the data that product lands in one task.
-Keys whose row count exceeds ``hot_threshold`` on a side are salted: that
-side's rows are spread over ``ceil(n / hot_threshold)`` salts and the other
-side's rows of the key are replicated once per salt. Every (key, salt, salt)
-group then joins at most ``hot_threshold`` × ``hot_threshold`` rows. Cold keys
-keep salt 0 and are not replicated.
+user). If one key holds a third of the data that product would land in one
+task. Every key is cut into ``ceil(n / block)`` blocks on each side (one block
+for small keys); a row goes to its own block and meets every block of the
+other side, so a group joins at most about ``block`` × ``block`` rows. The
+plan has this one shape whatever the sizes; the key counts are partial sums
+joined back, and Spark decides by their measured size how.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+BLOCK = 2048
 
-def _hot_keys(left: DataFrame, right: DataFrame, keys: list[str], threshold: int, limit: int):
-    """Keys with more than ``threshold`` rows on either side, with the salt
-    count of each side, found in one aggregation; broadcast below ``limit``."""
-    tagged = (left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_rr"))
-              .unionByName(right.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_rr"))))
-    h = (tagged.groupBy(*keys).agg(F.sum("_l").alias("_nl"), F.sum("_rr").alias("_nr"))
-         .where((F.col("_nl") > threshold) | (F.col("_nr") > threshold))
-         .select(*keys,
-                 F.greatest(F.lit(1), F.ceil(F.col("_nl") / F.lit(threshold))).cast("int").alias("_sl"),
-                 F.greatest(F.lit(1), F.ceil(F.col("_nr") / F.lit(threshold))).cast("int").alias("_sr")))
-    n = h.count()
-    if n == 0:
-        return None
-    return F.broadcast(h) if n <= limit else h
 
+def blocks(n: Column, block: int) -> Column:
+    return F.greatest(F.lit(1), F.ceil(n / F.lit(block))).cast("int")
 
-def fanout_join(left: DataFrame, right: DataFrame, keys: list[str] | str,
-                hot_threshold: int = 4096, broadcast_limit: int = 200_000,
+
+def own_block(cols: list[str], n_blocks: Column) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), n_blocks.cast("bigint")).cast("int")
+
+
+def every_block(n_blocks: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), n_blocks - F.lit(1)))
+
+
+def fanout_join(left: DataFrame, right: DataFrame, keys: list[str] | str, block: int = BLOCK,
                 left_tiebreak: str | None = None, right_tiebreak: str | None = None) -> DataFrame:
-    """Inner equi-join on ``keys`` with both-side salting of hot keys.
+    """Inner equi-join on ``keys`` with both sides of large keys in blocks.
 
-    ``left_tiebreak`` / ``right_tiebreak`` name a column that spreads a hot
-    key's rows over salts (hash of it); default is a hash of all columns.
+    ``left_tiebreak`` / ``right_tiebreak`` name a column that spreads a key's
+    rows over blocks (hash of it); default is a hash of all columns.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    hot = _hot_keys(left, right, keys, hot_threshold, broadcast_limit)
-    if hot is None:
-        return left.join(right, keys)
-
-    lcols = [left_tiebreak] if left_tiebreak else list(left.columns)
-    rcols = [right_tiebreak] if right_tiebreak else list(right.columns)
 
-    def salted(df):
-        return (df.join(hot, keys, "left")
-                .withColumn("_sl", F.coalesce(F.col("_sl"), F.lit(1)))
-                .withColumn("_sr", F.coalesce(F.col("_sr"), F.lit(1))))
+    def sizes(df, out):
+        return df.groupBy(*keys).agg(blocks(F.count(F.lit(1)), block).alias(out))
 
-    # left rows: own salt a from a hash, replicated over the right side's salts b
-    l2 = salted(left)
-    l2 = (l2.withColumn("_a", F.pmod(F.xxhash64(*[F.col(c) for c in lcols]),
-                                     F.col("_sl").cast("bigint")).cast("int"))
-          .withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("_sr") - 1))))
-    r2 = salted(right)
-    r2 = (r2.withColumn("_b", F.pmod(F.xxhash64(*[F.col(c) for c in rcols]),
-                                     F.col("_sr").cast("bigint")).cast("int"))
-          .withColumn("_a", F.explode(F.sequence(F.lit(0), F.col("_sl") - 1))))
-    return (l2.drop("_sl", "_sr").join(r2.drop("_sl", "_sr"), keys + ["_a", "_b"])
-            .drop("_a", "_b"))
+    both = sizes(left, "_sl").join(sizes(right, "_sr"), keys)
+    a = left.join(both, keys).withColumn("_a", own_block([left_tiebreak] if left_tiebreak else left.columns, F.col("_sl"))) \
+        .withColumn("_b", every_block(F.col("_sr"))).drop("_sl", "_sr")
+    b = right.join(both, keys).withColumn("_b", own_block([right_tiebreak] if right_tiebreak else right.columns, F.col("_sr"))) \
+        .withColumn("_a", every_block(F.col("_sl"))).drop("_sl", "_sr")
+    return a.join(b, keys + ["_a", "_b"]).drop("_a", "_b")

@@ -9,23 +9,19 @@ Stems are computed once per distinct token and joined back.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.functions import text as TX
-from orrery.operators.gram import pair_stats
-from orrery.operators.partitioning import spread
-
-# Vocabulary maps larger than this are joined by shuffle instead of broadcast.
-BROADCAST_ROWS = 2_000_000
+from orrery.session import cut_lineage
 
 
-def english_documents(documents: DataFrame) -> DataFrame:
-    """The corpus: English documents; rank = doc order, title from source and id."""
-    return spread(documents.where(F.col("lang") == "en")
-                  .select("doc_id",
-                          F.concat(F.col("source"), F.lit("#"), F.col("doc_id").cast("string")).alias("title"),
-                          "text"), "doc_id")
+def corpus_documents(documents: DataFrame) -> DataFrame:
+    """The corpus: every document; rank = doc order, title from source and id."""
+    return documents.select("doc_id", F.concat(F.col("source"), F.lit("#"), F.col("doc_id").cast("string")).alias("title"),
+                            "text")
 
 
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -35,25 +31,27 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(arr).alias("pos", "token"))
 
 
+def stopwords_removed(docs: DataFrame) -> DataFrame:
+    """``(doc_id, n_removed)`` for the documents with stop words."""
+    raw = F.regexp_extract_all(F.lower("text"), F.lit(TX.TOKEN_PATTERN), 0)
+    n = F.size(F.filter(raw, lambda t: t.isin(*TX.stopwords())))
+    return docs.select("doc_id", n.cast("bigint").alias("n_removed")).where(F.col("n_removed") > 0)
+
+
 def token_counts(toks: DataFrame) -> DataFrame:
     """``(doc_id, token, tf, last_pos)``: one row per distinct token of a doc."""
     return toks.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"),
                                                 F.max("pos").alias("last_pos"))
 
 
-def _maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if df.count() <= limit else df
-
-
 def stem_map(counts: DataFrame) -> DataFrame:
     """``(token, stem)`` for each distinct token, stemmed once (T4)."""
     return counts.select("token").distinct().withColumn("stem", TX.stem(F.col("token")))
 
 
 def stemmed_counts(counts: DataFrame) -> DataFrame:
-    """Token counts with their stem; the stem map is broadcast below a counted size."""
-    sm = stem_map(counts).persist()
-    return counts.join(_maybe_broadcast(sm), "token")
+    """Token counts with their stem, stemmed once per distinct token."""
+    return counts.join(stem_map(counts), "token")
 
 
 def stem_to_word(stemmed: DataFrame) -> DataFrame:
@@ -71,31 +69,25 @@ def term_frequencies(stemmed: DataFrame, drop_stopword_stems: bool = True) -> Da
     return tf
 
 
-def vocabulary(tf: DataFrame, n_docs: int, min_df: float = 0.2, max_df: float = 0.8,
-               max_features: int | None = 200_000) -> DataFrame:
-    """Terms with ``min_df·n <= df <= max_df·n`` (fractions of documents) and,
-    if more remain, the ``max_features`` most frequent (T6, ledger Q23)."""
-    lo = min_df * n_docs if isinstance(min_df, float) else min_df
-    hi = max_df * n_docs if isinstance(max_df, float) else max_df
-    v = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
-         .where((F.col("df") >= F.lit(lo)) & (F.col("df") <= F.lit(hi))))
-    if max_features is not None and v.count() > max_features:
-        v = v.orderBy(F.col("total").desc(), F.col("term")).limit(max_features)
-    return v.select("term", "df")
+def vocabulary(tf: DataFrame, docs: DataFrame, min_df: float = 0.2, max_df: float = 0.8) -> DataFrame:
+    """Terms with ``min_df·n <= df <= max_df·n`` (fractions of the n documents,
+    T6, ledger Q23), with their df and n. A document has few terms on average,
+    so at most (their mean number) / ``min_df`` terms pass: the vocabulary is
+    bounded whatever the number of documents."""
+    n = docs.agg(F.count(F.lit(1))).scalar()
+    v = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("n", n)
+    return v.where((F.col("df") >= min_df * F.col("n")) & (F.col("df") <= max_df * F.col("n")))
 
 
-def idf_table(vocab: DataFrame, n_docs: int) -> DataFrame:
+def idf_table(vocab: DataFrame) -> DataFrame:
     """Smoothed idf = ln((1 + n) / (1 + df)) + 1."""
     return vocab.select("term", "df",
-                        (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"))
+                        (F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"))
 
 
-def tfidf(tf: DataFrame, vocab: DataFrame, n_docs: int) -> DataFrame:
-    """``(doc_id, term, weight)``: tf·idf, L2-normalised per document.
-
-    The vocabulary is bounded by ``max_features``, so broadcasting it is safe.
-    """
-    w = (tf.join(F.broadcast(idf_table(vocab, n_docs)), "term")
+def tfidf(tf: DataFrame, vocab: DataFrame) -> DataFrame:
+    """``(doc_id, term, weight)``: tf·idf, L2-normalised per document."""
+    w = (tf.join(idf_table(vocab), "term")
          .select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("raw")))
     # A document's weights are bounded by the vocabulary size, so the
     # per-document window is bounded; it reuses the doc partitioning of tf.
@@ -109,68 +101,54 @@ def scaled(weights: DataFrame, factor: int = 1000) -> DataFrame:
                           (F.col("weight") * F.lit(factor)).cast("int").alias("weight_int"))
 
 
-def doc_cosine(weights: DataFrame, **gram_opts) -> DataFrame:
-    """Cosine of every document pair sharing a term (T8): Σ w1·w2 over terms.
-
-    Rows are terms, so a term in most documents is a hot row; the block Gram
-    splits it by document blocks instead of emitting its pairs as rows.
-    """
-    st = pair_stats(weights, row="term", col="doc_id", value="weight", stats=("sxy",), **gram_opts)
-    return st.select(F.col("c1").alias("doc_1"), F.col("c2").alias("doc_2"),
-                     F.col("sxy").alias("cosine"))
+def nearest_documents(weights: DataFrame, every: int = 20, k: int = 10) -> DataFrame:
+    """The ``k`` documents of largest cosine for each document whose id is
+    divisible by ``every`` (T8): the stated documents against all, joined on
+    the term; ties (at six decimals) go to the smaller id. Only the stated
+    documents' pairs are added up, and a group limit keeps k of each task's."""
+    asked = weights.where(F.col("doc_id") % every == 0).select(F.col("doc_id").alias("doc_1"), "term", F.col("weight").alias("_w"))
+    dot = asked.join(weights, "term").where(F.col("doc_1") != F.col("doc_id")) \
+        .groupBy("doc_1", F.col("doc_id").alias("doc_2")).agg(F.round(F.sum(F.col("_w") * F.col("weight")), 6).alias("cosine"))
+    w = Window.partitionBy("doc_1").orderBy(F.col("cosine").desc(), "doc_2")
+    return dot.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 class Corpus:
-    """The text relations of one corpus, built lazily and shared."""
-
-    def __init__(self, docs: DataFrame, min_df=0.2, max_df=0.8, max_features=200_000):
-        self.docs = docs
-        self.min_df, self.max_df, self.max_features = min_df, max_df, max_features
-        self._c = {}
+    """The text relations of one corpus, built lazily. Only the term
+    frequencies are read twice (vocabulary, weights): they are written once to
+    the shared checkpoint folder."""
 
-    def _m(self, k, f):
-        if k not in self._c:
-            self._c[k] = f()
-        return self._c[k]
+    def __init__(self, docs: DataFrame, min_df=0.2, max_df=0.8):
+        self.docs, self.min_df, self.max_df = docs, min_df, max_df
 
-    @property
-    def n_docs(self) -> int:
-        return self._m("n", lambda: self.docs.count())
+    @cached_property
+    def token_counts(self):
+        return token_counts(tokens(self.docs))
 
-    @property
+    @cached_property
     def tokens(self):
-        return self._m("tok", lambda: tokens(self.docs))
-
-    @property
-    def token_counts(self):
-        """Persisted: the only pass over the raw texts; every later step
-        (stem map size check, stems, vocabulary) reads these counts."""
-        return self._m("tc", lambda: token_counts(self.tokens).persist())
+        return tokens(self.docs)
 
-    @property
+    @cached_property
     def stemmed(self):
-        """Persisted: feeds the stem dictionary, term frequencies and vocabulary."""
-        return self._m("st", lambda: stemmed_counts(self.token_counts).persist())
+        return stemmed_counts(self.token_counts)
 
-    @property
+    @cached_property
     def tf(self):
-        """Persisted: read by the vocabulary and by the weights."""
-        return self._m("tf", lambda: term_frequencies(self.stemmed).persist())
+        return cut_lineage(term_frequencies(self.stemmed))
 
-    @property
+    @cached_property
     def vocab(self):
-        return self._m("v", lambda: vocabulary(self.tf, self.n_docs, self.min_df, self.max_df,
-                                               self.max_features))
+        return vocabulary(self.tf, self.docs, self.min_df, self.max_df)
 
-    @property
+    @cached_property
     def weights(self):
-        """Persisted: every clustering step and report reads it again."""
-        return self._m("w", lambda: tfidf(self.tf, self.vocab, self.n_docs).persist())
+        return tfidf(self.tf, self.vocab)
 
-    @property
+    @cached_property
     def counts(self):
         """Term-count matrix on the fixed vocabulary."""
-        return self._m("cnt", lambda: self.tf.join(F.broadcast(self.vocab.select("term")), "term"))
+        return self.tf.join(self.vocab.select("term"), "term")
 
 
 def assemble_corpus(titles: DataFrame, first: DataFrame, second: DataFrame,

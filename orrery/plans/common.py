@@ -10,7 +10,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,17 +83,15 @@ class Inputs:
 
     @property
     def ratings(self) -> DataFrame:
-        """Sparse ratings: customer × part, de-duplicated. Persisted (memory
-        and disk): sizing actions and the final job all read it, and the
-        derivation is a join plus an aggregation over the fact table."""
-        return self._memo("rs", lambda: R.sparse_ratings(self.t("lineitem"), self.t("orders"))
-                          .persist(StorageLevel.MEMORY_AND_DISK))
+        """Sparse ratings: customer × part, de-duplicated. Not persisted: the
+        scan then reads only the columns that a query needs, and Spark reuses
+        the exchange where a query reads the relation twice."""
+        return self._memo("rs", lambda: R.sparse_ratings(self.t("lineitem"), self.t("orders")))
 
     @property
     def dense(self) -> DataFrame:
-        """Dense ratings: customer × (brand|type), persisted likewise."""
-        return self._memo("rd", lambda: R.dense_ratings(self.ratings, self.t("part"))
-                          .persist(StorageLevel.MEMORY_AND_DISK))
+        """Dense ratings: customer × (brand|type)."""
+        return self._memo("rd", lambda: R.dense_ratings(self.ratings, self.t("part")))
 
     def split(self, dense: bool = False):
         if dense:

@@ -58,7 +58,7 @@ def user_count(spark, sf_dir):
 
 
 _UNRATED_SQL = with_ctes(SQL_RATINGS) + """
-, rated AS (SELECT item_id FROM ratings WHERE year(ts) = 2001)
+, rated AS (SELECT item_id FROM ratings)
 SELECT p.p_partkey AS item_id, p.p_name AS name FROM part p,
   (SELECT p_partkey AS item_id FROM part EXCEPT SELECT item_id FROM rated) n
 WHERE p.p_partkey = n.item_id"""
@@ -67,15 +67,14 @@ WHERE p.p_partkey = n.item_id"""
 @query("unrated_items", ops="J* R18 left-anti", sql=_UNRATED_SQL)
 def unrated_items(spark, sf_dir):
     d = Inputs(spark, sf_dir)
-    rated = d.ratings.where(F.year("ts") == 2001)
-    return O.unrated_items_anti(d.t("part"), rated)
+    return O.unrated_items_anti(d.t("part"), d.ratings)
 
 
 @query("unrated_items_except", ops="U2 J3 S8 S9 R18", sql=_UNRATED_SQL)
 def unrated_items_except(spark, sf_dir):
     d = Inputs(spark, sf_dir)
     d.t("part").createOrReplaceTempView("movies_view")
-    d.ratings.where(F.year("ts") == 2001).createOrReplaceTempView("ratings_view")
+    d.ratings.createOrReplaceTempView("ratings_view")
     return O.unrated_items_sql(spark, "movies_view", "ratings_view")
 
 
@@ -151,17 +150,29 @@ SELECT p_partkey, TRY_CAST(substr(p_brand, 7) AS INTEGER) AS brand_no,
        TRY_CAST(p_type AS INTEGER) AS type_no,
        TRY_CAST(split_part(p_name, ' ', 2) AS INTEGER) AS name_no,
        abs(p_retailprice - 1000.0) AS price_gap
-FROM part WHERE p_size > 10""")
+FROM part""")
 def safe_casts(spark, sf_dir):
     part = Inputs(spark, sf_dir).t("part")
-    return (part.where(F.col("p_size") > 10)
-            .select("p_partkey",
+    return (part.select("p_partkey",
                     F.expr("try_cast(substring(p_brand, 7) AS INT)").alias("brand_no"),
                     F.expr("try_cast(p_type AS INT)").alias("type_no"),
                     F.expr("try_cast(split(p_name, ' ')[1] AS INT)").alias("name_no"),
                     F.abs(F.col("p_retailprice") - F.lit(1000.0)).alias("price_gap")))
 
 
+@query("large_parts", ops="P4", sql="SELECT p_partkey, p_size FROM part WHERE p_size > 10")
+def large_parts(spark, sf_dir):
+    return Inputs(spark, sf_dir).t("part").where(F.col("p_size") > 10).select("p_partkey", "p_size")
+
+
+@query("parts_by_number", ops="O1", sql="""
+SELECT p_partkey, substr(p_brand, 7) AS brand_no FROM part ORDER BY CAST(substr(p_brand, 7) AS INTEGER), p_partkey""")
+def parts_by_number(spark, sf_dir):
+    """Sorted by a string key read as a number."""
+    return Inputs(spark, sf_dir).t("part").select("p_partkey", F.substring("p_brand", 7, 100).alias("brand_no")) \
+        .orderBy(F.expr("try_cast(brand_no AS INT)"), "p_partkey")
+
+
 @query("items_per_user_list", ops="A9 J2", sql=with_ctes(SQL_RATINGS, SQL_DENSE) + """
 SELECT user_id, count(*) AS n_items, string_agg(item_key, ', ' ORDER BY item_key) AS items
 FROM dense GROUP BY user_id""")
@@ -219,7 +230,7 @@ cands AS (SELECT t.user_id, t.item_key AS target, tr.neighbour, tr.neighbour_rat
 def _dense_cf(spark, sf_dir):
     d = Inputs(spark, sf_dir)
     train, test = d.split(dense=True)
-    sim = CF.symmetric(CF.item_similarity(train, item="item_key"))
+    sim = CF.item_similarity(train, item="item_key")
     cands = CF.candidates(train, test, sim, item="item_key")
     return train, test, cands
 
@@ -354,7 +365,9 @@ def user_holdout(spark, sf_dir):
                                      item_id) AS rn
   FROM ratings) x WHERE rn <= 10)
 SELECT (SELECT count(*) FROM ratings) - (SELECT count(*) FROM ho) AS n_train,
-       (SELECT count(*) FROM ho) AS n_test, CAST(0 AS BIGINT) AS overlap""")
+       (SELECT count(*) FROM ho) AS n_test,
+       (SELECT count(*) FROM ho WHERE (user_id, item_id) IN (
+          SELECT r.user_id, r.item_id FROM ratings r ANTI JOIN ho h ON r.user_id = h.user_id AND r.item_id = h.item_id)) AS overlap""")
 def split_disjoint(spark, sf_dir):
     train, test = R.user_holdout(Inputs(spark, sf_dir).ratings, 10, 7)
     keys = ["user_id", "item_id"]
@@ -402,7 +415,7 @@ def vector_width(spark, sf_dir):
 SELECT t.user_id, t.item_key, round((t.rating - st.mu) / sqrt(st.var + 0.01), 6) AS z
 FROM dtrain t JOIN st ON t.item_key = st.item_key""")
 def item_standardised(spark, sf_dir):
-    from orrery.operators.autoencoder import standardise
+    from orrery.operators.ratings import standardise
     train, _ = Inputs(spark, sf_dir).split(dense=True)
     z = standardise(train, "item_key", "rating", eps=0.01)
     return z.select("user_id", "item_key", r6(F.col("z")).alias("z"))
@@ -432,46 +445,3 @@ SELECT count(*) AS n_users, round(avg(r), 6) AS mean_user_rmse FROM (
 def mean_user_rmse(spark, sf_dir):
     m = E.mean_user_rmse(_base_scored(spark, sf_dir))
     return m.select("n_users", r6(F.col("mean_user_rmse")).alias("mean_user_rmse"))
-
-
-_ROC = _BASE_SCORED + """
-, lab AS (SELECT CAST(rating >= 2.5 AS INTEGER) AS label, prediction AS score, 'continuous' AS kind
-          FROM scored
-          UNION ALL
-          SELECT CAST(rating >= 2.5 AS INTEGER), CAST(CAST(prediction >= 2.5 AS INTEGER) AS DOUBLE), 'binary'
-          FROM scored),
-per AS (SELECT kind, score AS threshold, CAST(sum(label) AS DOUBLE) AS tp,
-               CAST(sum(1 - label) AS DOUBLE) AS fp FROM lab GROUP BY kind, score),
-cum AS (SELECT kind, threshold, tp, fp,
-               sum(tp) OVER (PARTITION BY kind ORDER BY threshold DESC) AS ctp,
-               sum(fp) OVER (PARTITION BY kind ORDER BY threshold DESC) AS cfp,
-               sum(tp) OVER (PARTITION BY kind) AS P, sum(fp) OVER (PARTITION BY kind) AS N
-        FROM per)"""
-
-
-def _roc(spark, sf_dir):
-    s = _base_scored(spark, sf_dir)
-    out = []
-    for kind, score in (("continuous", F.col("prediction")),
-                        ("binary", E.binarise("prediction", 2.5).cast("double"))):
-        lab = s.select(E.binarise("rating", 2.5).alias("label"), score.alias("score"))
-        pts = E.roc_points(lab)
-        out.append((kind, pts))
-    return out
-
-
-@query("roc_points", ops="P7 R20", sql=_ROC + """
-SELECT kind, threshold, round(cfp / N, 6) AS fpr, round(ctp / P, 6) AS tpr FROM cum""")
-def roc_points(spark, sf_dir):
-    parts = [p.select(F.lit(k).alias("kind"), "threshold", r6(F.col("fpr")).alias("fpr"),
-                      r6(F.col("tpr")).alias("tpr")) for k, p in _roc(spark, sf_dir)]
-    return parts[0].unionByName(parts[1])
-
-
-@query("roc_auc", ops="R21", sql=_ROC + """
-SELECT kind, round(sum((cfp / N - (cfp - fp) / N) * (ctp / P + (ctp - tp) / P) / 2), 6) AS auc
-FROM cum GROUP BY kind""")
-def roc_auc(spark, sf_dir):
-    parts = [E.roc_auc(p).select(F.lit(k).alias("kind"), r6(F.col("auc")).alias("auc"))
-             for k, p in _roc(spark, sf_dir)]
-    return parts[0].unionByName(parts[1])

@@ -1,27 +1,27 @@
-"""Registered text queries over the English documents."""
+"""Registered text queries over all documents."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orrery.functions.text import TOKEN_PATTERN, sql_stem, sql_stopword_values
+from orrery.functions.text import LETTER_PATTERN, TOKEN_PATTERN, sql_stem, sql_stopword_values
 from orrery.operators import text as TXT
 from orrery.operators.ordered import dense_index
 from orrery.plans.common import Inputs, query, r6
 
 
 def corpus(spark, sf_dir) -> TXT.Corpus:
-    return TXT.Corpus(TXT.english_documents(Inputs(spark, sf_dir).t("documents")))
+    return TXT.Corpus(TXT.corpus_documents(Inputs(spark, sf_dir).t("documents")))
 
 
 SQL_TEXT = f"""WITH
 docs AS (SELECT doc_id, source || '#' || CAST(doc_id AS VARCHAR) AS title, text
-         FROM documents WHERE lang = 'en'),
+         FROM documents),
 stop AS (SELECT w FROM (VALUES {sql_stopword_values()}) s(w)),
 raw AS (SELECT doc_id, regexp_extract_all(lower(text), '{TOKEN_PATTERN.replace("'", "''")}') AS l FROM docs),
 tok0 AS (SELECT doc_id, unnest(generate_series(0, len(l) - 1)) AS pos0, unnest(l) AS token FROM raw),
 tok AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos0) - 1 AS pos, token
-        FROM tok0 WHERE token NOT IN (SELECT w FROM stop) AND regexp_matches(token, '[a-z]')),
+        FROM tok0 WHERE token NOT IN (SELECT w FROM stop) AND regexp_matches(token, '{LETTER_PATTERN}')),
 cnt AS (SELECT doc_id, token, count(*) AS tf, max(pos) AS last_pos FROM tok GROUP BY doc_id, token),
 stm AS (SELECT token, {sql_stem('token')} AS stem FROM (SELECT DISTINCT token FROM cnt) d),
 st AS (SELECT c.doc_id, c.token, c.tf, c.last_pos, s.stem FROM cnt c JOIN stm s ON c.token = s.token),
@@ -56,7 +56,7 @@ def stem_to_word(spark, sf_dir):
 
 @query("vocabulary", ops="T6", sql=SQL_TEXT + "SELECT term, df FROM vocab")
 def vocabulary(spark, sf_dir):
-    return corpus(spark, sf_dir).vocab
+    return corpus(spark, sf_dir).vocab.select("term", "df")
 
 
 @query("term_counts", ops="T9", sql=SQL_TEXT + """
@@ -77,21 +77,40 @@ def tfidf_scaled(spark, sf_dir):
 
 
 @query("corpus_shape", ops="T10", sql=SQL_TEXT + """
-SELECT (SELECT count(DISTINCT doc_id) FROM w) AS n_docs, (SELECT count(*) FROM vocab) AS n_terms""")
+SELECT (SELECT count(*) FROM docs) AS n_docs, (SELECT count(*) FROM vocab) AS n_terms""")
 def corpus_shape(spark, sf_dir):
-    w = corpus(spark, sf_dir).weights
-    return w.agg(F.countDistinct("doc_id").alias("n_docs"), F.countDistinct("term").alias("n_terms"))
+    c = corpus(spark, sf_dir)
+    return c.vocab.agg(F.count(F.lit(1)).alias("n_terms")).select(
+        c.docs.agg(F.count(F.lit(1))).scalar().alias("n_docs"), "n_terms")
 
 
 @query("doc_cosine", ops="T8", sql=SQL_TEXT + """
-SELECT a.doc_id AS doc_1, b.doc_id AS doc_2, round(sum(a.weight * b.weight), 6) AS cosine
-FROM w a JOIN w b ON a.term = b.term AND a.doc_id < b.doc_id
-GROUP BY a.doc_id, b.doc_id""")
+, cs AS (SELECT a.doc_id AS doc_1, b.doc_id AS doc_2, round(sum(a.weight * b.weight), 6) AS cosine
+         FROM w a JOIN w b ON a.term = b.term AND a.doc_id <> b.doc_id
+         WHERE a.doc_id % 20 = 0 GROUP BY a.doc_id, b.doc_id)
+SELECT doc_1, doc_2, cosine, rank FROM (
+  SELECT cs.*, row_number() OVER (PARTITION BY doc_1 ORDER BY cosine DESC, doc_2) AS rank FROM cs) x WHERE rank <= 10""")
 def doc_cosine(spark, sf_dir):
-    return TXT.doc_cosine(corpus(spark, sf_dir).weights).withColumn("cosine", r6(F.col("cosine")))
+    """The ten nearest of each document whose id is divisible by 20."""
+    d = TXT.nearest_documents(corpus(spark, sf_dir).weights, 20, 10)
+    return d.select("doc_1", "doc_2", r6(F.col("cosine")).alias("cosine"), F.col("rank").cast("bigint").alias("rank"))
 
 
-@query("rank_sequence", ops="W7 P8 J9", sql=SQL_TEXT + """
+@query("stopwords_removed", ops="T2", sql=SQL_TEXT + """
+SELECT doc_id, count(*) AS n_removed FROM tok0 WHERE token IN (SELECT w FROM stop) GROUP BY doc_id""")
+def stopwords_removed(spark, sf_dir):
+    """Stop words that the tokeniser drops, per document that has any."""
+    return TXT.stopwords_removed(corpus(spark, sf_dir).docs)
+
+
+@query("first_titles", ops="P8", sql=SQL_TEXT + """
+SELECT doc_id, title FROM docs ORDER BY doc_id LIMIT 100""")
+def first_titles(spark, sf_dir):
+    """The first hundred titles; the limit is the feature."""
+    return corpus(spark, sf_dir).docs.select("doc_id", "title").orderBy("doc_id").limit(100)
+
+
+@query("rank_sequence", ops="W7 J9", sql=SQL_TEXT + """
 SELECT doc_id, title, dense_rank() OVER (ORDER BY doc_id) AS rank FROM docs""")
 def rank_sequence(spark, sf_dir):
     docs = corpus(spark, sf_dir).docs

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -37,28 +34,14 @@ def build_session(master: str | None = None, app: str = "orrery",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the setting must point at shared storage; it is read from
-    the session. Only when nothing is set (local tests) a scratch folder is
-    created, so checkpoints never land on a machine-local path by accident.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``; where it is unset
+    (local tests), a folder beside the tables of ``spark.sql.warehouse.dir``,
+    which every session shares with its executors."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        try:
-            conf_dir = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key raises in some versions
-            conf_dir = None
-    if not conf_dir:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        conf_dir = tempfile.mkdtemp(prefix="orrery-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    if not sc.getCheckpointDir():
+        named = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df):

@@ -1,20 +1,18 @@
 """File sources of the original programs (S1–S7), as Spark readers with
 explicit schemas (no inference pass, no hand-split lines).
 
-Source order (the row number of a record in its file) is recovered without
-a single-partition window: ``monotonically_increasing_id`` grows with the
-file split and the offset inside it, and ``dense_index`` turns it into
-0, 1, 2, … with one count per partition.
+Source order (the row number of a record in a folder of files, by path) is
+recovered without a single-partition window: within one block of one file the
+reader keeps the records' order, so a record's position is its number in its
+block plus the counts of the blocks before it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orrery.operators.ordered import dense_index
-from orrery.session import cut_lineage
 
 RATINGS_SCHEMA = T.StructType([
     T.StructField("userId", T.IntegerType()), T.StructField("movieId", T.IntegerType()),
@@ -74,12 +72,17 @@ def read_dat(spark, path) -> DataFrame:
 
 
 def with_source_order(df: DataFrame, out: str = "rank") -> DataFrame:
-    """0-based position of each record in source order (W7). The tagged
-    relation is checkpointed first: the id is not deterministic across
-    differently pruned scans, so both uses must read the same tags."""
-    tagged = cut_lineage(df.withColumn("_mid", F.monotonically_increasing_id()))
-    idx = dense_index(tagged, "_mid", out)
-    return tagged.join(idx, "_mid").drop("_mid")
+    """0-based position of each record of a file source, files in path order
+    (W7). Blocks are numbered by a window over the small table of blocks."""
+    tagged = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                       F.monotonically_increasing_id().alias("_mid"))
+    count = df.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")) \
+        .groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = count.select("_file", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    nth = F.row_number().over(Window.partitionBy("_file", "_block").orderBy("_mid"))
+    return tagged.withColumn("_nth", nth).join(starts, ["_file", "_block"]) \
+        .select(*df.columns, (F.col("_start") + F.col("_nth") - 1).cast("bigint").alias(out))
 
 
 def read_records(spark, path, separator: str = "\n BREAKS HERE", first: int | None = None,
@@ -87,7 +90,7 @@ def read_records(spark, path, separator: str = "\n BREAKS HERE", first: int | No
     """Multi-line records split on a text separator, with their position
     (S5); ``first`` keeps the first n records, as the notebook's ``[:100]``."""
     df = spark.read.option("lineSep", separator).option("wholetext", False).text(path)
-    df = with_source_order(df.withColumnRenamed("value", out), "position")
+    df = with_source_order(df, "position").withColumnRenamed("value", out)
     if first is not None:
         df = df.where(F.col("position") < first)
     return df
@@ -95,7 +98,7 @@ def read_records(spark, path, separator: str = "\n BREAKS HERE", first: int | No
 
 def read_lines(spark, path, first: int | None = None, out: str = "line") -> DataFrame:
     """One record per line with its position."""
-    df = with_source_order(spark.read.text(path).withColumnRenamed("value", out), "position")
+    df = with_source_order(spark.read.text(path), "position").withColumnRenamed("value", out)
     if first is not None:
         df = df.where(F.col("position") < first)
     return df

@@ -115,6 +115,11 @@ def test_t1_tokenizer_example(spark):
     assert dict(rows(st, "token", "stem"))["looked"] == "look"
 
 
+def test_t1_letters_beyond_ascii(spark):
+    df = spark.createDataFrame([(1, "Café naïve 日本 42 l'été")], "doc_id long, text string")
+    assert [r["token"] for r in TXT.tokens(df).orderBy("pos").collect()] == ["café", "naïve", "日本", "l", "'été"]
+
+
 def test_q22_stopwords_case(spark):
     df = spark.createDataFrame([(1, "The the THE cat")], "doc_id long, text string")
     assert [r["token"] for r in TXT.tokens(df).collect()] == ["cat"]
@@ -135,13 +140,16 @@ def test_q23_document_frequency_bounds(spark):
 
 def test_stemmer_rules(spark):
     words = ["caresses", "ponies", "ties", "cats", "agreed", "hoping", "running", "created",
-             "happy", "studies", "this", "gas", "need"]
+             "happy", "studies", "this", "gas", "need", "relational", "conditional", "digitizer", "hopefulness",
+             "electrical", "adjustment", "adoption", "controll", "été"]
     df = spark.createDataFrame([(w,) for w in words], "token string")
     from orrery.functions.text import stem
     got = dict(rows(df.select("token", stem(F.col("token")).alias("s")), "token", "s"))
     assert got == {"caresses": "caress", "ponies": "poni", "ties": "tie", "cats": "cat",
                    "agreed": "agree", "hoping": "hop", "running": "run", "created": "create",
-                   "happy": "happi", "studies": "studi", "this": "this", "gas": "gas", "need": "need"}
+                   "happy": "happi", "studies": "studi", "this": "this", "gas": "gas", "need": "need",
+                   "relational": "relat", "conditional": "condit", "digitizer": "digit", "hopefulness": "hope",
+                   "electrical": "electr", "adjustment": "adjust", "adoption": "adopt", "controll": "control", "été": "été"}
 
 
 def test_r20_r21_roc_with_ties(spark):
@@ -154,6 +162,13 @@ def test_r20_r21_roc_with_ties(spark):
     assert auc == pytest.approx(mw)
 
 
+def test_roc_has_the_origin_and_groups(spark):
+    df = spark.createDataFrame([("a", 1, 0.9), ("a", 0, 0.1), ("b", 1, 0.2), ("b", 0, 0.7)], "kind string, label int, score double")
+    p = E.roc_points(df, group="kind")
+    assert p.where("threshold is null and fpr = 0 and tpr = 0").count() == 2
+    assert dict(rows(E.roc_auc(p, group="kind"), "kind", "auc")) == {"a": 1.0, "b": 0.0}
+
+
 def test_roc_all_positive_has_no_auc(spark):
     df = spark.createDataFrame([(1, 0.9), (1, 0.1)], "label int, score double")
     assert E.roc_auc(E.roc_points(df)).first()["auc"] is None

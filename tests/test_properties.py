@@ -29,12 +29,9 @@ def _brute_pairs(pdf, include_self=False):
     return out
 
 
-@pytest.mark.parametrize("opts", [dict(), dict(hot_threshold=5), dict(rows_per_task=40),
-                                  dict(hot_threshold=3, rows_per_task=25),
-                                  dict(dense_row_length=1, block_cols=8)])
+@pytest.mark.parametrize("block", [3, 7, 2048])
 @pytest.mark.parametrize("include_self", [False, True])
-@pytest.mark.parametrize("dense", [0, 10 ** 9])
-def test_pair_stats_matches_brute_force(spark, opts, include_self, dense):
+def test_pair_stats_matches_brute_force(spark, block, include_self):
     rng = np.random.default_rng(1)
     recs = set()
     # one very hot row (user 0 rates almost everything) plus sparse rows
@@ -46,8 +43,7 @@ def test_pair_stats_matches_brute_force(spark, opts, include_self, dense):
     pdf["v"] = rng.integers(1, 11, len(pdf)).astype(float)
     df = spark.createDataFrame(pdf)
     got = {(r["c1"], r["c2"]): [r["n"], r["sx"], r["sy"], r["sxy"], r["sxx"], r["syy"]]
-           for r in pair_stats(df, "r", "c", "v", include_self=include_self,
-                               dense_flops_per_pair=dense, **opts).collect()}
+           for r in pair_stats(df, "r", "c", "v", include_self=include_self, block=block).collect()}
     want = _brute_pairs(pdf, include_self)
     assert got.keys() == want.keys()
     for k in want:
@@ -67,7 +63,7 @@ def test_fanout_join_with_hot_keys_equals_join(spark):
     right = spark.createDataFrame([(k, j) for k in (1, 2, 3) for j in range(9 if k == 1 else 3)],
                                   "k long, b long")
     want = sorted(tuple(r) for r in left.join(right, "k").select("k", "a", "b").collect())
-    got = sorted(tuple(r) for r in fanout_join(left, right, "k", hot_threshold=4)
+    got = sorted(tuple(r) for r in fanout_join(left, right, "k", block=4)
                  .select("k", "a", "b").collect())
     assert got == want
 
@@ -75,7 +71,7 @@ def test_fanout_join_with_hot_keys_equals_join(spark):
 def test_dense_index_matches_dense_rank(spark):
     vals = [f"k{v:03d}" for v in np.random.default_rng(2).integers(0, 200, 500)]
     df = spark.createDataFrame([(v,) for v in vals], "key string")
-    got = {r["key"]: r["idx"] for r in dense_index(df, "key", "idx", partitions=7).collect()}
+    got = {r["key"]: r["idx"] for r in dense_index(df, "key", "idx", ranges=7).collect()}
     want = {k: i for i, k in enumerate(sorted(set(vals)))}
     assert got == want
 
@@ -83,7 +79,7 @@ def test_dense_index_matches_dense_rank(spark):
 def test_running_sums_match_cumsum(spark):
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"s": rng.permutation(300).astype(float), "a": rng.integers(0, 5, 300).astype(float)})
-    got = running_sums(spark.createDataFrame(pdf), "s", ["a"], descending=True, partitions=5).toPandas()
+    got = running_sums(spark.createDataFrame(pdf), "s", ["a"], descending=True, ranges=5).toPandas()
     ref = pdf.sort_values("s", ascending=False)
     ref["cum_a"] = ref["a"].cumsum()
     m = got.merge(ref, on="s")
@@ -126,6 +122,51 @@ def test_pca_and_lda_shapes(spark):
     assert xy.count() == 500 and set(xy.columns) >= {"x", "y"}
     topics = q["lda_topics"](spark, "/root/testdata/sf0.001").collect()
     assert len(topics) == 5 * 6
+    per = {}
+    for r in topics:
+        per.setdefault(r["topic"], []).append((r["term_rank"], r["weight"]))
+    assert all([w for _, w in sorted(v)] == sorted((w for _, w in v), reverse=True) for v in per.values())
+
+
+def test_every_document_has_a_cluster_and_a_topic(spark):
+    import __spark_entry__ as entry
+    n = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+    for name, k in (("kmeans_text", "cluster"), ("lda_doc_topic", "topic")):
+        got = entry.queries()[name](spark, "/root/testdata/sf0.001").collect()
+        assert len(got) == len({r["doc_id"] for r in got}) == n and {r[k] for r in got} <= set(range(5))
+
+
+def test_als_grid_has_all_runs_and_its_best(spark):
+    import __spark_entry__ as entry
+    runs = entry.queries()["als_grid"](spark, "/root/testdata/sf0.001").collect()
+    assert len(runs) == 48 and len({(r["rank"], r["iterations"], r["reg"]) for r in runs}) == 48
+    best = [r for r in runs if r["is_best"]]
+    assert len(best) == 1 and best[0]["mse_train"] == min(r["mse_train"] for r in runs)
+
+
+def test_dense_grid_and_top_cells(spark):
+    from orrery.operators import als as ALSO
+    df = spark.createDataFrame([(u, f"i{i}", float(1 + (u * i) % 5)) for u in range(12) for i in range(9) if (u + i) % 3],
+                               "user_id long, item_key string, rating double")
+    runs = {(r["rank"], r["iterations"], r["reg"]): r["mse"] for r in ALSO.dense_grid(df, [2, 3], [1, 3], [0.1]).collect()}
+    assert set(runs) == {(k, i, 0.1) for k in (2, 3) for i in (1, 3)}
+    users, items = ALSO.dense_als(df, 3, 3, 0.1)
+    scored = ALSO.predict_rated(df, users, items).toPandas()
+    assert runs[3, 3, 0.1] == pytest.approx(((scored.rating - scored.prediction) ** 2).mean())
+    fu, fi = ({r[0]: np.array(r[1]) for r in x.collect()} for x in (users, items))
+    top = ALSO.top_cells(users, items, 2, block=5).collect()
+    for u, f in fu.items():
+        want = sorted(((-float(f @ v), k) for k, v in fi.items()))[:2]
+        assert [(k, pytest.approx(-s)) for s, k in want] == [(r["item_key"], r["prediction"]) for r in sorted(top, key=lambda r: r["rank"]) if r["user_id"] == u]
+
+
+def test_als_names_and_predictions(spark):
+    import __spark_entry__ as entry
+    q = entry.queries()
+    top = q["als_top2_names"](spark, "/root/testdata/sf0.001").collect()
+    assert top and all(r["user_id"] % 20 == 0 and r["recommend_1"] and r["recommend_1"] != r["recommend_2"] for r in top)
+    p = q["als_predict"](spark, "/root/testdata/sf0.001")
+    assert p.where("prediction is null or isnan(prediction)").count() == 0 and p.count() > 0
 
 
 def test_dense_als_beats_zero_model(spark):

@@ -59,6 +59,22 @@ def test_s6_lines_in_order(spark, tmpdir_session):
     assert [r["line"] for r in recs] == [f"t{i}" for i in range(10)]
 
 
+def test_s6_order_over_a_folder(spark, tmpdir_session):
+    folder = os.path.join(tmpdir_session, "parts")
+    os.makedirs(folder)
+    _write(os.path.join(folder, "a.txt"), "a1\na2\n")
+    _write(os.path.join(folder, "b.txt"), "".join(f"b{i}\n" for i in range(1, 200)))
+    recs = S.read_lines(spark, folder, first=100).orderBy("position").collect()
+    assert [r["line"] for r in recs] == ["a1", "a2"] + [f"b{i}" for i in range(1, 99)]
+
+
+def test_s1_tags_links_and_k4_preview(spark, tmpdir_session):
+    t = _write(os.path.join(tmpdir_session, "tags.csv"), 'userId,movieId,tag,timestamp\n1,2,"a, b",3\n1,3,c,4\n')
+    li = _write(os.path.join(tmpdir_session, "links.csv"), "movieId,imdbId,tmdbId\n1,0114709,862\n")
+    assert S.read_tags_csv(spark, t).first()["tag"] == "a, b" and S.read_links_csv(spark, li).first()["imdbId"] == "0114709"
+    assert K.preview(S.read_tags_csv(spark, t), 1).count() == 1
+
+
 def test_k2_s7_vector_shards(spark, tmpdir_session):
     out = os.path.join(tmpdir_session, "shards")
     df = spark.range(250).select(F.col("id").alias("user_id"),
