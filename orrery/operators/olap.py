@@ -54,30 +54,42 @@ def genre_counts(items: DataFrame, genres_col: str, sep_regex: str = "[|]") -> D
 
 def profile(df: DataFrame, numeric_cols: list[str], percentile_cols: list[str] = ()) -> DataFrame:
     """Per-column profile (A22): count, missing, distinct, extremes, moments and
-    exact quartiles for low-cardinality columns in ``percentile_cols``.
-
-    One aggregation pass per column set; ``countDistinct`` is shuffle-based.
-    Use ``percentile_approx`` for high-cardinality columns at scale.
-    """
-    rows = []
-    for c in numeric_cols:
+    exact quartiles for low-cardinality columns in ``percentile_cols``; all
+    columns in one aggregation."""
+    parts, out = [], []
+    for i, c in enumerate(numeric_cols):
         x = F.col(c).cast("double")
-        if c in percentile_cols:
-            q = [F.percentile(x, p) for p in (0.25, 0.5, 0.75)]
-        else:
-            q = [F.lit(None).cast("double")] * 3
-        rows.append(df.agg(
-            F.lit(c).alias("column_name"),
-            F.count(x).alias("n"),
-            F.count_if(x.isNull()).alias("n_null"),
-            F.countDistinct(x).alias("n_distinct"),
-            F.min(x).alias("min_value"), F.max(x).alias("max_value"),
-            F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"),
-            q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+        found = dict(n=F.count(x), n_null=F.count_if(x.isNull()), n_distinct=F.countDistinct(x), min_value=F.min(x),
+                     max_value=F.max(x), mean=F.avg(x), stddev=F.stddev_samp(x))
+        for q, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+            found[q] = F.percentile(x, p) if c in percentile_cols else F.max(F.lit(None).cast("double"))
+        parts += [v.alias(f"_{i}_{k}") for k, v in found.items()]
+        out.append(F.struct(F.lit(c).alias("column_name"), *[F.col(f"_{i}_{k}").alias(k) for k in found]))
+    return df.agg(*parts).select(F.explode(F.array(*out)).alias("r")).select("r.*")
+
+
+def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Pearson correlation of each pair of columns, in one aggregation."""
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    one = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(a).alias("column_1"), F.lit(b).alias("column_2"), F.col(f"`{a}|{b}`").alias("corr"))
+                                          for a, b in pairs])).alias("r")).select("r.*")
+
+
+def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
+    """Rows per equal-width bin between the extremes; empty bins are absent."""
+    x = F.col(col).cast("double")
+    lo, hi = (df.agg(f(x)).scalar() for f in (F.min, F.max))
+    placed = df.where(x.isNotNull()).withColumns({"_lo": lo, "_hi": hi})
+    share = F.when(F.col("_hi") > F.col("_lo"), (x - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))).otherwise(F.lit(0.0))
+    return placed.groupBy(F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def extremes(df: DataFrame, col: str, k: int = 5) -> DataFrame:
+    """The ``k`` smallest and largest values with their counts (a top-k report)."""
+    per = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    low = per.orderBy("value").limit(k).select(F.lit("low").alias("side"), "value", "n")
+    return low.unionByName(per.orderBy(F.col("value").desc()).limit(k).select(F.lit("high").alias("side"), "value", "n"))
 
 
 def items_per_user(ratings: DataFrame, user="user_id", item="item_key", sep=", ") -> DataFrame:

@@ -145,6 +145,30 @@ def ratings_profile(spark, sf_dir):
     return p.withColumn("mean", r6(F.col("mean"))).withColumn("stddev", r6(F.col("stddev")))
 
 
+@query("ratings_correlations", ops="A22", sql=with_ctes(SQL_RATINGS) + """
+SELECT 'user_id' AS column_1, 'item_id' AS column_2, round(corr(user_id, item_id), 6) AS corr FROM ratings
+UNION ALL SELECT 'user_id', 'rating', round(corr(user_id, rating), 6) FROM ratings
+UNION ALL SELECT 'item_id', 'rating', round(corr(item_id, rating), 6) FROM ratings""")
+def ratings_correlations(spark, sf_dir):
+    c = O.correlations(Inputs(spark, sf_dir).ratings, ["user_id", "item_id", "rating"])
+    return c.withColumn("corr", r6(F.col("corr")))
+
+
+@query("ratings_histogram", ops="A22", sql=with_ctes(SQL_RATINGS) + """
+, e AS (SELECT min(rating) AS lo, max(rating) AS hi FROM ratings)
+SELECT CAST(least(floor((rating - lo) / (hi - lo) * 10), 9) AS INTEGER) AS bin, count(*) AS n FROM ratings, e GROUP BY 1""")
+def ratings_histogram(spark, sf_dir):
+    return O.histogram(Inputs(spark, sf_dir).ratings, "rating", 10)
+
+
+@query("ratings_extremes", ops="A22", sql=with_ctes(SQL_RATINGS) + """
+, p AS (SELECT user_id AS value, count(*) AS n FROM ratings GROUP BY user_id)
+SELECT * FROM (SELECT 'low' AS side, value, n FROM p ORDER BY value LIMIT 5) a
+UNION ALL SELECT * FROM (SELECT 'high', value, n FROM p ORDER BY value DESC LIMIT 5) b""")
+def ratings_extremes(spark, sf_dir):
+    return O.extremes(Inputs(spark, sf_dir).ratings, "user_id")
+
+
 @query("safe_casts", ops="P3 P4 F1 F2", sql="""
 SELECT p_partkey, TRY_CAST(substr(p_brand, 7) AS INTEGER) AS brand_no,
        TRY_CAST(p_type AS INTEGER) AS type_no,
