@@ -138,6 +138,16 @@ def test_windows_score_every_symbol_once():
         at += n
 
 
+def test_large_logits():
+    w = A.new_weights()
+    h, y = np.full((3, A.WIDTH), 50, np.float32), np.array([0, 1, 2])
+    z = (h @ w["out"] * 20).astype(float)
+    w["out"] = w["out"] * 20
+    top = z.max(1, keepdims=True)
+    want = z[[0, 1, 2], y] - top[:, 0] - np.log(np.exp(z - top).sum(1))
+    assert np.allclose(A.log_probs(w, h, y), want, rtol=1e-3, atol=0.1)
+
+
 def test_scores(spark, monkeypatch):
     import math
     from collections import Counter
