@@ -19,9 +19,11 @@ from orrery.session import cut_lineage
 
 
 def corpus_documents(documents: DataFrame) -> DataFrame:
-    """The corpus: every document; rank = doc order, title from source and id."""
+    """The corpus: every document; rank = doc order, title from source and id.
+    Dealt by doc_id, which the counts per (document, token) then need not be."""
+    n = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return documents.select("doc_id", F.concat(F.col("source"), F.lit("#"), F.col("doc_id").cast("string")).alias("title"),
-                            "text")
+                            "text").repartition(n, "doc_id")
 
 
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -1,5 +1,5 @@
 """Times item similarity two ways on the same input at $BENCH_SF_DIR:
-the block Gram operator and the naive plan (self-join on the user, then
+the split self-join and the naive plan (self-join on the user, then
 group by item pair), the shape the original job had. Prints one JSON line."""
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def main():
     train, _ = d.split()
     train.count()
     out = {}
-    for name, build in (("block_gram", lambda: CF.item_similarity(train)), ("naive_self_join", lambda: naive(train))):
+    for name, build in (("split_self_join", lambda: CF.item_similarity(train)), ("naive_self_join", lambda: naive(train))):
         t0 = time.perf_counter()
         build().write.format("noop").mode("overwrite").save()
         out[name] = round(time.perf_counter() - t0, 3)

@@ -1,6 +1,6 @@
 """Skew check for the pair statistics: add one user who rated every item to
 the sparse train split (a hot key) and compare the longest single task of
-the block Gram against the naive self-join on the user. Task times come
+the split self-join against the naive self-join on the user. Task times come
 from Spark's event log in a fresh scratch folder. Prints one JSON line.
 This is a diagnostic, not a registered query."""
 
@@ -51,7 +51,7 @@ def main():
     skewed = train.select("user_id", "item_id", "rating").unionByName(hot).persist()
     n_hot = skewed.where(F.col("user_id") == -1).count()
     result = {"sf_dir": sf_dir, "hot_user_items": n_hot}
-    for name, build in (("block_gram", lambda: CF.item_similarity(skewed, hot_threshold=256)),
+    for name, build in (("split_self_join", lambda: CF.item_similarity(skewed, block=256)),
                         ("naive_self_join", lambda: naive(skewed))):
         before = set(task_times(log_dir)) if glob.glob(os.path.join(log_dir, "*", "events_*")) else set()
         t0 = time.perf_counter()
