@@ -251,7 +251,7 @@ def lda_topics(spark, sf_dir):
     return (topics.select("topic", (F.col("pos") + 1).alias("term_rank"),
                           F.col("tw.termIndices").alias("term_index"),
                           F.col("tw.termWeights").alias("weight"))
-            .join(F.broadcast(vocab), "term_index").join(words, F.col("term") == F.col("stem"), "left")
+            .join(vocab, "term_index").join(words, F.col("term") == F.col("stem"), "left")
             .select("topic", "term_rank", "term", "word", "weight"))
 
 
