@@ -207,22 +207,53 @@ def top_cells(users: DataFrame, items: DataFrame, n: int = 10, user="user_id", i
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
-def dense_grid(ratings: DataFrame, ranks, iterations, regs, at_once: int = 4, **keys) -> DataFrame:
-    """MSE over the rated cells of every (rank, iterations, λ). A run of the
-    most iterations passes through the shorter ones, so each (rank, λ) runs
-    once and is recorded on the way."""
-    from concurrent.futures import ThreadPoolExecutor
+def dense_grid(ratings: DataFrame, ranks, iterations, regs, seed: int = 3, user="user_id", item="item_key",
+               checkpoint_every: int = 2) -> DataFrame:
+    """MSE over the rated cells of every (rank, iterations, λ). All (rank, λ)
+    runs go side by side: a row holds one factor array per run, so a half step
+    of all of them is one join and one aggregation, and the shorter runs are
+    recorded on the way of the longest."""
     spark = ratings.sparkSession
-
-    def run(setting):
-        rk, lam = setting
-        out = []
-        for it, users, items in dense_als_path(ratings, rk, max(iterations), lam, **keys):
+    runs = [(rk, float(lam)) for lam in regs for rk in ranks]
+    r = ratings.select(F.col(user).alias("u"), F.col(item).alias("i"), F.col("rating").cast("double")).persist()
+    first = F.array(*[hash_uniform("i", F.lit(c), F.lit(seed)) for c in range(max(ranks))])
+    items = r.select("i").distinct().select("i", first.alias("a")).select(
+        "i", F.array(*[F.slice("a", 1, rk) for rk, _ in runs]).alias("f")).persist()
+    outer = F.flatten(F.transform("f", lambda b: F.flatten(F.transform(b, lambda x: F.transform(b, lambda y: x * y)))))
+
+    def times(at, rk):
+        return lambda row: dot(row, F.slice("b", at, rk))
+
+    def half(fixed, fixed_key, solve_key):
+        g = fixed.agg(Summarizer.sum(array_to_vector(outer)).alias("g")).first()["g"]
+        ry = r.join(fixed, fixed_key).select(solve_key, F.transform(F.flatten("f"), lambda v: v * F.col("rating")).alias("ry"))
+        b = ry.groupBy(solve_key).agg(Summarizer.sum(array_to_vector("ry")).alias("b")).withColumn("b", vector_to_array("b"))
+        solved, matrices, at, cell = [], [], 1, 0
+        for k, (rk, lam) in enumerate(runs):
+            part = g.toArray()[cell:cell + rk * rk].reshape(rk, rk)
+            matrices.append(np.linalg.inv(part + lam * np.eye(rk)).tolist())
+            solved.append(F.transform(F.col("m")[k], times(at, rk)))
+            at, cell = at + rk, cell + rk * rk
+        m = spark.createDataFrame([(matrices,)], "m array<array<array<double>>>").scalar()  # one cell, not literals
+        return b.withColumn("m", m).select(solve_key, F.array(*solved).alias("f")).persist()
+
+    rows, held = [], [items]
+    try:
+        for it in range(1, max(iterations) + 1):
+            if not r.take(1):
+                break
+            users = half(items, "i", "u")
+            items = half(users, "u", "i")
+            held += [users, items]
             if it in iterations:
-                err = F.pow(F.col("rating") - F.col("prediction"), 2)
-                out.append((rk, it, float(lam), float(predict_rated(ratings, users, items).agg(F.avg(err)).first()[0] or 0.0)))
-        return out
-
-    with ThreadPoolExecutor(at_once) as pool:
-        rows = [r for part in pool.map(run, [(rk, lam) for lam in regs for rk in ranks]) for r in part]
+                both = r.join(users.withColumnRenamed("f", "fu"), "u").join(items.withColumnRenamed("f", "fi"), "i")
+                mse = both.agg(*[F.avg(F.pow(F.col("rating") - dot(F.col("fu")[k], F.col("fi")[k]), 2)) for k in range(len(runs))]).first()
+                rows += [(rk, it, lam, float(mse[k])) for k, (rk, lam) in enumerate(runs)]
+            if it % checkpoint_every == 0:
+                items = cut_lineage(items)
+                while held:
+                    held.pop().unpersist()
+    finally:
+        for df in (*held, r):
+            df.unpersist()
     return spark.createDataFrame(rows, "rank int, iterations int, reg double, mse double")

@@ -19,7 +19,7 @@ from orrery.operators import text as TXT
 from orrery.operators import topics as TP
 from orrery.operators.gram import pair_stats
 from orrery.operators.ordered import dense_index, running_sums
-from orrery.plans.common import SQL_DENSE, SQL_RATINGS, SQL_SPLIT, Inputs, query, r6, with_ctes
+from orrery.plans.common import SQL_DENSE, SQL_RATINGS, Inputs, query, r6, with_ctes
 from orrery.plans.q_text import SQL_TEXT, corpus
 from orrery.session import checkpoint_dir, cut_lineage
 
