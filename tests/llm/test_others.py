@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from orrery.llm import attention_lm as A
@@ -138,6 +139,46 @@ def test_windows_score_every_symbol_once():
         at += n
 
 
+def test_training_takes_every_symbol_once(spark, monkeypatch):
+    from collections import Counter
+
+    import sentencepiece
+    from pyspark.sql import functions as F
+
+    file = "/opt/tokenizers/piece_bpe_32k.model"
+    cutter = sentencepiece.SentencePieceProcessor(model_file=file)
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice(["ta", "ri", "mo", "sen", "lu"]) for _ in range(rnd.randint(1, 4))) for _ in range(400)]
+    texts = [" ".join(rnd.choice(words) for _ in range(n)) for n in (0, 1, 7, 40, 300, 2000)] + [None, "x" * 4000]
+    rows = [(i, t, i != 3) for i, t in enumerate(texts)]
+    monkeypatch.setattr(A, "PART_BYTES", 1500)
+    packed = A._pack(frame(spark, rows, "doc_id long, text string, train boolean"))
+    sent = A._gather(packed, open(file, "rb").read(), cutter.vocab_size(), 4).where(F.col("kind") == A.TEXTS).cache()
+    of = np.minimum(np.arange(cutter.vocab_size()) % 997, A.REST)
+    want = Counter()
+    for _, t, train in rows:
+        s = [A.START, *(int(of[i]) for w in (t or "").split() for i in cutter.encode(w)), A.END]
+        want.update(zip(s, s[1:]) if train else ())
+    pairs = A.neighbours(sent, of)
+    assert {(int(i), int(j)): int(pairs[i, j]) for i, j in np.argwhere(pairs)} == want
+    seen = Counter()
+    for r in sent.collect():
+        s, length = next(A._texts([pa.RecordBatch.from_arrays([pa.array([r.a]), pa.array([r.b])], ['a', 'b'])], of))
+        for nth in range(3):
+            x, y, real = A._windows(s, length, A.WINDOW, nth, 3)
+            seen.update(zip(x[real].tolist(), y[real].tolist()))
+            assert (x[:, 1:] == y[:, :-1])[real[:, 1:]].all()  # a target is the next input
+    assert seen == want
+
+
+def test_gradient_of_counted_targets():
+    rng = np.random.default_rng(4)
+    w, x, y = A.new_weights(), *(rng.integers(0, A.HEAD, (2, A.WINDOW)) for _ in range(2))
+    real = np.repeat([[True], [False]], A.WINDOW, 1)
+    (a, g), (b, h) = A.gradient(w, x, y, real), A.gradient(w, x[:1], y[:1])
+    assert a == pytest.approx(b, rel=1e-5) and all(np.allclose(g[c], h[c], atol=1e-6) for c in g)
+
+
 def test_large_logits():
     w = A.new_weights()
     h, y = np.full((3, A.WIDTH), 50, np.float32), np.array([0, 1, 2])
