@@ -179,6 +179,13 @@ def test_gradient_of_counted_targets():
     assert a == pytest.approx(b, rel=1e-5) and all(np.allclose(g[c], h[c], atol=1e-6) for c in g)
 
 
+def test_model_size():
+    import inspect
+
+    default = inspect.signature(A.score_documents).parameters
+    assert A.HEAD >= 190 and A.WINDOW - A.STRIDE >= 6 and default["rounds"].default >= 4 and default["spacing"].default == A.WINDOW
+
+
 def test_large_logits():
     w = A.new_weights()
     h, y = np.full((3, A.WIDTH), 50, np.float32), np.array([0, 1, 2])
