@@ -40,6 +40,135 @@ def test_every_known_sentence_has_a_cue():
             assert L.CUES.search(form.replace("#", "x").replace(" c ", " (c) "))
 
 
+_SOLD = '''THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION).'''
+_BSD = '''Copyright (c) 2020, Ann Other
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+'''
+_GPL = '''This program is free software%s you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation%s either version %d of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.'''
+_PUBLISHED = {
+    "MIT": '''MIT License
+
+Copyright (c) 2020 Ann Other
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY.''',
+    "BSD-2-Clause": _BSD + _SOLD,
+    "BSD-3-Clause": _BSD + '''3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+''' + _SOLD,
+    "ISC": '''Copyright (c) 2004-2010 by Internet Systems Consortium, Inc. ("ISC")
+Copyright (c) 1995-2003 by Internet Software Consortium
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND ISC DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS.''',
+    "Apache-2.0": '''Copyright 2020 Ann Other
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.''',
+    "GPL-2.0-or-later": _GPL % (";", ";", 2),
+    "GPL-3.0-or-later": _GPL % (":", ",", 3),
+    "GPL-2.0": '''This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License version 2 as
+published by the Free Software Foundation.''',
+    "GPL-3.0": '''This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, version 3 of the License.''',
+    "LGPL": '''This library is licensed as follows.
+Licensed under the GNU Lesser General
+Public License, version 2.1.''',
+    "AGPL": '''Licensed under the GNU Affero General Public
+License, version 3.''',
+    "MPL-2.0": '''This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.''',
+    "CC-BY-4.0": "This work is licensed under\nCC BY 4.0.",
+    "CC-BY-SA-4.0": "This work is licensed under\nCC BY-SA 4.0.",
+    "CC-BY-NC-4.0": "This work is licensed under CC\nBY-NC 4.0.",
+    "CC0-1.0": "This work is dedicated to the\npublic domain by its author.",
+    "SPDX": "SPDX-License-Identifier: Zlib\nint x",
+}
+
+
+def test_published_texts_as_wrapped():
+    table, rules = L.sentence_table(), L.compiled_rules()
+
+    def found(text):
+        n, _, spans = L.recognise(text, table, rules)
+        assert n > 0 and all(0 <= s < e <= len(text) for _, s, e in spans)
+        return [name for name, _, _ in spans if name not in ("copyright-only", "all-rights-reserved")]
+
+    assert {name for name, _ in L.RULES} <= {*_PUBLISHED, "MIT", "copyright-only", "all-rights-reserved"}
+    for name, text in _PUBLISHED.items():
+        for mark in ("", "# ", " * ", "// "):
+            lines = "\n".join(mark + line for line in text.split("\n"))
+            assert found(f"Some project\n\n{lines}\n\nOther text") == [name], (name, mark)
+        one = "\n".join(" ".join(p.split()) for p in text.split("\n\n"))  # a paragraph a line
+        assert found(one) == [name] and found(text.replace("\n", "\r\n")) == [name]
+
+
+def test_lines_between_text():
+    table, rules = L.sentence_table(), L.compiled_rules()
+    cases = {"no stop here\nReleased under the MIT License\nand on it goes": ["MIT"], "a; Licensed under CC BY 4.0; b": ["CC-BY-4.0"],
+             "(c) 2020 Foo\nAll rights reserved": ["all-rights-reserved"], "Copyright 2020 Foo\nAll rights\nreserved": ["all-rights-reserved"],
+             "liable are the\ncopyright holders or others": [], "(C) Foo, all rights reserved": ["copyright-only"],
+             "x\nThis work is licensed\nunder the GNU General Public License,\nversion 2\ny": ["GPL-2.0"]}
+    assert {t: [f[0] for f in L.recognise(t, table, rules)[2]] for t in cases} == cases
+    assert L.recognise("One line\nof two. And\n\nthree\n1. four\n- five:\nsix", table, rules)[0] == 6
+    n, _, spans = L.recognise("c x\ncopyright\nthis software is provided\n" * 20_000, table, rules)
+    assert n == 1 and spans == []
+
+
 # ---- archives -------------------------------------------------------------
 
 def test_arc_versions():
