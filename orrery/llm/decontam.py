@@ -123,29 +123,36 @@ class Index:
         self.vocabulary = np.unique(np.concatenate([w.ravel() for w in self.words.values()])) if ids else np.zeros(0, np.uint64)
         self.tables = {n: [] for n in self.words}
         self.samples = {n: [] for n in self.words}
-        self.recall = 1.0
+        self.recall, self.whole = 1.0, set()
 
     def edits(self, n: int) -> int:
         return int((1 - self.similarity) * n + 1e-9)
 
     def build(self, recall: float, walks: int, tries: int = 2000) -> None:
-        """Add repetitions until ``recall`` of edited items are found."""
+        """Add repetitions until ``recall`` of the edited items are found, over
+        all lengths and of each one. Lengths that do not get there in
+        ``MOST_REPEATS`` are ``whole``: all their open windows are verified."""
         rng = np.random.default_rng(7)
-        rows = {n: rng.integers(0, len(w), max(20, tries // len(self.words))) for n, w in self.words.items()}
+        rows = {n: rng.integers(0, len(w), max(100, tries // len(self.words))) for n, w in self.words.items()}
         edited = {n: [self._edited(self.words[n][i], self.edits(n), rng) for i in rows[n]] for n in rows}
         hit = {n: np.zeros(len(r), bool) for n, r in rows.items()}
+        short = list(self.words)
         for r in range(MOST_REPEATS):
-            for n, w in self.words.items():
+            for n in short:
                 steps = np.sort(rng.integers(0, 2 * n, self.sampled))
                 self.samples[n].append((r % walks, steps))
-                keys = self._keys(list(w), n, r % walks, steps)
+                keys = self._keys(list(self.words[n]), n, r % walks, steps)
                 order = np.argsort(keys, kind="stable")
                 self.tables[n].append((keys[order], order))
                 hit[n] |= self._keys(edited[n], n, r % walks, steps) == keys[rows[n]]
-            total = sum(len(x) for x in hit.values())
-            self.recall = sum(int(x.sum()) for x in hit.values()) / max(total, 1)
-            if self.recall >= recall:
-                break
+            if sum(int(x.sum()) for x in hit.values()) >= recall * sum(len(x) for x in hit.values()):
+                short = [n for n, x in hit.items() if x.mean() < recall]
+                if not short:
+                    break
+        self.whole = {n for n, x in hit.items() if x.mean() < recall}
+        for n in self.whole:
+            self.samples[n], self.tables[n] = [], []
+        self.recall = min((float(x.mean()) for n, x in hit.items() if n not in self.whole), default=1.0)
         self._seeds()
 
     def _keys(self, rows: list, n: int, seed: int, steps) -> np.ndarray:
@@ -219,7 +226,13 @@ class Index:
         open_at = self._open(words, owner, stop)
         if not open_at:
             return []
-        lengths = sorted(open_at)
+        found = []
+        for n in sorted(self.whole & set(open_at)):
+            for k in range(len(self.ids[n])):  # stretches of one item are told apart by item
+                found += self._verified(n, open_at[n] * len(self.ids[n]) + k, words, owner, stop, bound)
+        lengths = sorted(set(open_at) - self.whole)
+        if not lengths:
+            return found
         every = np.concatenate([open_at[n] for n in lengths])
         cut = np.cumsum([0, *(len(open_at[n]) for n in lengths)])
         pairs = {n: [] for n in lengths}
@@ -242,7 +255,6 @@ class Index:
                             count = (right - left)[hit]
                             place = np.repeat(left[hit] - (np.cumsum(count) - count), count) + np.arange(count.sum())
                             pairs[n].append(np.repeat(mine[hit], count) * len(self.ids[n]) + items[place])
-        found = []
         for n, parts in pairs.items():
             if parts:
                 found += self._verified(n, np.unique(np.concatenate(parts)), words, owner, stop, bound)

@@ -68,6 +68,23 @@ def test_finds_what_brute_force_finds(spark, seed):
         assert edits_within(by[r.doc_id][r.first_word:r.end_word], words(text[r.item_id])) == r.edits
 
 
+def test_every_length_reaches_the_recall(monkeypatch):
+    docs, items = make(4)
+    p = Powers()
+    h = [D.words_of([x], p)[0] for _, x in items]
+    want = {(i, j) for i, t in docs for j, x in items if edits_within(words(t), words(x)) <= int(0.2 * len(words(x)) + 1e-9)}
+    assert len(want) > 20
+    for most in (D.MOST_REPEATS, 1):  # enough repetitions, and far too few
+        monkeypatch.setattr(D, "MOST_REPEATS", most)
+        ix = D.Index(list(range(len(h))), h, 0.8, 3)
+        ix.build(0.995, 6)
+        assert ix.recall >= 0.995 and all(len(ix.samples[n]) <= most for n in ix.words)
+        w, owner = D.words_of([t for _, t in docs], p)
+        found = {(docs[t][0], j) for t, j, *_ in ix.search(w, owner, len(docs))}
+        assert found <= want and len(found) >= 0.97 * len(want)
+        assert most > 1 or ix.whole and {(i, j) for i, j in want if len(h[j]) in ix.whole} <= found
+
+
 def test_prefilter_loses_nothing():
     docs, items = make(3)
     p = Powers()
