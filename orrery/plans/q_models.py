@@ -310,6 +310,13 @@ def als_grid(spark, sf_dir):
     return runs.withColumn("is_best", F.struct("rank", "iterations", "reg") == F.struct(*[F.lit(x) for x in best]))
 
 
+@query("als_grid_pivot", ops="R13 W9")
+def als_grid_pivot(spark, sf_dir):
+    """The 48 fits: a row per rank and λ, the MSE of each number of iterations."""
+    its = [F.col(str(i)).alias(f"it{i}") for i in _GRID["iterations"]]
+    return ALSO.pivot_runs(als_grid(spark, sf_dir)).select("rank", "reg", *its)
+
+
 def _run_table(spark, sf_dir):
     """A run table that both engines derive alike, for the reports on it: the
     size bands of parts as ranks, quarters of customers as iterations."""
@@ -360,7 +367,7 @@ def als_curves(spark, sf_dir):
     return over_reg.unionByName(over_rank)
 
 
-@query("dense_als_grid", ops="R13 R16 R23 W9")
+@query("dense_als_grid", ops="R13 R16 R23")
 def dense_als_grid(spark, sf_dir):
     """All 24 settings of the dense factorisation, the best one marked."""
     runs = ALSO.dense_grid(Inputs(spark, sf_dir).dense, **_DENSE_GRID)

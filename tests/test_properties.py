@@ -144,6 +144,15 @@ def test_als_grid_has_all_runs_and_its_best(spark):
     assert len(best) == 1 and best[0]["mse_train"] == min(r["mse_train"] for r in runs)
 
 
+def test_pivot_of_the_als_grid(spark):
+    import __spark_entry__ as entry
+    rows = entry.queries()["als_grid_pivot"](spark, "/root/testdata/sf0.001").collect()
+    runs = entry.queries()["als_grid"](spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == len({(r["rank"], r["reg"]) for r in rows}) == 24
+    got = {(r["rank"], n, r["reg"]): r[f"it{n}"] for r in rows for n in (10, 20)}
+    assert got == pytest.approx({(r["rank"], r["iterations"], r["reg"]): r["mse_train"] for r in runs})
+
+
 def test_dense_grid_and_top_cells(spark):
     from orrery.operators import als as ALSO
     df = spark.createDataFrame([(u, f"i{i}", float(1 + (u * i) % 5)) for u in range(12) for i in range(9) if (u + i) % 3],
