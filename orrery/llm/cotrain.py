@@ -9,9 +9,11 @@ proportions, and the other view learns from them. Then each view is calibrated
 the two calibrated log odds gives the score of every document: the probability
 of good quality. Documents scoring at least ``threshold`` are kept.
 
-Bounds: the views are fitted on the driver on at most ``max_labelled`` labelled
-and ``max_pool`` unlabelled documents, those of smallest hash of their doc_id.
-All documents are measured and scored in tasks.
+Every unlabelled document can get a pseudo-label: tasks score all of them in
+each round, and the surest share of each class is cut off by a histogram of the
+log odds. Bounds: the views are fitted on the driver on at most ``max_labelled``
+labelled and ``max_pool`` pseudo-labelled documents, of those that qualify the
+ones of smallest hash of their doc_id.
 
 Labels are rows (doc_id, quality 0 or 1); null or contradicting ones are left
 out. Without labels of both classes there is nothing to learn: the score is
@@ -111,33 +113,86 @@ def _chance(odds):
     return 1 / (1 + np.exp(-odds))
 
 
-def co_train(views: tuple, y: np.ndarray, pools: tuple, rounds: int, share: float, sure: float):
-    """Models of the views after exchanging pseudo-labels, and how many each gave."""
-    have = [(v, y.astype(float)) for v in views]
-    left = np.ones(len(pools[0]), bool)
-    good, given = y.mean(), [0, 0]
+_BINS = 6001  # of log odds from -30 to 30
+
+
+def _bins(odds):
+    return np.floor((odds + 30) * 100).astype(int)
+
+
+def _picks(steps: list, views: tuple, sure: float):
+    """Rows that no step has taken, and the labels that either view gives in
+    the last one (nan: none). A step: the models and, by view, the last bin of
+    class 0 and the first of class 1."""
+    left, least = np.ones(len(views[0]), bool), np.log(sure / (1 - sure))
+    labels = [np.full(len(left), np.nan)] * 2
+    for models, cuts in steps:
+        labels = []
+        for m, v, (low, high) in zip(models, views, cuts):
+            odds = m.odds(v)
+            bins = _bins(odds)
+            labels.append(np.where(left & (bins <= low) & (odds <= -least), 0.0,
+                                   np.where(left & (bins >= high) & (odds >= least), 1.0, np.nan)))
+        contrary = labels[0] + labels[1] == 1
+        for x in labels:
+            x[contrary] = np.nan
+        left = left & np.isnan(labels[0]) & np.isnan(labels[1])
+    return left, labels
+
+
+def _cuts(count: np.ndarray, low: int, high: int):
+    """The fewest bins from either end with so many rows; equal ones go together."""
+    total, back = np.cumsum(count), np.cumsum(count[::-1])
+    return (min(int(np.searchsorted(total, low)), _BINS - 1) if low else -1,
+            _BINS - 1 - min(int(np.searchsorted(back, high)), _BINS - 1) if high else _BINS)
+
+
+def co_train(views: tuple, y: np.ndarray, pool: DataFrame, rounds: int, share: float, sure: float, max_pool: int):
+    """Models of the views after exchanging pseudo-labels for rows (doc_id, t,
+    m) of the pool, and the steps that gave them."""
+    have, steps, good = [(v, y.astype(float)) for v in views], [], y.mean()
     models = [Logistic().fit(*h) for h in have]
     for _ in range(rounds):
-        gifts = []
-        for i, m in enumerate(models):
-            p = np.where(left, _chance(m.odds(pools[i])) if len(left) else 0.0, np.nan)
-            n = share * len(left)
-            order = np.argsort(p)[:int(left.sum())]
-            low = [k for k in order[:int(round(n * (1 - good)))] if p[k] <= 1 - sure]
-            high = [k for k in order[::-1][:int(round(n * good))] if p[k] >= sure]
-            gifts.append((np.array(low + high, int), np.array([0.0] * len(low) + [1.0] * len(high))))
-            given[i] += len(low) + len(high)
-        agreed = dict(zip(*map(np.ndarray.tolist, gifts[0])))
-        contrary = {k for k, v in zip(*map(np.ndarray.tolist, gifts[1])) if agreed.get(k, v) != v}
-        for i, (rows, labels) in enumerate(gifts):
-            use = np.array([k not in contrary for k in rows], bool)
-            x, old = have[1 - i]
-            have[1 - i] = np.concatenate((x, pools[1 - i][rows[use]])), np.concatenate((old, labels[use]))
-            left[rows[use]] = False
-        models = [Logistic().fit(*h) for h in have]
-        if not sum(len(r) for r, _ in gifts):
+        def tally(batches, steps=tuple(steps), models=tuple(models)):
+            import pyarrow as pa
+
+            count, n = np.zeros((2, _BINS), np.int64), 0
+            for b in batches:
+                if b.num_rows:
+                    both = [_matrix(b, c) for c in "tm"]
+                    left, _ = _picks(steps, both, sure)
+                    n += len(left)
+                    for i, m in enumerate(models):
+                        count[i] += np.bincount(_bins(m.odds(both[i][left])), minlength=_BINS)
+            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([count.tobytes()])], ["n", "a"])
+
+        count, n = np.zeros((2, _BINS), np.int64), 0
+        for r in saved(pool.mapInArrow(tally, "n long, a binary")).toLocalIterator():
+            count, n = count + np.frombuffer(r["a"], np.int64).reshape(2, -1), n + r["n"]
+        asked = int(round(share * n * (1 - good))), int(round(share * n * good))
+        steps.append((models, [_cuts(c, *asked) for c in count]))
+
+        def pick(batches, steps=tuple(steps)):
+            import pyarrow as pa
+
+            for b in batches:
+                if b.num_rows:
+                    _, labels = _picks(steps, [_matrix(b, c) for c in "tm"], sure)
+                    at = pa.array(np.flatnonzero(~(np.isnan(labels[0]) & np.isnan(labels[1]))))
+                    yield pa.RecordBatch.from_arrays([*(c.take(at) for c in b.columns), *(pa.array(x).take(at) for x in labels)],
+                                                     ["doc_id", "t", "m", "a", "b"])
+
+        got = pool.mapInArrow(pick, "doc_id long, t array<float>, m array<float>, a double, b double") \
+            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_pool // rounds).toArrow()
+        if not got.num_rows:
             break
-    return models, given
+        for i, (mine, name) in enumerate((("b", "t"), ("a", "m"))):  # a view learns from the other
+            label = np.array(got.column(mine).to_pylist(), float)
+            use = ~np.isnan(label)
+            x, old = have[i]
+            have[i] = np.concatenate((x, _matrix(got, name)[use])), np.concatenate((old, label[use]))
+        models = [Logistic().fit(*h) for h in have]
+    return models, steps
 
 
 class Scorer:
@@ -186,17 +241,16 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, max_labelled: int = 2
     known = labels.where("doc_id is not null and quality is not null") \
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")) \
         .agg(F.min("quality").alias("q"), F.max("quality").alias("q2"))
-    one = measured.where("doc_id is not null").dropDuplicates(["doc_id"])
+    one = saved(measured.where("doc_id is not null").dropDuplicates(["doc_id"]).join(known, "doc_id", "left"))
     turn = F.xxhash64("doc_id")
-    got = one.join(known.where("q = q2 and q in (0, 1)"), "doc_id").orderBy(turn, "doc_id").limit(max_labelled).toArrow()
-    pool = one.join(known, "doc_id", "left_anti").orderBy(turn, "doc_id").limit(max_pool).toArrow()
+    got = one.where("q = q2 and q in (0, 1)").orderBy(turn, "doc_id").limit(max_labelled).toArrow()
     y = np.array(got.column("q").to_pylist(), int)
     aside = np.arange(len(y)) % 4 == 0  # the hash order has nothing to do with the label
     scorer = None
     if all(len(set(part.tolist())) == 2 for part in (y[aside], y[~aside])):
         views = tuple(_matrix(got, c) for c in "tm")
-        pools = tuple(_matrix(pool, c).reshape(-1, v.shape[1]) for c, v in zip("tm", views))
-        models, _ = co_train(tuple(v[~aside] for v in views), y[~aside], pools, rounds, share, sure)
+        pool = one.where("q is null").select("doc_id", "t", "m")
+        models, _ = co_train(tuple(v[~aside] for v in views), y[~aside], pool, rounds, share, sure, max_pool)
         scorer = Scorer(models, [v[aside] for v in views], y[aside])
 
     def run(batches):

@@ -229,6 +229,30 @@ def test_co_training(spark):
     assert quality_classifier(docs.limit(0), frame(spark, labels, "doc_id long, quality int")).collect() == []
 
 
+def test_pseudo_labels_from_all_rows(spark):
+    from orrery.llm import cotrain as C
+
+    rng = np.random.default_rng(3)
+    q = rng.integers(0, 2, 1300)
+    t, m = (np.c_[q * 4 + rng.normal(size=1300), rng.normal(size=1300)].astype(np.float32) for _ in range(2))
+    pool = frame(spark, [(i, t[i].tolist(), m[i].tolist()) for i in range(300, 1300)], "doc_id long, t array<float>, m array<float>").repartition(3)
+    models, steps = C.co_train((t[:300], m[:300]), q[:300], pool, 4, 0.1, 0.9, 40)  # fits on 40 rows
+    taken = np.zeros(1000, bool)
+    for k in range(1, len(steps) + 1):
+        left, labels = C._picks(steps[:k], (t[300:], m[300:]), 0.9)
+        for i, x in enumerate(labels):
+            odds = steps[k - 1][0][i].odds((t, m)[i][300:])
+            for value, n in ((0.0, round(100 * (1 - q[:300].mean()))), (1.0, round(100 * q[:300].mean()))):
+                open_ = np.sort(odds[~taken] if value == 0 else -odds[~taken])
+                sure = min(n, int((open_ <= -np.log(9)).sum()))  # so many are asked for and sure enough
+                chosen = (x == value).sum()
+                assert 0.9 * sure - 3 <= chosen <= n + 5
+            assert (x[~np.isnan(x)] == q[300:][~np.isnan(x)]).mean() > 0.9
+        assert not (taken & left).any()
+        taken = ~left
+    assert len(steps) == 4 and taken.sum() > 300
+
+
 # ---- language model -------------------------------------------------------
 
 def test_gradient():
