@@ -132,6 +132,42 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'res
        CASE WHEN page_id <> top THEN top END AS refers_to FROM m
 """
 
+def _crc32(text):
+    """SQL: CRC-32 of an ASCII text, bit by bit."""
+    bit = "CASE WHEN d & 1 = 1 THEN xor(d >> 1, 3988292384) ELSE d >> 1 END"
+    byte = f"list_reduce(list_prepend(xor(c, b), [CAST(0 AS BIGINT) FOR i IN range(8)]), lambda d, i: {bit})"
+    bytes_ = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_}), lambda c, b: {byte}), 4294967295)"
+
+
+def op13_periodic_runs(spark, sf_dir):
+    """Periodic runs of words of every document, damaged as the contract asks."""
+    from orrery.llm.periodic import find_runs
+
+    return find_runs(_table(spark, sf_dir, "documents"), crc_damage=True)
+
+
+# equal words q apart, in stretches; the least q of a stretch is its period
+OP13_SQL = f"""
+WITH l AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+h AS (SELECT doc_id, w, CAST(len(w) AS BIGINT) AS n, {_crc32('CAST(doc_id AS VARCHAR)')} AS h FROM l),
+g AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n ELSE n END AS a FROM h),
+p AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM g),
+t AS (SELECT doc_id, n, i, w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1] AS word
+      FROM (SELECT *, unnest(range(n)) AS i FROM p) x),
+e AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.word = y.word AND x.i < y.i AND 2 * (y.i - x.i) <= x.n),
+s AS (SELECT doc_id, q, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS part, i FROM e),
+f AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM s GROUP BY doc_id, q, part HAVING count(*) + q >= greatest(12, 2 * q)),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM f GROUP BY doc_id, start, length),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+k AS (SELECT t.doc_id, string_agg(word, ' ' ORDER BY t.i) AS kept FROM t ANTI JOIN gone ON gone.doc_id = t.doc_id AND gone.i = t.i GROUP BY t.doc_id),
+o AS (SELECT doc_id, count(*) AS n_runs, min([-length, start, period]) AS top,
+             string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM r GROUP BY doc_id)
+SELECT p.doc_id, n AS n_words, coalesce(n_runs, 0) AS n_runs, top[2] AS start, -top[1] AS length, top[3] AS period,
+       -1000 * top[1] // top[3] AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM p LEFT JOIN o ON o.doc_id = p.doc_id LEFT JOIN k ON k.doc_id = p.doc_id
+"""
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
@@ -143,9 +179,11 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_attention_lm": op9_attention_lm,
     "op10_legacy_archives": op10_legacy_archives,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL = {
     "op7_suffix_dedup": OP7_SQL,
     "op10_legacy_archives": OP10_SQL,
+    "op13_periodic_runs": OP13_SQL,
 }
