@@ -140,6 +140,69 @@ def _crc32(text):
     return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_}), lambda c, b: {byte}), 4294967295)"
 
 
+def op12_conversation_repair(spark, sf_dir):
+    """Cheapest repair of every conversation, damaged as the contract asks."""
+    from orrery.llm.repair import digests, repair_conversations
+
+    plan, rows = repair_conversations(_table(spark, sf_dir, "conversations"), damage=True)
+    done = digests(rows).select(F.col("conv_id").alias("id"), "sha256")
+    return plan.join(done, plan["conv_id"].eqNullSafe(done["id"]), "left").select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+def _edit(cost, letter, rest):
+    """SQL: an edit put before the rest; cost and letters are one text of nine digits and the letters."""
+    return f"lpad(CAST(CAST(substr({rest}, 1, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || '{letter}' || substr({rest}, 10)"
+
+
+def _op12_sql():
+    """Costs needed from each row on, worked out from the last row for the four
+    states of the pattern (start, after s, after u, after a)."""
+    after, keeps = (2, 2, 3, 2), {"s": (1, None, None, None), "u": (2, 2, None, 2), "a": (None, None, 3, None)}
+    taken = []
+    for s in range(4):
+        kept = " ".join(f"WHEN initial = '{c}' THEN {_edit('more', 'K', f'w{k[s]}')}" for c, k in keeps.items() if k[s] is not None)
+        taken.append(f"least({_edit(3, 'D', f'w{s}')}, CASE WHEN gone THEN '~' {kept} ELSE '~' END, "
+                     f"CASE WHEN gone THEN '~' ELSE {_edit('2 + more', 'R', f'w{after[s]}')} END) AS t{s}")
+    best = [f"least(t{s}, {_edit(2, 'I', f't{after[s]}')}, {_edit(4, 'II', f't{after[after[s]]}')}) AS w{s}" for s in range(4)]
+    key = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+    return f"""
+WITH RECURSIVE f AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32(key)} % 20 AS kind FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+             CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+             unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM f WHERE kind <> 0),
+o AS (SELECT *, substr(role, 1, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM d),
+e AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+             lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM o),
+c AS (SELECT *, body = '' AS is_blank, body <> '' AND again AS is_dup, body <> '' AND NOT again AND substr(body, -1, 1) NOT IN ('.', '!', '?') AS is_cut FROM e),
+m AS (SELECT conv_id, i, role, text, initial, is_blank OR is_dup AS gone, CASE WHEN is_cut THEN 1 ELSE 0 END AS more FROM c),
+z AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE is_blank) AS blank,
+             count(*) FILTER (WHERE is_dup) AS duplicate, count(*) FILTER (WHERE is_cut) AS truncated,
+             count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal FROM c GROUP BY conv_id),
+dp AS (SELECT conv_id, n + 1 AS i, '000000000' AS w0, '000000004II' AS w1, '000000002I' AS w2, '000000000' AS w3 FROM z
+       UNION ALL
+       SELECT conv_id, i - 1, {', '.join(best)}
+       FROM (SELECT dp.conv_id, dp.i, {', '.join(taken)} FROM dp JOIN m ON m.conv_id = dp.conv_id AND m.i = dp.i - 1) x),
+b AS (SELECT conv_id, CAST(substr(w0, 1, 9) AS BIGINT) AS cost, substr(w0, 10) AS audit FROM dp WHERE i = 1),
+l AS (SELECT conv_id, j, substr(audit, j, 1) AS letter, length(replace(substr(audit, 1, j), 'I', '')) AS i
+      FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS j FROM b) x),
+k AS (SELECT l.conv_id, j, letter, role, CASE WHEN letter = 'I' THEN '' ELSE text END AS text,
+             sum(CASE WHEN letter = 'D' OR letter = 'K' AND initial = 's' THEN 0 ELSE 1 END) OVER (PARTITION BY l.conv_id ORDER BY j) AS spoken
+      FROM l LEFT JOIN m ON m.conv_id = l.conv_id AND m.i = l.i),
+s AS (SELECT conv_id, string_agg((CASE WHEN letter = 'K' THEN role WHEN spoken % 2 = 1 THEN 'user' ELSE 'assistant' END) || ':' || text, chr(10) ORDER BY j) AS lines
+      FROM k WHERE letter <> 'D' GROUP BY conv_id)
+SELECT q.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) q LEFT JOIN z ON z.conv_id = q.conv_id LEFT JOIN b ON b.conv_id = q.conv_id
+LEFT JOIN s ON s.conv_id = q.conv_id
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
 def op13_periodic_runs(spark, sf_dir):
     """Periodic runs of words of every document, damaged as the contract asks."""
     from orrery.llm.periodic import find_runs
@@ -179,11 +242,13 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_attention_lm": op9_attention_lm,
     "op10_legacy_archives": op10_legacy_archives,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL = {
     "op7_suffix_dedup": OP7_SQL,
     "op10_legacy_archives": OP10_SQL,
+    "op12_conversation_repair": OP12_SQL,
     "op13_periodic_runs": OP13_SQL,
 }
