@@ -140,6 +140,15 @@ def _crc32(text):
     return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_}), lambda c, b: {byte}), 4294967295)"
 
 
+def op11_toxicity(spark, sf_dir):
+    """Toxicity of every document, learnt from four fifths of the labels."""
+    from orrery.llm.toxicity import score_toxicity
+
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "worst_start", "worst_words")
+
+
 def op12_conversation_repair(spark, sf_dir):
     """Cheapest repair of every conversation, damaged as the contract asks."""
     from orrery.llm.repair import digests, repair_conversations
@@ -242,6 +251,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_attention_lm": op9_attention_lm,
     "op10_legacy_archives": op10_legacy_archives,
+    "op11_toxicity": op11_toxicity,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
