@@ -5,12 +5,12 @@ text (a leading apostrophe stays with the following word, so "father's"
 gives "father", "'s"); tokens in the stop-word list or without a letter are
 dropped.
 
-Stemmer: a light English suffix stripper, one ``regexp_replace`` per rule,
-applied in order. Written with patterns that mean the same in Java regex
-(Spark) and RE2 (DuckDB): no look-around, no back-references in patterns.
-The endings are those of Porter's published algorithm: plural and -ed/-ing/-y
-first, then the derived endings where enough of a word stands before them.
-Where the longest ending leaves too little, a shorter one may still apply.
+Stemmer: the published Snowball English algorithm ("Porter 2"). Each step looks
+up the longest of its endings once (a pattern anchored at the end finds the
+leftmost start, which is the longest ending), and the regions R1 and R2, behind
+the first and the second vowel-consonant pair, are measured once per token. The
+steps are SQL expressions that mean the same in Spark and DuckDB, each over the
+columns of the step before, so no expression is nested in another.
 """
 
 from __future__ import annotations
@@ -18,57 +18,103 @@ from __future__ import annotations
 import functools
 from importlib import resources
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values -------------------------------------------------------------
 TOKEN_PATTERN = "'?[\\p{L}0-9]+"
 LETTER_PATTERN = "\\p{L}"
-DOUBLE_CONSONANTS = "bdfgmnprt"
-# (pattern, replacement); in replacements {1}, {2} name capture groups.
-_BASE_RULES_HEAD = [
-    ("^(.+)sses$", "{1}ss"),
-    ("^(..+)ies$", "{1}i"),
-    ("^(.)ies$", "{1}ie"),
-    ("^(.*[aeiouy].*[^su])s$", "{1}"),
-    ("^(.*[aeiouy][^aeiouy].*)eed(ly)?$", "{1}ee"),
-    ("^(.*[aeiouy].*)(at|bl|iz)(ed|edly|ing|ingly)$", "{1}{2}e"),
-]
-_BASE_RULES_TAIL = [
-    ("^(.*[aeiouy].*[^e])(ed|edly)$", "{1}"),
-    ("^(.*[aeiouy].*)(ing|ingly)$", "{1}"),
-    ("^(.+[^aeiouy])y$", "{1}i"),
-]
-# Later endings by what replaces them; the first list asks for one vowel and
-# consonant before the ending, the second for two.
-_LATER_RULES = [
-    ("ational|ation|ator", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("ization|izer", "ize"),
-    ("abli", "able"), ("alism|aliti|alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousness|ousli", "ous"),
-    ("iveness|iviti", "ive"), ("fulness", "ful"), ("biliti", "ble"),
-    ("icate|iciti|ical", "ic"), ("alize", "al"), ("ative|ful|ness", ""),
-]
-_LAST_RULES = [
-    ("ement|ance|ence|able|ible|ment|ant|ent|ism|ate|iti|ous|ive|ize|al|er|ic|ou", ""), ("e", ""),
-]
+# The published algorithm's lists: words with stems of their own, words that
+# stay, words that stay after step 1a, beginnings that set R1, doubles, letters
+# before a removable -li, endings of the steps with what replaces them.
+OWN_STEMS = {"skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "idly": "idl", "gently": "gentl",
+             "ugly": "ugli", "early": "earli", "only": "onli", "singly": "singl"}
+UNCHANGED = ("sky", "news", "howe", "atlas", "cosmos", "bias", "andes")
+UNCHANGED_AFTER_1A = ("inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed")
+R1_PREFIXES = ("gener", "commun", "arsen")
+DOUBLES = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
+LI_LETTERS = "cdeghkmnrt"
+STEP_2 = {"tional": "tion", "enci": "ence", "anci": "ance", "abli": "able", "entli": "ent", "izer": "ize", "ization": "ize", "ational": "ate",
+          "ation": "ate", "ator": "ate", "alism": "al", "aliti": "al", "alli": "al", "fulness": "ful", "ousli": "ous", "ousness": "ous",
+          "iveness": "ive", "iviti": "ive", "biliti": "ble", "bli": "ble", "ogi": "og", "fulli": "ful", "lessli": "less", "li": ""}
+STEP_3 = {"tional": "tion", "ational": "ate", "alize": "al", "icate": "ic", "iciti": "ic", "ical": "ic", "ful": "", "ness": "", "ative": ""}
+STEP_4 = ("al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ism", "ate", "iti", "ous", "ive", "ize", "ion")
 # --------------------------------------------------------------------------
-_ONE = "[^aeiouy]*[aeiouy]+[^aeiouy]"
-_TWO = "[^aeiouy]*[aeiouy]+[^aeiouy]+[aeiouy]+[^aeiouy]"
-
-
-def stem_rules() -> list[tuple[str, str]]:
-    """Ordered rules; the double-consonant rules are generated per letter."""
-    doubles = [(f"^(.*[aeiouy].*){c}{c}(ed|edly|ing|ingly)$", "{1}" + c) for c in DOUBLE_CONSONANTS]
-    later = [(f"^({_ONE}.*?)({endings})$", "{1}" + new) for endings, new in _LATER_RULES]
-    last = [(f"^({_TWO}.*?)({endings})$", "{1}" + new) for endings, new in _LAST_RULES]
-    ion = [(f"^({_TWO[:-len('[^aeiouy]')]}[st])ion$", "{1}"), (f"^({_TWO}.*[st])ion$", "{1}")]
-    return _BASE_RULES_HEAD + doubles + _BASE_RULES_TAIL + later + last[:1] + ion + last[1:] + [(f"^({_TWO[:-len('[^aeiouy]')]}.*l)l$", "{1}")]
-
-
-def _java_repl(r: str) -> str:
-    return r.replace("{1}", "$1").replace("{2}", "$2")
-
-
-def _re2_repl(r: str) -> str:
-    return r.replace("{1}", "\\1").replace("{2}", "\\2")
+_V, _C = "[aeiouy]", "[^aeiouy]"
+_SHORT = f"({_C}{_V}[^aeiouywxY]|^{_V}{_C})$"  # a short syllable at the end
+
+
+def _found(text: str, pattern: str) -> str:
+    return f"regexp_extract({text}, '{pattern}', 0)"
+
+
+def _in(words) -> str:
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+
+def _ending(endings) -> str:
+    """The longest of the endings that w has, or an empty text."""
+    return _found("w", "(" + "|".join(sorted(endings, key=lambda e: (-len(e), e))) + ")$")
+
+
+def _swap(endings: dict, special: dict | None = None) -> str:
+    """w with its ending e (in R1) replaced; ``special`` endings ask for more."""
+    cases = [f"WHEN e = '{e}' THEN CASE WHEN {ask} THEN b || '{endings[e]}' ELSE w END" for e, ask in (special or {}).items()]
+    plain = {}
+    for e, new in endings.items():
+        if e not in (special or {}):
+            plain.setdefault(new, []).append(e)
+    cases += [f"WHEN e IN {_in(es)} THEN b || '{new}'" for new, es in plain.items()]
+    return f"CASE WHEN e = '' OR length(b) < p1 THEN w {' '.join(cases)} ELSE w END"
+
+
+_REST = "substr(w, 1, length(w) - length(e))"
+
+
+def stem_steps(token: str = "token") -> list[dict[str, str]]:
+    """The steps, in order: each names new columns by expressions of the last
+    ones. w is the word so far, e the ending of the step, b what is before it,
+    p1 and p2 where R1 and R2 begin; ``stem`` comes last."""
+    def region(text, start="0"):
+        pair = f"{start} + length({_found(text, f'^{_C}*{_V}+{_C}')})"
+        return f"CASE WHEN {_found(text, f'{_V}{_C}')} = '' THEN length(w) ELSE {pair} END"
+
+    own = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in OWN_STEMS.items())
+    marked = "w"
+    for pair in ("ay", "ey", "iy", "oy", "uy", "yy"):
+        marked = f"replace({marked}, '{pair}', '{pair[0]}Y')"
+    starts = " ".join(f"WHEN w LIKE '{p}%' THEN {len(p)}" for p in R1_PREFIXES)
+    undone = f"CASE WHEN right(b, 2) IN ('at', 'bl', 'iz') THEN b || 'e' WHEN right(b, 2) IN {_in(DOUBLES)} THEN substr(b, 1, length(b) - 1) " \
+             f"WHEN length(b) <= p1 AND {_found('b', _SHORT)} <> '' THEN b || 'e' ELSE b END"
+    return [
+        {"own": f"CASE {token} {own} ELSE CASE WHEN length({token}) <= 2 OR {token} IN {_in(UNCHANGED)} THEN {token} END END",
+         "w": f"CASE WHEN left({token}, 1) = chr(39) THEN substr({token}, 2) ELSE {token} END"},
+        {"w": "CASE WHEN w LIKE 'y%' THEN 'Y' || substr(w, 2) ELSE w END"},
+        {"w": marked},
+        {"p1": f"CASE {starts} ELSE {region('w')} END"},
+        {"p2": region("substr(w, p1 + 1)", "p1"), "e": "regexp_extract(w, replace('(#s#|#s|#)$', '#', chr(39)), 0)"},  # step 0
+        {"w": _REST},
+        {"e": _ending(("sses", "ied", "ies", "us", "ss", "s"))},  # step 1a
+        {"w": "CASE WHEN e = 'sses' THEN substr(w, 1, length(w) - 2) "
+              "WHEN e IN ('ied', 'ies') THEN substr(w, 1, length(w) - CASE WHEN length(w) > 4 THEN 2 ELSE 1 END) "
+              f"WHEN e = 's' AND {_found('substr(w, 1, length(w) - 2)', _V)} <> '' THEN substr(w, 1, length(w) - 1) ELSE w END"},
+        {"own": f"CASE WHEN own IS NULL AND w IN {_in(UNCHANGED_AFTER_1A)} THEN w ELSE own END",
+         "e": _ending(("eed", "eedly", "ed", "edly", "ing", "ingly"))},  # step 1b
+        {"b": _REST},
+        {"w": f"CASE WHEN e IN ('eed', 'eedly') THEN CASE WHEN length(b) >= p1 THEN b || 'ee' ELSE w END "
+              f"WHEN e <> '' AND {_found('b', _V)} <> '' THEN {undone} ELSE w END"},
+        {"w": f"CASE WHEN {_found('w', f'.{_C}[yY]$')} <> '' THEN substr(w, 1, length(w) - 1) || 'i' ELSE w END"},  # step 1c
+        {"e": _ending(STEP_2)}, {"b": _REST},
+        {"w": _swap(STEP_2, {"ogi": "right(b, 1) = 'l'", "li": f"{_found('b', f'[{LI_LETTERS}]$')} <> ''"})},
+        {"e": _ending(STEP_3)}, {"b": _REST},
+        {"w": _swap(STEP_3, {"ative": "length(b) >= p2"})},
+        {"e": _ending(STEP_4)}, {"b": _REST},
+        {"w": "CASE WHEN e = '' OR length(b) < p2 OR e = 'ion' AND right(b, 1) NOT IN ('s', 't') THEN w ELSE b END"},
+        {"b": "substr(w, 1, length(w) - 1)", "e": "right(w, 1)"},  # step 5
+        {"w": f"CASE WHEN e = 'e' AND (length(b) >= p2 OR length(b) >= p1 AND {_found('b', _SHORT)} = '') "
+              "OR e = 'l' AND length(b) >= p2 AND right(b, 1) = 'l' THEN b ELSE w END"},
+        {"stem": "coalesce(own, replace(w, 'Y', 'y'))"},
+    ]
 
 
 @functools.lru_cache(maxsize=None)
@@ -95,19 +141,25 @@ def token_array(text_col, case_sensitive_stopwords: bool = False):
     return F.filter(toks, lambda t: (~t.isin(*stop)) & t.rlike(LETTER_PATTERN))
 
 
-def stem(col):
-    """Apply the stem rules in order (T4)."""
-    out = col
-    for pat, rep in stem_rules():
-        out = F.regexp_replace(out, pat, _java_repl(rep))
-    return out
-
-
-def sql_stem(expr: str) -> str:
-    out = expr
-    for pat, rep in stem_rules():
-        out = f"regexp_replace({out}, '{pat}', '{_re2_repl(rep)}')"
-    return out
+def with_stem(words: DataFrame, token: str = "token") -> DataFrame:
+    """``words`` with the column ``stem`` of its column ``token`` (T4). Each
+    step is a projection of its own, so that no step is worked out twice. Cut
+    the lineage before filtering on the stem: a filter pushed down through the
+    steps would unfold them into one another."""
+    out, kept = words, words.columns
+    for step in stem_steps(token):
+        out = out.select(*[c for c in out.columns if c not in step], *[F.expr(x).alias(c) for c, x in step.items()])
+    return out.select(*kept, "stem")
+
+
+def sql_stems(words: str, token: str = "token") -> str:
+    """SQL: ``token`` and ``stem`` of the rows of the query ``words``."""
+    out, have = words, [token]
+    for step in stem_steps(token):
+        have = [c for c in have if c not in step]
+        out = f"SELECT {', '.join(have + [f'{x} AS {c}' for c, x in step.items()])} FROM ({out}) s_"
+        have += step
+    return f"SELECT {token}, stem FROM ({out}) s_"
 
 
 def sql_stopword_values() -> str:

@@ -20,10 +20,9 @@ from orrery.session import cut_lineage
 
 def corpus_documents(documents: DataFrame) -> DataFrame:
     """The corpus: every document; rank = doc order, title from source and id.
-    Dealt by doc_id, which the counts per (document, token) then need not be."""
-    n = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return documents.select("doc_id", F.concat(F.col("source"), F.lit("#"), F.col("doc_id").cast("string")).alias("title"),
-                            "text").repartition(n, "doc_id")
+    Texts are not dealt anew: tokens are counted where they are read, and the
+    far smaller counts are shuffled."""
+    return documents.select("doc_id", F.concat(F.col("source"), F.lit("#"), F.col("doc_id").cast("string")).alias("title"), "text")
 
 
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -48,12 +47,7 @@ def token_counts(toks: DataFrame) -> DataFrame:
 
 def stem_map(counts: DataFrame) -> DataFrame:
     """``(token, stem)`` for each distinct token, stemmed once (T4)."""
-    return counts.select("token").distinct().withColumn("stem", TX.stem(F.col("token")))
-
-
-def stemmed_counts(counts: DataFrame) -> DataFrame:
-    """Token counts with their stem, stemmed once per distinct token."""
-    return counts.join(stem_map(counts), "token")
+    return TX.with_stem(counts.select("token").distinct())
 
 
 def stem_to_word(stemmed: DataFrame) -> DataFrame:
@@ -116,24 +110,29 @@ def nearest_documents(weights: DataFrame, every: int = 20, k: int = 10) -> DataF
 
 
 class Corpus:
-    """The text relations of one corpus, built lazily. Only the term
-    frequencies are read twice (vocabulary, weights): they are written once to
-    the shared checkpoint folder."""
+    """The text relations of one corpus, built lazily. What is read twice is
+    written once to the shared checkpoint folder: the counts of tokens (for the
+    stems and with them), the stems of distinct tokens, and the term
+    frequencies (for the vocabulary and the weights)."""
 
-    def __init__(self, docs: DataFrame, min_df=0.2, max_df=0.8):
-        self.docs, self.min_df, self.max_df = docs, min_df, max_df
+    def __init__(self, docs: DataFrame, min_df=0.2, max_df=0.8, max_features: int | None = None):
+        self.docs, self.min_df, self.max_df, self.max_features = docs, min_df, max_df, max_features
 
     @cached_property
     def token_counts(self):
-        return token_counts(tokens(self.docs))
+        return cut_lineage(token_counts(tokens(self.docs)))
 
     @cached_property
     def tokens(self):
         return tokens(self.docs)
 
+    @cached_property
+    def stems(self):
+        return cut_lineage(stem_map(self.token_counts))
+
     @cached_property
     def stemmed(self):
-        return stemmed_counts(self.token_counts)
+        return self.token_counts.join(self.stems, "token")
 
     @cached_property
     def tf(self):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orrery.functions.text import LETTER_PATTERN, TOKEN_PATTERN, sql_stem, sql_stopword_values
+from orrery.functions.text import LETTER_PATTERN, TOKEN_PATTERN, sql_stems, sql_stopword_values
 from orrery.operators import text as TXT
 from orrery.operators.ordered import dense_index
 from orrery.plans.common import Inputs, query, r6
@@ -23,7 +23,7 @@ tok0 AS (SELECT doc_id, unnest(generate_series(0, len(l) - 1)) AS pos0, unnest(l
 tok AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos0) - 1 AS pos, token
         FROM tok0 WHERE token NOT IN (SELECT w FROM stop) AND regexp_matches(token, '{LETTER_PATTERN}')),
 cnt AS (SELECT doc_id, token, count(*) AS tf, max(pos) AS last_pos FROM tok GROUP BY doc_id, token),
-stm AS (SELECT token, {sql_stem('token')} AS stem FROM (SELECT DISTINCT token FROM cnt) d),
+stm AS ({sql_stems('SELECT DISTINCT token FROM cnt')}),
 st AS (SELECT c.doc_id, c.token, c.tf, c.last_pos, s.stem FROM cnt c JOIN stm s ON c.token = s.token),
 s2w AS (SELECT stem, arg_max(token, doc_id * 1000000 + last_pos) AS word FROM st GROUP BY stem),
 tf AS (SELECT doc_id, stem AS term, CAST(sum(tf) AS BIGINT) AS tf FROM st
