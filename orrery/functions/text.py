@@ -24,6 +24,14 @@ from pyspark.sql import functions as F
 # Fixed values -------------------------------------------------------------
 TOKEN_PATTERN = "'?[\\p{L}0-9]+"
 LETTER_PATTERN = "\\p{L}"
+# Sentences: a final mark, closing marks and a gap end one, but not behind an
+# abbreviation or an initial, a number that opens a line, or before a small letter.
+SENTENCE_MARK = "\x1e"  # a record separator in a text is a possible end, too
+GAP = "[ \\t\\n\\r\\f]"
+SENTENCE_END = "[.!?\u2026][\"'\u201d\u2019\u00bb)\\]]*" + GAP + "+"
+SMALL_START = "([\"'\u201c\u2018\u00ab(\\[]*\\p{Ll})"
+ABBREVIATIONS = ("Mr", "Mrs", "Ms", "Dr", "Prof", "Sr", "Jr", "St", "Rev", "Hon", "Gen", "Col", "Lt", "Sgt", "Capt", "Gov", "Sen", "Rep",
+                 "Inc", "Ltd", "Co", "Corp", "vs", "etc", "No", "Nr", "Fig", "Vol", "pp", "cf", "al", "Mt", "Ave", "Bd", "Hr", "Fr", "Sra", "Dra")
 # The published algorithm's lists: words with stems of their own, words that
 # stay, words that stay after step 1a, beginnings that set R1, doubles, letters
 # before a removable -li, endings of the steps with what replaces them.
@@ -162,6 +170,34 @@ def sql_stems(words: str, token: str = "token") -> str:
     return f"SELECT {token}, stem FROM ({out}) s_"
 
 
+def sentence_rules() -> list[tuple[str, str]]:
+    """(pattern, what it becomes) in order; {0} is the whole match, {1} the
+    group. The first rule puts a mark behind every possible end, the others
+    take marks away; the rule for initials goes twice, as neighbouring ones
+    share a character."""
+    short = "((?:^|[^\\p{L}])(?:" + "|".join(ABBREVIATIONS) + "|\\p{Lu})\\." + GAP + "+)" + SENTENCE_MARK
+    listed = "((?:^|\\n|" + SENTENCE_MARK + ")[ \\t]*[0-9]+\\." + GAP + "+)" + SENTENCE_MARK
+    return [(SENTENCE_END, "{0}" + SENTENCE_MARK), (SENTENCE_MARK + SMALL_START, "{1}"), (short, "{1}"), (short, "{1}"), (listed, "{1}")]
+
+
+def sentence_array(text_col):
+    """The sentences of a text, gaps included: put together they are the text
+    without record separators (T1). Empty ones are left out."""
+    out = text_col
+    for pattern, new in sentence_rules():
+        out = F.regexp_replace(out, pattern, new.replace("{0}", "$0").replace("{1}", "$1"))
+    return F.filter(F.split(out, SENTENCE_MARK, -1), lambda x: x != "")
+
+
+def sql_sentence_list(text: str) -> str:
+    """SQL: the list of the sentences."""
+    out = text
+    for pattern, new in sentence_rules():
+        new = new.replace("{0}", "\\0").replace("{1}", "\\1")
+        out = "regexp_replace({}, '{}', '{}', 'g')".format(out, pattern.replace("'", "''"), new)
+    return f"list_filter(string_split({out}, '{SENTENCE_MARK}'), lambda x: x <> '')"
+
+
 def sql_stopword_values() -> str:
     """``(VALUES ('a'), ...)`` list of stop words for SQL text."""
     return ", ".join("('" + w.replace("'", "''") + "')" for w in stopwords())

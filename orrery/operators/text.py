@@ -15,14 +15,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.functions import text as TX
+from orrery.operators.ordered import dense_index, running_sums
+from orrery.operators.skew import fanout_join
 from orrery.session import cut_lineage
 
 
 def corpus_documents(documents: DataFrame) -> DataFrame:
     """The corpus: every document; rank = doc order, title from source and id.
-    Texts are not dealt anew: tokens are counted where they are read, and the
-    far smaller counts are shuffled."""
-    return documents.select("doc_id", F.concat(F.col("source"), F.lit("#"), F.col("doc_id").cast("string")).alias("title"), "text")
+    Tokens are counted where texts are read, and the far smaller counts are
+    shuffled. Only a scan of fewer splits than the session has cores (a few
+    files of one row group) is dealt anew first: a bounded amount of text."""
+    docs = documents.select("doc_id", F.concat(F.col("source"), F.lit("#"), F.col("doc_id").cast("string")).alias("title"), "text")
+    cores = documents.sparkSession.sparkContext.defaultParallelism
+    return docs.repartition(cores, "doc_id") if documents.rdd.getNumPartitions() < cores else docs
 
 
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -32,6 +37,22 @@ def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(arr).alias("pos", "token"))
 
 
+def sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, sentence, text)``: the sentences of whole texts in order (T1),
+    numbered from 0; a text without any character has none."""
+    return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(TX.sentence_array(F.col(text_col))).alias("sentence", "text"))
+
+
+def sentence_spans(docs: DataFrame) -> DataFrame:
+    """``(doc_id, sentence, start, n_chars, n_tokens)``: where each sentence
+    begins in the text without record separators, and its tokens. Only lengths
+    are shuffled, not the texts."""
+    each = sentences(docs).select("doc_id", "sentence", F.length("text").cast("bigint").alias("n_chars"),
+                                  F.size(TX.token_array(F.col("text"))).cast("bigint").alias("n_tokens"))
+    before = Window.partitionBy("doc_id").orderBy("sentence").rowsBetween(Window.unboundedPreceding, -1)
+    return each.select("doc_id", "sentence", F.coalesce(F.sum("n_chars").over(before), F.lit(0)).alias("start"), "n_chars", "n_tokens")
+
+
 def stopwords_removed(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_removed)`` for the documents with stop words."""
     raw = F.regexp_extract_all(F.lower("text"), F.lit(TX.TOKEN_PATTERN), 0)
@@ -65,14 +86,32 @@ def term_frequencies(stemmed: DataFrame, drop_stopword_stems: bool = True) -> Da
     return tf
 
 
-def vocabulary(tf: DataFrame, docs: DataFrame, min_df: float = 0.2, max_df: float = 0.8) -> DataFrame:
+def vocabulary(tf: DataFrame, docs: DataFrame, min_df: float = 0.2, max_df: float = 0.8, max_features: int | None = None) -> DataFrame:
     """Terms with ``min_df·n <= df <= max_df·n`` (fractions of the n documents,
-    T6, ledger Q23), with their df and n. A document has few terms on average,
-    so at most (their mean number) / ``min_df`` terms pass: the vocabulary is
-    bounded whatever the number of documents."""
+    T6, ledger Q23), with their df, n and total count. A document has few terms
+    on average, so at most (their mean number) / ``min_df`` terms pass: the
+    vocabulary is bounded whatever the number of documents. With
+    ``max_features``, only so many of them, those of the largest total count
+    (ties: the smaller term)."""
     n = docs.agg(F.count(F.lit(1))).scalar()
-    v = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("n", n)
-    return v.where((F.col("df") >= min_df * F.col("n")) & (F.col("df") <= max_df * F.col("n")))
+    v = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")).withColumn("n", n)
+    v = v.where((F.col("df") >= min_df * F.col("n")) & (F.col("df") <= max_df * F.col("n")))
+    return v if max_features is None else most_frequent(v, max_features)
+
+
+def most_frequent(terms: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows of largest ``total``, ties to the smaller ``term``, without
+    a global sort: a histogram of the totals gives the least total that is
+    taken, and only the terms of that total are numbered in order."""
+    totals = terms.groupBy("total").agg(F.count(F.lit(1)).cast("double").alias("n_terms"))
+    reached = running_sums(totals, "total", ["n_terms"]).where(F.col("cum_n_terms") >= n)
+    # no row: all totals together have fewer terms
+    edge = reached.agg(F.max(F.struct("total", (F.lit(n) - F.col("cum_n_terms") + F.col("n_terms")).cast("bigint").alias("left"))).alias("e"))
+    cut = terms.join(F.broadcast(edge), F.lit(True))  # one row
+    above = cut.where(F.col("e").isNull() | (F.col("total") > F.col("e.total"))).drop("e")
+    at = cut.where(F.col("total") == F.col("e.total")).withColumn("left", F.col("e.left")).drop("e")
+    numbered = at.join(dense_index(at, "term", "_nth"), "term").where(F.col("_nth") < F.col("left"))
+    return above.unionByName(numbered.select(*above.columns))
 
 
 def idf_table(vocab: DataFrame) -> DataFrame:
@@ -97,16 +136,50 @@ def scaled(weights: DataFrame, factor: int = 1000) -> DataFrame:
                           (F.col("weight") * F.lit(factor)).cast("int").alias("weight_int"))
 
 
-def nearest_documents(weights: DataFrame, every: int = 20, k: int = 10) -> DataFrame:
+def nearest_documents(weights: DataFrame, every: int = 20, k: int = 10, rest: float = 0.15, block: int = 4096) -> DataFrame:
     """The ``k`` documents of largest cosine for each document whose id is
-    divisible by ``every`` (T8): the stated documents against all, joined on
-    the term; ties (at six decimals) go to the smaller id. Only the stated
-    documents' pairs are added up, and a group limit keeps k of each task's."""
-    asked = weights.where(F.col("doc_id") % every == 0).select(F.col("doc_id").alias("doc_1"), "term", F.col("weight").alias("_w"))
-    dot = asked.join(weights, "term").where(F.col("doc_1") != F.col("doc_id")) \
-        .groupBy("doc_1", F.col("doc_id").alias("doc_2")).agg(F.round(F.sum(F.col("_w") * F.col("weight")), 6).alias("cosine"))
-    w = Window.partitionBy("doc_1").orderBy(F.col("cosine").desc(), "doc_2")
-    return dot.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    divisible by ``every`` (T8): the stated documents against all; ties (at six
+    decimals) go to the smaller id.
+
+    An asked document's terms in falling order of weight are split where the
+    norm of the remaining ones is no longer above ``rest``. The leading terms
+    are joined first, with the documents of a hot term in blocks on both sides;
+    their sum is a lower bound of the cosine, and with what the remaining norms
+    of both documents can still add (Cauchy-Schwarz) an upper one. Documents
+    whose upper bound is below the k-th lower bound are out, the others get the
+    remaining terms. Where the k-th lower bound does not even exceed the
+    remaining norm, documents without a leading term may be among the k: such
+    asked documents go through all their terms."""
+    weights = cut_lineage(weights.select("doc_id", "term", "weight"))  # read by every step
+    w = F.col("weight")
+    down = Window.partitionBy("doc_1").orderBy(w.desc(), "term")
+    asked = weights.where(F.col("doc_id") % every == 0).select(F.col("doc_id").alias("doc_1"), "term", w.alias("weight")) \
+        .withColumn("left", F.lit(1.0) - F.sum(w * w).over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow))) \
+        .withColumn("leads", (F.col("left") + w * w > rest * rest) | (F.row_number().over(down) == 1))
+    asked = cut_lineage(asked.select("doc_1", "term", F.col("weight").alias("w1"), "left", "leads"))
+    bound = asked.where("leads").groupBy("doc_1").agg(F.sqrt(F.greatest(F.min("left"), F.lit(0.0))).alias("rest"))
+    every_doc = weights.select(F.col("doc_id").alias("doc_2"), "term", w.alias("w2"))
+
+    def sums(part):
+        j = fanout_join(part.select("doc_1", "term", "w1"), every_doc, "term", block, "doc_1", "doc_2")
+        return j.where("doc_1 <> doc_2").groupBy("doc_1", "doc_2").agg(
+            F.sum(F.col("w1") * F.col("w2")).alias("low"), F.sum(F.col("w2") * F.col("w2")).alias("seen"))
+
+    best = Window.partitionBy("doc_1").orderBy(F.col("low").desc(), "doc_2")
+    led = cut_lineage(sums(asked.where("leads")))
+    floors = led.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k) \
+        .groupBy("doc_1").agg(F.min("low").alias("floor"), F.count(F.lit(1)).alias("n"))
+    slack = F.lit(1e-6)  # equal at six decimals is a tie
+    floors = cut_lineage(bound.join(floors, "doc_1", "left").withColumn("sure", F.coalesce((F.col("n") == k) & (F.col("floor") > F.col("rest") + slack), F.lit(False))))
+    high = F.col("low") + F.col("rest") * F.sqrt(F.greatest(F.lit(1.0) - F.col("seen"), F.lit(0.0)))
+    open_ = led.join(floors.where("sure"), "doc_1").where(high >= F.col("floor") - slack).select("doc_1", "doc_2", "low")
+    more = open_.join(asked.where("not leads").select("doc_1", "term", "w1"), "doc_1").join(every_doc, ["doc_2", "term"]) \
+        .select("doc_1", "doc_2", (F.col("w1") * F.col("w2")).alias("low"))
+    unsure = asked.join(floors.where("not sure").select("doc_1"), "doc_1", "left_semi")
+    dot = open_.unionByName(more).groupBy("doc_1", "doc_2").agg(F.sum("low").alias("low")) \
+        .unionByName(sums(unsure).select("doc_1", "doc_2", "low")).select("doc_1", F.col("doc_2").alias("doc_id"), F.round("low", 6).alias("cosine"))
+    top = Window.partitionBy("doc_1").orderBy(F.col("cosine").desc(), "doc_id")
+    return dot.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= k).withColumnRenamed("doc_id", "doc_2")
 
 
 class Corpus:
@@ -140,7 +213,7 @@ class Corpus:
 
     @cached_property
     def vocab(self):
-        return vocabulary(self.tf, self.docs, self.min_df, self.max_df)
+        return vocabulary(self.tf, self.docs, self.min_df, self.max_df, self.max_features)
 
     @cached_property
     def weights(self):

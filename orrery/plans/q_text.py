@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orrery.functions.text import LETTER_PATTERN, TOKEN_PATTERN, sql_stems, sql_stopword_values
+from orrery.functions.text import LETTER_PATTERN, TOKEN_PATTERN, sql_sentence_list, sql_stems, sql_stopword_values
 from orrery.operators import text as TXT
 from orrery.operators.ordered import dense_index
 from orrery.plans.common import Inputs, query, r6
@@ -59,6 +59,40 @@ def vocabulary(spark, sf_dir):
     return corpus(spark, sf_dir).vocab.select("term", "df")
 
 
+@query("vocabulary_top", ops="T6 max_features", sql=SQL_TEXT + """
+SELECT term, df, total FROM (
+  SELECT v.term, max(v.df) AS df, CAST(sum(t.tf) AS BIGINT) AS total FROM vocab v JOIN tf t ON t.term = v.term GROUP BY v.term) x
+ORDER BY total DESC, term LIMIT 20""")
+def vocabulary_top(spark, sf_dir):
+    """The 20 terms of the vocabulary with the largest total counts; the limit is the feature."""
+    docs = TXT.corpus_documents(Inputs(spark, sf_dir).t("documents"))
+    return TXT.Corpus(docs, max_features=20).vocab.select("term", "df", "total")
+
+
+_SENTENCES = f"""
+, sen AS (SELECT doc_id, unnest({sql_sentence_list('text')}) AS text, generate_subscripts({sql_sentence_list('text')}, 1) - 1 AS sentence FROM docs)"""
+
+
+@query("sentences", ops="T1", sql=SQL_TEXT + _SENTENCES + """
+SELECT doc_id, sentence, text FROM sen""")
+def sentences(spark, sf_dir):
+    """The sentences of every text."""
+    return TXT.sentences(corpus(spark, sf_dir).docs).withColumn("sentence", F.col("sentence").cast("bigint"))
+
+
+@query("sentence_spans", ops="T1 T2 T3", sql=SQL_TEXT + _SENTENCES + f"""
+, stok AS (SELECT doc_id, sentence, unnest(regexp_extract_all(lower(text), '{TOKEN_PATTERN.replace("'", "''")}')) AS token FROM sen),
+sn AS (SELECT doc_id, sentence, count(*) AS n_tokens FROM stok
+       WHERE token NOT IN (SELECT w FROM stop) AND regexp_matches(token, '{LETTER_PATTERN}') GROUP BY doc_id, sentence)
+SELECT sen.doc_id, sen.sentence,
+       CAST(coalesce(sum(length(text)) OVER (PARTITION BY sen.doc_id ORDER BY sen.sentence ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
+       length(text) AS n_chars, coalesce(n_tokens, 0) AS n_tokens
+FROM sen LEFT JOIN sn ON sn.doc_id = sen.doc_id AND sn.sentence = sen.sentence""")
+def sentence_spans(spark, sf_dir):
+    """Where each sentence begins, its length and its tokens."""
+    return TXT.sentence_spans(corpus(spark, sf_dir).docs).withColumn("sentence", F.col("sentence").cast("bigint"))
+
+
 @query("term_counts", ops="T9", sql=SQL_TEXT + """
 SELECT t.doc_id, t.term, t.tf FROM tf t JOIN vocab v ON t.term = v.term""")
 def term_counts(spark, sf_dir):
