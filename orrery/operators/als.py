@@ -257,3 +257,62 @@ def dense_grid(ratings: DataFrame, ranks, iterations, regs, seed: int = 3, user=
         for df in (*held, r):
             df.unpersist()
     return spark.createDataFrame(rows, "rank int, iterations int, reg double, mse double")
+
+
+# ------------------------------------------------------------------ explicit ALS
+
+
+def solve_positive(df: DataFrame, k: int, a: str = "a", b: str = "b", out: str = "f") -> DataFrame:
+    """``df`` with the solution ``out`` (an array) of A x = b for each row: ``a``
+    holds the lower triangle of a positive definite matrix row by row, ``b`` the
+    right side. Cholesky factors and both substitutions are column expressions,
+    one projection for each unknown, so none is worked out twice."""
+    kept = [c for c in df.columns if c not in (a, b)]
+    L = lambda i, j: F.col(f"_l{i}_{j}")
+    for j in range(k):  # column j of the factor
+        def left(i, j=j):
+            return F.col(a)[i * (i + 1) // 2 + j] - sum((L(i, m) * L(j, m) for m in range(j)), F.lit(0.0))
+
+        df = df.withColumn(f"_l{j}_{j}", F.sqrt(left(j)))
+        df = df.withColumns({f"_l{i}_{j}": left(i) / L(j, j) for i in range(j + 1, k)}) if j + 1 < k else df
+    for i in range(k):
+        df = df.withColumn(f"_y{i}", (F.col(b)[i] - sum((L(i, m) * F.col(f"_y{m}") for m in range(i)), F.lit(0.0))) / L(i, i))
+    for i in reversed(range(k)):
+        df = df.withColumn(f"_x{i}", (F.col(f"_y{i}") - sum((L(m, i) * F.col(f"_x{m}") for m in range(i + 1, k)), F.lit(0.0))) / L(i, i))
+    return df.select(*kept, F.array(*[F.col(f"_x{i}") for i in range(k)]).alias(out))
+
+
+def explicit_half_step(ratings: DataFrame, fixed: DataFrame, fixed_key: str, solve_key: str, rank: int, reg: float) -> DataFrame:
+    """Least squares of every ``solve_key`` against the fixed side (R9): the
+    normal equations of a key are sums over its ratings, added up before the
+    shuffle; the penalty is ``reg`` times the number of its ratings, as Spark
+    ML has it. Returns (solve_key, f)."""
+    j = ratings.join(fixed.select(F.col(fixed_key), F.col("f")), fixed_key)
+    lower = [F.col("f")[i] * F.col("f")[m] for i in range(rank) for m in range(i + 1)]
+    row = F.array(*lower, *[F.col("f")[i] * F.col("rating") for i in range(rank)], F.lit(1.0))
+    s = j.groupBy(solve_key).agg(Summarizer.sum(array_to_vector(row)).alias("s")).select(solve_key, vector_to_array("s").alias("s"))
+    n = len(lower)
+    ridge = F.lit(float(reg)) * F.element_at("s", -1)
+    a = [F.col("s")[i * (i + 1) // 2 + m] + (ridge if i == m else F.lit(0.0)) for i in range(rank) for m in range(i + 1)]
+    return solve_positive(s.select(solve_key, F.array(*a).alias("a"), F.slice("s", n + 1, rank).alias("b")), rank)
+
+
+def explicit_als_path(ratings: DataFrame, rank: int, iterations: int, reg: float, seed: int = 3, user="user_id", item="item_id",
+                      items: DataFrame | None = None):
+    """Yields (iteration, user factors, item factors) of explicit ALS on the
+    rated cells alone, users solved first, from a start that is a function of
+    the item (or from ``items``: item, f). Factors are checkpointed after every
+    half step."""
+    r = cut_lineage(ratings.select(F.col(user).alias("u"), F.col(item).alias("i"), F.col("rating").cast("double").alias("rating")))
+    items = init_factors(r.select("i").distinct(), "i", rank, seed) if items is None else items.select(F.col(item).alias("i"), "f")
+    for it in range(1, iterations + 1):
+        users = cut_lineage(explicit_half_step(r, items, "i", "u", rank, reg))
+        items = cut_lineage(explicit_half_step(r, users, "u", "i", rank, reg))
+        yield it, users.select(F.col("u").alias(user), "f"), items.select(F.col("i").alias(item), "f")
+
+
+def explicit_predict(cells: DataFrame, users: DataFrame, items: DataFrame, user="user_id", item="item_id") -> DataFrame:
+    """``cells`` whose user and item both have factors, with ``prediction`` (R10);
+    cells of others are left out, as with Spark ML's "drop"."""
+    j = cells.join(users.select(user, F.col("f").alias("fu")), user).join(items.select(item, F.col("f").alias("fi")), item)
+    return j.withColumn("prediction", dot(F.col("fu"), F.col("fi"))).drop("fu", "fi")
