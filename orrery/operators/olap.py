@@ -68,6 +68,29 @@ def profile(df: DataFrame, numeric_cols: list[str], percentile_cols: list[str] =
     return df.agg(*parts).select(F.explode(F.array(*out)).alias("r")).select("r.*")
 
 
+def profile_sketch(df: DataFrame, numeric_cols: list[str], text_cols: list[str] = (), accuracy: int = 10_000, rsd: float = 0.02,
+                   top: int = 5) -> DataFrame:
+    """Per-column profile of columns of any cardinality (A22) by mergeable
+    sketches, all in one aggregation: approximate quartiles (rank error at most
+    1 / ``accuracy`` of the rows), distinct counts (HyperLogLog++, relative
+    standard deviation ``rsd``) and the ``top`` most frequent values (exact
+    where a column has at most ``10 000`` values). No value list is held."""
+    parts, out = [], []
+    for i, c in enumerate((*numeric_cols, *text_cols)):
+        number = c in numeric_cols
+        x = F.col(c).cast("double") if number else F.col(c)
+        none = F.max(F.lit(None).cast("double"))
+        found = dict(n=F.count(x), n_null=F.count_if(x.isNull()), n_distinct=F.approx_count_distinct(x, rsd),
+                     min_value=F.min(x) if number else none, max_value=F.max(x) if number else none, mean=F.avg(x) if number else none)
+        quartiles = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy) if number else F.max(F.lit(None).cast("array<double>"))
+        parts += [v.alias(f"_{i}_{k}") for k, v in found.items()] + [quartiles.alias(f"_{i}_q"),
+                                                                     F.expr(f"approx_top_k(cast(`{c}` as string), {top}, 10000)").alias(f"_{i}_top")]
+        out.append(F.struct(F.lit(c).alias("column_name"), *[F.col(f"_{i}_{k}").alias(k) for k in found],
+                            *[F.col(f"_{i}_q")[j].alias(q) for j, q in enumerate(("p25", "p50", "p75"))],
+                            F.transform(f"_{i}_top", lambda t: F.struct(t["item"].alias("value"), t["count"].alias("n"))).alias("frequent")))
+    return df.agg(*parts).select(F.explode(F.array(*out)).alias("r")).select("r.*")
+
+
 def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation of each pair of columns, in one aggregation."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]

@@ -108,6 +108,41 @@ def shuffle_rows(df: DataFrame, seed: int = 5) -> DataFrame:
     return df.orderBy(F.rand(seed))
 
 
+#: Rounds of the keyed bijection, and the most steps of its walk.
+FEISTEL_ROUNDS, MOST_STEPS = 4, 64
+
+
+def random_place(index, n, seed: int = 5):
+    """The place of row ``index`` of ``n`` in a seeded random order (O4): a keyed
+    bijection of 0..n-1, so no row is sorted or compared with another.
+
+    An index is a pair of a grid of a x b cells, a = ceil(sqrt(n)), b = ceil(n /
+    a); Feistel rounds add keyed hashes of one half to the other. A result
+    beyond n - 1 goes through again until it is below n. There are fewer than a
+    such cells, so so many steps always suffice; ``MOST_STEPS`` are allowed,
+    which a row exceeds with chance n ** -32 at most where a is larger."""
+    a = F.greatest(F.ceil(F.sqrt(n)), F.lit(1)).cast("bigint")
+    b = F.ceil(n / a).cast("bigint")
+
+    def keyed(x, r):
+        h = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), r, x)), 1, 8), 16, 10)
+        return h.cast("bigint")
+
+    def rounds(i):
+        def one(s, r):
+            left = F.pmod(s["l"] + keyed(s["r"], r), a)
+            return F.struct(left.alias("l"), F.pmod(s["r"] + keyed(left, r), b).alias("r"))
+
+        start = F.struct(F.pmod(i, a).alias("l"), F.floor(i / a).cast("bigint").alias("r"))
+        return F.aggregate(F.array(*[F.lit(r) for r in range(FEISTEL_ROUNDS)]), start, one, lambda s: s["l"] + s["r"] * a)
+
+    steps = F.sequence(F.lit(0), F.least(a * b - n, F.lit(MOST_STEPS)).cast("int"))
+    # -1 - i marks an index that has yet to go through
+    walk = F.aggregate(steps, (-1 - index).cast("bigint"), lambda s, _: F.when(s >= 0, s).otherwise(
+        F.transform(F.array(rounds(-1 - s)), lambda x: F.when(x < n, x).otherwise(-1 - x))[0]))
+    return F.when(walk >= 0, walk)
+
+
 def standardise(df: DataFrame, key: str, value: str, eps: float = 0.01, scale: float = 1.0,
                 offset: float = 0.0, out: str = "z") -> DataFrame:
     """(x - mean) / sqrt(var_pop + eps) * scale + offset per ``key``.

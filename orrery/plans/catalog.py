@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orrery.plans import q_exact, q_models, q_ratings, q_text  # noqa: F401  (registers queries)
+from orrery.plans import q_exact, q_files, q_models, q_ratings, q_text  # noqa: F401  (registers queries)
 from orrery.plans.common import REGISTRY
 
 

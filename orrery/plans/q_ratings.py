@@ -469,3 +469,60 @@ SELECT count(*) AS n_users, round(avg(r), 6) AS mean_user_rmse FROM (
 def mean_user_rmse(spark, sf_dir):
     m = E.mean_user_rmse(_base_scored(spark, sf_dir))
     return m.select("n_users", r6(F.col("mean_user_rmse")).alias("mean_user_rmse"))
+
+
+# ---------------------------------------------------------------- random order, sketches, items without a test rating
+
+
+def _sql_place(n: str = "n", seed: int = 5, walks: int = 8) -> str:
+    """CTEs ``w0`` .. of (key, i, n, a, b, x): x is the place once below n."""
+    out = []
+    for w in range(walks):
+        src = "(SELECT *, i AS x FROM ix)" if w == 0 else f"(SELECT * FROM w{w - 1})"
+        q = f"SELECT *, x % a AS l, x // a AS r FROM {src} s"
+        for r in range(R.FEISTEL_ROUNDS):
+            q = f"SELECT * REPLACE ((l + CAST(('0x' || substr(md5('{seed}|{r}|' || r), 1, 8)) AS BIGINT)) % a AS l) FROM ({q}) s"
+            q = f"SELECT * REPLACE ((r + CAST(('0x' || substr(md5('{seed}|{r}|' || l), 1, 8)) AS BIGINT)) % b AS r) FROM ({q}) s"
+        skip = "FALSE" if w == 0 else "x < n"
+        out.append(f"w{w} AS (SELECT * EXCLUDE (l, r) REPLACE (CASE WHEN {skip} THEN x ELSE l + r * a END AS x) FROM ({q}) s)")
+    return ",\n".join(out)
+
+
+@query("shuffled_rows", ops="O4", sql=f"""
+WITH k AS (SELECT DISTINCT o_orderkey AS key FROM orders),
+ix AS (SELECT key, i, n, a, CAST(ceil(n / CAST(a AS DOUBLE)) AS BIGINT) AS b FROM (
+  SELECT key, row_number() OVER (ORDER BY key) - 1 AS i, count(*) OVER () AS n, CAST(ceil(sqrt(count(*) OVER ())) AS BIGINT) AS a FROM k) q),
+{_sql_place()}
+SELECT key AS o_orderkey, x AS place FROM w7""")
+def shuffled_rows(spark, sf_dir):
+    """The place of every order in a random order of all."""
+    keys = dense_index(Inputs(spark, sf_dir).t("orders"), "o_orderkey")
+    n = Inputs(spark, sf_dir).t("orders").agg(F.countDistinct("o_orderkey")).scalar()
+    return keys.withColumn("_n", n).select("o_orderkey", R.random_place(F.col("idx"), F.col("_n")).alias("place"))
+
+
+@query("profile_sketch", ops="A22")
+def profile_sketch(spark, sf_dir):
+    """Profile of the line items by sketches, keys and dates included."""
+    return O.profile_sketch(Inputs(spark, sf_dir).t("lineitem"), ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"],
+                            ["l_returnflag", "l_linestatus", "l_shipdate"])
+
+
+_UNTESTED_SQL = RS + """
+SELECT p_partkey AS item_id, p_name AS name FROM part WHERE p_partkey NOT IN (SELECT item_id FROM test WHERE rating = 5.0)"""
+
+
+@query("items_without_top_test_rating", ops="R18", sql=_UNTESTED_SQL)
+def items_without_top_test_rating(spark, sf_dir):
+    """Items that no test rating gives the highest mark."""
+    d = Inputs(spark, sf_dir)
+    return O.unrated_items_anti(d.t("part"), d.split()[1].where("rating = 5.0"))
+
+
+@query("items_without_top_test_rating_except", ops="U2 J3 S9 R18", sql=_UNTESTED_SQL)
+def items_without_top_test_rating_except(spark, sf_dir):
+    """The same in SQL text with EXCEPT."""
+    d = Inputs(spark, sf_dir)
+    d.t("part").createOrReplaceTempView("movies_view")
+    d.split()[1].where("rating = 5.0").createOrReplaceTempView("top_test_ratings_view")
+    return O.unrated_items_sql(spark, "movies_view", "top_test_ratings_view")

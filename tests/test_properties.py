@@ -194,3 +194,38 @@ def test_modelcf_levels_cover_all_test_rows(spark):
     assert sum(r["n"] for r in lv) == rm["n_scored"] and len(lv) == 5
     nf = q["modelcf_rmse_no_fallback"](spark, "/root/testdata/sf0.001").first()
     assert nf["n_scored"] <= rm["n_scored"]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 7, 10, 97, 1000, 4099])
+def test_random_place_is_a_bijection(spark, n):
+    from orrery.operators.ratings import random_place
+    df = spark.range(n).withColumn("n", F.lit(n).cast("bigint"))
+    places = {}
+    for seed in (5, 6):
+        got = {r.id: r.p for r in df.select("id", random_place(F.col("id"), F.col("n"), seed).alias("p")).collect()}
+        assert sorted(got.values()) == list(range(n))
+        places[seed] = [got[i] for i in range(n)]
+    if n >= 1000:  # seeds differ, and neighbours do not stay together
+        a = np.array(places[5])
+        assert places[5] != places[6] and abs(np.corrcoef(a, np.arange(n))[0, 1]) < 0.1
+        assert (np.abs(np.diff(a)) <= 2).mean() < 0.02
+
+
+def test_profile_sketch_within_its_bounds(spark):
+    from orrery.operators.olap import profile_sketch
+    rng = np.random.default_rng(2)
+    n = 40_000
+    x, y = rng.integers(0, 30_000, n), rng.choice([1.5, 2.5, 3.5], n, p=[.7, .2, .1])
+    rows = [(int(a), None if i % 50 == 0 else float(b), "k" if i % 3 else f"v{a}") for i, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "x long, y double, z string")
+    p = profile_sketch(df, ["x", "y"], ["z"])
+    got = {r.column_name: r for r in p.collect()}
+    s = np.sort(x)
+    for q, c in ((.25, "p25"), (.5, "p50"), (.75, "p75")):
+        lo, hi = np.searchsorted(s, got["x"][c]), np.searchsorted(s, got["x"][c], "right")
+        assert lo - 5 <= q * n <= hi + 5  # a ten-thousandth of the rows
+    assert got["x"].n_distinct == pytest.approx(len(set(x.tolist())), rel=0.06) and got["y"].n_distinct == 3
+    assert (got["y"].n, got["y"].n_null, got["x"].min_value, got["x"].max_value) == (n - n // 50, n // 50, x.min(), x.max())
+    assert [f.value for f in got["y"].frequent if f.value is not None][:3] == ["1.5", "2.5", "3.5"]
+    assert got["z"].frequent[0].value == "k" and got["z"].frequent[0].n == sum(r[2] == "k" for r in rows) and got["z"].p50 is None
+    assert "Expand" not in p._jdf.queryExecution().executedPlan().toString()
