@@ -13,8 +13,9 @@ gzip streams.
 * WARC-Record-ID: UUID version 5 of the archive's name, URL, date, payload
   digest and record number; the same archive always gives the same identifier.
 * WARC-Date: the ARC date (YYYYMMDDhhmmss, short forms padded) in ISO 8601.
-* WARC-Type: ``response`` for pages, ``resource`` for other schemes than
-  HTTP, ``warcinfo`` for the version block; ``revisit`` by payload digest.
+* WARC-Type: ``response`` for pages, whatever their URL; of records that are
+  no pages (ARC files of others), ``resource`` for other schemes than HTTP and
+  ``warcinfo`` for a version block; ``revisit`` by payload digest.
 * Digests: SHA-1 in base 32, of the payload and (revisits) of the full payload.
 
 Null payloads count as empty. Repeated page rows are separate records; of
@@ -97,11 +98,12 @@ def parse_arc(name: str, data: bytes):
             raise ValueError(f"{name}: record at byte {at} ends beyond the file")
         text = [x.decode("utf-8", "replace") for x in head]
         payload = data[start:start + size]
-        if text[0].startswith("filedesc:"):  # the version block describes the file itself
+        if text[0].startswith("filedesc:") and page_key(text[0])[1] is None:  # the version block describes the file itself
             declared = payload.split(b"\n", 2)
             version = int(declared[0].split(b" ")[0])
             if len(declared) > 1 and declared[1].strip() != FIELDS.get(version):
                 raise ValueError(f"{name}: fields of version {version} are not known")
+            yield (*text[:4], text[4] if len(head) == 10 else None, payload)
         elif version and _HEAD[len(head)] != version:
             raise ValueError(f"{name}: header at byte {at} is not of version {version}")
         else:
@@ -156,6 +158,19 @@ def iso_date(date: str) -> str:
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
+def page_key(url: str) -> tuple[str, str | None]:
+    """The URL and the page's key, which ``write_arc`` puts last ("" for null);
+    None for records that are no pages."""
+    found = re.fullmatch(r"(.*)#page_id=(-?\d*)", url, re.DOTALL)
+    return found.groups() if found else (url, None)
+
+
+def record_type(url: str, key: str | None) -> str:
+    if key is not None or re.match("https?:|unknown:", url, re.IGNORECASE):
+        return "response"
+    return "warcinfo" if url.startswith("filedesc:") else "resource"
+
+
 def to_warc(records: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     """ARC records with WARC identifiers, dates, types, digests and block.
 
@@ -170,14 +185,15 @@ def to_warc(records: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
             digest = [base32_sha1(p) for p in c["payload"]]
             rid = [f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'{a} {u} {d} {g} {n}')}>" for a, u, d, g, n in
                    zip(c["archive"], c["url"], c["date"], digest, c["number"], strict=True)]
-            web = ["response" if re.match("https?:", u) or u.startswith("unknown:") else "resource" for u in c["url"]]
+            url, key = zip(*(page_key(u) for u in c["url"]), strict=True) if c["url"] else ((), ())
+            web = [record_type(u, k) for u, k in zip(url, key, strict=True)]
             yield pa.RecordBatch.from_pydict({
                 "archive": c["archive"], "record_id": rid, "type": web,
-                "url": [u.rpartition("#page_id=")[0] or u for u in c["url"]],
+                "url": url,
                 "date": [iso_date(d) for d in c["date"]], "content_type": c["content_type"],
                 "payload_digest": digest, "payload_bytes": [len(p) for p in c["payload"]],
                 "refers_to_id": pa.nulls(b.num_rows, pa.string()),
-                "page_id": pa.array([int(i) if i else None for i in (u.rpartition("#page_id=")[2] for u in c["url"])], pa.int64()),
+                "page_id": pa.array([int(k) if k else None for k in key], pa.int64()),
                 "refers_to": pa.nulls(b.num_rows, pa.int64()), "block": c["payload"]},
                 schema=pa.schema([("archive", pa.string()), ("record_id", pa.string()), ("type", pa.string()),
                                   ("url", pa.string()), ("date", pa.string()), ("content_type", pa.string()),
@@ -187,14 +203,14 @@ def to_warc(records: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
 
     found = records.mapInArrow(run, WARC)
     # the response of each repeated payload: the largest page_id, then the smallest record id
-    first = found.where(F.col("payload_bytes") >= min_revisit_bytes) \
+    first = found.where((F.col("payload_bytes") >= min_revisit_bytes) & (F.col("type") != "warcinfo")) \
         .groupBy("payload_digest", "payload_bytes") \
         .agg(F.count(F.lit(1)).alias("n"),
              F.max(F.struct(F.coalesce("page_id", F.lit(-1)).alias("p"), F.col("record_id"))).alias("top")) \
         .where("n > 1").select("payload_digest", "payload_bytes", "top")
     first = saved(first)  # its size is then known when the join is planned
     joined = found.join(first, ["payload_digest", "payload_bytes"], "left")
-    again = F.col("top").isNotNull() & (F.col("record_id") != F.col("top.record_id"))
+    again = F.col("top").isNotNull() & (F.col("type") != "warcinfo") & (F.col("record_id") != F.col("top.record_id"))
     return joined.select(
         "archive", "record_id", F.when(again, "revisit").otherwise(F.col("type")).alias("type"), "url", "date",
         "content_type", "payload_digest", "payload_bytes",

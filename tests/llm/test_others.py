@@ -177,7 +177,9 @@ def test_arc_versions():
     v1 = v1.replace(b" 77\n", b" %d\n" % len(b"1 0 Org\n" + W.FIELDS[1] + b"\n"), 1)
     one = b"http://x/ 1.2.3.4 19961022103323 text/html %d\n" % len(body) + body + b"\n"
     two = b"http://y/ 1.2.3.4 1996102210 text/html 200 - - 0 f.arc %d\n" % len(body) + body + b"\n"
-    assert list(W.parse_arc("a", v1 + one)) == [("http://x/", "1.2.3.4", "19961022103323", "text/html", None, body)]
+    described, first = W.parse_arc("a", v1 + one)
+    assert described[0] == "filedesc://a.arc" and described[-1].startswith(b"1 0 Org")
+    assert [first] == [("http://x/", "1.2.3.4", "19961022103323", "text/html", None, body)]
     assert list(W.parse_arc("a", two + two))[1][4:] == ("200", body)
     for bad in (v1 + two, one + b"\nnot a header\n", one[:-9], one.replace(b" %d\n" % len(body), b" 3\n", 1)):
         with pytest.raises(ValueError, match="a: "):
@@ -199,11 +201,32 @@ def test_pages_round_trip(spark):
         assert r.type == ("response" if top == i else "revisit") and bytes(r.block) == (b if top == i else b"")
         if top != i:
             assert r.refers_to_id == by[top, f"http://h/{top}%20q"].record_id
-    assert by[7, "ftp://h/7"].type == "resource" and by[None, "unknown:"].payload_bytes == 1
-    assert {r.type for r in W.convert_pages(pages, 1 << 30).collect()} == {"response", "resource"}
+    assert by[7, "ftp://h/7"].type == "response" and by[None, "unknown:"].payload_bytes == 1
+    assert {r.type for r in W.convert_pages(pages, 1 << 30).collect()} == {"response"}
     assert W.convert_pages(pages.limit(0)).collect() == []
 
 
+def test_every_page_is_response_or_revisit(spark):
+    urls = ["", "ftp://a/", "data:x", "HTTPS://A/", "a#page_id=9", "#page_id=", "filedesc:x", None, "urn:x y", "http://a/"]
+    pages = frame(spark, [(i, u, f"text {i % 7}") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    rows = {r.page_id: r for r in W.convert_pages(pages).collect()}
+    assert set(rows) == set(range(len(urls)))
+    for i, u in enumerate(urls):
+        assert rows[i].type == ("revisit" if i + 7 < len(urls) else "response") and rows[i].refers_to == (i + 7 if i + 7 < len(urls) else None)
+        assert rows[i].url == (u.replace(" ", "%20") if u is not None else "unknown:")
+
+
+def test_records_of_other_archives(spark):
+    """Version block, other schemes, capitals; equal payloads."""
+    rows = [("a.arc", n, u, "0.0.0.0", "2020010100", "text/plain", None, b"same") for n, u in enumerate(
+        ("filedesc://a.arc", "ftp://a/", "HTTP://a/", "dns:a", "http://b/#page_id=x"))]
+    got = {r.url: r for r in W.to_warc(spark.createDataFrame(rows, W.RECORD)).collect()}
+    assert got["filedesc://a.arc"].type == "warcinfo" and sum(r.type == "revisit" for r in got.values()) == 3
+    alone = {r.url: r.type for r in W.to_warc(spark.createDataFrame(rows, W.RECORD), 100).collect()}
+    assert alone == {"filedesc://a.arc": "warcinfo", "ftp://a/": "resource", "HTTP://a/": "response", "dns:a": "resource",
+                     "http://b/#page_id=x": "response"}
+
+
 # ---- co-training ----------------------------------------------------------
 
 def test_co_training(spark):
