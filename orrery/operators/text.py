@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from orrery.functions import text as TX
 from orrery.operators.ordered import dense_index, running_sums
 from orrery.operators.skew import fanout_join
-from orrery.session import cut_lineage
+from orrery.session import written
 
 
 def corpus_documents(documents: DataFrame) -> DataFrame:
@@ -150,13 +150,13 @@ def nearest_documents(weights: DataFrame, every: int = 20, k: int = 10, rest: fl
     remaining terms. Where the k-th lower bound does not even exceed the
     remaining norm, documents without a leading term may be among the k: such
     asked documents go through all their terms."""
-    weights = cut_lineage(weights.select("doc_id", "term", "weight"))  # read by every step
+    weights = written(weights.select("doc_id", "term", "weight"))  # read by every step
     w = F.col("weight")
     down = Window.partitionBy("doc_1").orderBy(w.desc(), "term")
     asked = weights.where(F.col("doc_id") % every == 0).select(F.col("doc_id").alias("doc_1"), "term", w.alias("weight")) \
         .withColumn("left", F.lit(1.0) - F.sum(w * w).over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow))) \
         .withColumn("leads", (F.col("left") + w * w > rest * rest) | (F.row_number().over(down) == 1))
-    asked = cut_lineage(asked.select("doc_1", "term", F.col("weight").alias("w1"), "left", "leads"))
+    asked = written(asked.select("doc_1", "term", F.col("weight").alias("w1"), "left", "leads"))
     bound = asked.where("leads").groupBy("doc_1").agg(F.sqrt(F.greatest(F.min("left"), F.lit(0.0))).alias("rest"))
     every_doc = weights.select(F.col("doc_id").alias("doc_2"), "term", w.alias("w2"))
 
@@ -166,11 +166,11 @@ def nearest_documents(weights: DataFrame, every: int = 20, k: int = 10, rest: fl
             F.sum(F.col("w1") * F.col("w2")).alias("low"), F.sum(F.col("w2") * F.col("w2")).alias("seen"))
 
     best = Window.partitionBy("doc_1").orderBy(F.col("low").desc(), "doc_2")
-    led = cut_lineage(sums(asked.where("leads")))
+    led = written(sums(asked.where("leads")))
     floors = led.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k) \
         .groupBy("doc_1").agg(F.min("low").alias("floor"), F.count(F.lit(1)).alias("n"))
     slack = F.lit(1e-6)  # equal at six decimals is a tie
-    floors = cut_lineage(bound.join(floors, "doc_1", "left").withColumn("sure", F.coalesce((F.col("n") == k) & (F.col("floor") > F.col("rest") + slack), F.lit(False))))
+    floors = written(bound.join(floors, "doc_1", "left").withColumn("sure", F.coalesce((F.col("n") == k) & (F.col("floor") > F.col("rest") + slack), F.lit(False))))
     high = F.col("low") + F.col("rest") * F.sqrt(F.greatest(F.lit(1.0) - F.col("seen"), F.lit(0.0)))
     open_ = led.join(floors.where("sure"), "doc_1").where(high >= F.col("floor") - slack).select("doc_1", "doc_2", "low")
     more = open_.join(asked.where("not leads").select("doc_1", "term", "w1"), "doc_1").join(every_doc, ["doc_2", "term"]) \
@@ -184,7 +184,7 @@ def nearest_documents(weights: DataFrame, every: int = 20, k: int = 10, rest: fl
 
 class Corpus:
     """The text relations of one corpus, built lazily. What is read twice is
-    written once to the shared checkpoint folder: the counts of tokens (for the
+    written once to the shared folder: the counts of tokens (for the
     stems and with them), the stems of distinct tokens, and the term
     frequencies (for the vocabulary and the weights)."""
 
@@ -193,7 +193,7 @@ class Corpus:
 
     @cached_property
     def token_counts(self):
-        return cut_lineage(token_counts(tokens(self.docs)))
+        return written(token_counts(tokens(self.docs)))
 
     @cached_property
     def tokens(self):
@@ -201,7 +201,7 @@ class Corpus:
 
     @cached_property
     def stems(self):
-        return cut_lineage(stem_map(self.token_counts))
+        return written(stem_map(self.token_counts))
 
     @cached_property
     def stemmed(self):
@@ -209,7 +209,7 @@ class Corpus:
 
     @cached_property
     def tf(self):
-        return cut_lineage(term_frequencies(self.stemmed))
+        return written(term_frequencies(self.stemmed))
 
     @cached_property
     def vocab(self):
