@@ -1,10 +1,10 @@
-"""Text operators (T1–T11): tokens, stems, vocabulary, TF-IDF, cosine.
+"""Text operators (T1–T11): sentences, tokens, stems, vocabulary, TF-IDF, cosine.
 
-Plan shape: tokens are produced and filtered inside one projection
-(regex + hash-set stop words), then immediately counted per (doc, token)
-with map-side combine. Everything after that works on distinct
-(doc, token) rows, so heavy hitters never travel as individual tokens.
-Stems are computed once per distinct token and joined back.
+Plan shape: tokens are produced and filtered inside one projection (regex +
+hash-set stop words). Documents per token are counted with map-side combine and
+stems worked out once per distinct token; only tokens of stems that can reach
+the vocabulary are counted per document, so heavy hitters never travel as
+individual tokens and rare ones not at all.
 """
 
 from __future__ import annotations
@@ -60,30 +60,41 @@ def stopwords_removed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", n.cast("bigint").alias("n_removed")).where(F.col("n_removed") > 0)
 
 
-def token_counts(toks: DataFrame) -> DataFrame:
-    """``(doc_id, token, tf, last_pos)``: one row per distinct token of a doc."""
-    return toks.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"),
-                                                F.max("pos").alias("last_pos"))
+def token_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(token, n_docs)``: documents that have each token. A document's tokens
+    are made distinct where its text is read, so only counts are shuffled."""
+    each = docs.select(F.explode(F.array_distinct(TX.token_array(F.col(text_col)))).alias("token"))
+    return each.groupBy("token").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def stem_map(counts: DataFrame) -> DataFrame:
-    """``(token, stem)`` for each distinct token, stemmed once (T4)."""
-    return TX.with_stem(counts.select("token").distinct())
+def stem_map(token_docs: DataFrame) -> DataFrame:
+    """``(token, n_docs, stem)`` for each distinct token, stemmed once (T4)."""
+    return TX.with_stem(token_docs)
 
 
-def stem_to_word(stemmed: DataFrame) -> DataFrame:
-    """Last full word seen for each stem in corpus order."""
-    return stemmed.groupBy("stem").agg(
-        F.max_by("token", F.struct("doc_id", "last_pos")).alias("word"))
+def stem_to_word(toks: DataFrame, stems: DataFrame) -> DataFrame:
+    """Last full word seen for each stem in corpus order (T5, A14): the last
+    place of each token, then of each stem."""
+    last = toks.groupBy("token").agg(F.max(F.struct("doc_id", "pos")).alias("last"))
+    return last.join(stems.select("token", "stem"), "token").groupBy("stem").agg(F.max_by("token", "last").alias("word"))
 
 
-def term_frequencies(stemmed: DataFrame, drop_stopword_stems: bool = True) -> DataFrame:
-    """``(doc_id, term, tf)`` with stems as terms; stems that are stop words
-    are dropped as the vectoriser's own stop-word step did."""
-    tf = stemmed.groupBy("doc_id", F.col("stem").alias("term")).agg(F.sum("tf").alias("tf"))
+def term_frequencies(toks: DataFrame, terms: DataFrame, drop_stopword_stems: bool = True) -> DataFrame:
+    """``(doc_id, term, tf)`` of the tokens in ``terms`` (token, stem), with
+    stems as terms; stems that are stop words are dropped as the vectoriser's
+    own stop-word step did."""
     if drop_stopword_stems:
-        tf = tf.where(~F.col("term").isin(*TX.stopwords()))
-    return tf
+        terms = terms.where(~F.col("stem").isin(*TX.stopwords()))
+    return toks.select("doc_id", "token").join(terms.select("token", F.col("stem").alias("term")), "token") \
+        .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def likely_terms(stems: DataFrame, docs: DataFrame, min_df: float) -> DataFrame:
+    """The rows of ``stems`` whose stem may be in ``min_df`` of the documents:
+    its tokens' document counts add up to at least that."""
+    n = docs.agg(F.count(F.lit(1))).scalar()
+    often = stems.groupBy("stem").agg(F.sum("n_docs").alias("most")).withColumn("n", n).where(F.col("most") >= min_df * F.col("n"))
+    return stems.join(often.select("stem"), "stem", "left_semi").select("token", "stem")
 
 
 def vocabulary(tf: DataFrame, docs: DataFrame, min_df: float = 0.2, max_df: float = 0.8, max_features: int | None = None) -> DataFrame:
@@ -183,33 +194,32 @@ def nearest_documents(weights: DataFrame, every: int = 20, k: int = 10, rest: fl
 
 
 class Corpus:
-    """The text relations of one corpus, built lazily. What is read twice is
-    written once to the shared folder: the counts of tokens (for the
-    stems and with them), the stems of distinct tokens, and the term
-    frequencies (for the vocabulary and the weights)."""
+    """The text relations of one corpus, built lazily. The (document, token)
+    pairs are never shuffled: the first reading of the texts counts documents
+    per token, the second one keeps the tokens whose stem can be frequent
+    enough for the vocabulary. What is read twice is written once to the
+    shared folder: the stems, and the frequencies of likely terms."""
 
     def __init__(self, docs: DataFrame, min_df=0.2, max_df=0.8, max_features: int | None = None):
         self.docs, self.min_df, self.max_df, self.max_features = docs, min_df, max_df, max_features
 
-    @cached_property
-    def token_counts(self):
-        return written(token_counts(tokens(self.docs)))
-
     @cached_property
     def tokens(self):
         return tokens(self.docs)
 
     @cached_property
     def stems(self):
-        return written(stem_map(self.token_counts))
+        return written(stem_map(token_documents(self.docs)))
 
     @cached_property
-    def stemmed(self):
-        return self.token_counts.join(self.stems, "token")
+    def words(self):
+        """Stem to word (T5)."""
+        return stem_to_word(self.tokens, self.stems)
 
     @cached_property
     def tf(self):
-        return written(term_frequencies(self.stemmed))
+        terms = written(likely_terms(self.stems, self.docs, self.min_df))
+        return written(term_frequencies(self.tokens, terms))
 
     @cached_property
     def vocab(self):

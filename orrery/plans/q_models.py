@@ -130,7 +130,7 @@ def cluster_terms(spark, sf_dir):
     c, assign, _ = _text_clusters(spark, sf_dir)
     cw = TP.centre_weights(c.weights, assign)
     top = TP.top_terms(cw, n=6)
-    words = TXT.stem_to_word(c.stemmed)
+    words = c.words
     return (top.join(words, top.term == words.stem)
             .select("cluster", F.col("term_rank").cast("bigint").alias("term_rank"), "term", "word",
                     r6(F.col("weight")).alias("weight")))
@@ -162,7 +162,7 @@ def cluster_report(spark, sf_dir):
     titles = nth.join(c.docs.select("doc_id", "title"), "doc_id").select(
         "cluster", F.lit("title").alias("kind"), F.col("cum_one").cast("bigint").alias("nth"), F.col("title").alias("entry"))
     top = TP.top_terms(TP.centre_weights(c.weights, assign), n=6)
-    words = TXT.stem_to_word(c.stemmed)
+    words = c.words
     terms = top.join(words, top.term == words.stem).select(
         "cluster", F.lit("term").alias("kind"), F.col("term_rank").cast("bigint").alias("nth"), F.col("word").alias("entry"))
     return titles.unionByName(terms).join(size, "cluster").select("cluster", "n_docs", "kind", "nth", "entry")
@@ -247,7 +247,7 @@ def lda_topics(spark, sf_dir):
     vocab = spark.createDataFrame(list(enumerate(terms)), "term_index int, term string")
     topics = model.describeTopics(6).select(
         "topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("pos", "tw"))
-    words = TXT.stem_to_word(c.stemmed)
+    words = c.words
     return (topics.select("topic", (F.col("pos") + 1).alias("term_rank"),
                           F.col("tw.termIndices").alias("term_index"),
                           F.col("tw.termWeights").alias("weight"))

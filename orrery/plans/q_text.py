@@ -46,12 +46,12 @@ def tokens(spark, sf_dir):
 
 @query("stem_vocab", ops="T4", sql=SQL_TEXT + "SELECT token, stem FROM stm")
 def stem_vocab(spark, sf_dir):
-    return TXT.stem_map(corpus(spark, sf_dir).token_counts)
+    return TXT.stem_map(TXT.token_documents(corpus(spark, sf_dir).docs)).select("token", "stem")
 
 
 @query("stem_to_word", ops="T5 A14", sql=SQL_TEXT + "SELECT stem, word FROM s2w")
 def stem_to_word(spark, sf_dir):
-    return TXT.stem_to_word(corpus(spark, sf_dir).stemmed)
+    return corpus(spark, sf_dir).words
 
 
 @query("vocabulary", ops="T6", sql=SQL_TEXT + "SELECT term, df FROM vocab")

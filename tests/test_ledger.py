@@ -111,7 +111,7 @@ def test_t1_tokenizer_example(spark):
     df = spark.createDataFrame([(1, "she looked at her father's arm.")], "doc_id long, text string")
     toks = [r["token"] for r in TXT.tokens(df).orderBy("pos").collect()]
     assert toks == ["looked", "father", "'s", "arm"]
-    st = TXT.stem_map(TXT.token_counts(TXT.tokens(df)))
+    st = TXT.stem_map(TXT.token_documents(df))
     assert dict(rows(st, "token", "stem"))["looked"] == "look"
 
 
