@@ -14,11 +14,14 @@ Interpolated estimate, with context h, suffix g of an n-gram and discount D:
 modified: D is D1, D2 or D3+ by the count; else one D per order. The lowest
 order is mixed with a uniform distribution.
 
-Bound: of each language and order, n-grams of which ``keep`` times the count
-reaches the sum of counts are stored, so at most ``keep`` of them, whatever the
-input. gamma(h) is what the stored ones leave, so probabilities still add up to
-one. Stored: the 64-bit hashes of n-grams, sorted, with their log
-probabilities, and the hashes of contexts, sorted, with log gamma.
+Every counted n-gram is stored: the 64-bit hashes of n-grams, sorted, with their
+log probabilities, and the hashes of contexts, sorted, with log gamma. They stand
+in blocks of about ``rows`` n-grams, as many blocks as the counts ask for. A block
+has, of a share of the languages, the n-grams of orders 1 and 2 and those of higher
+orders whose two symbols before the last fall in its shard. An n-gram's whole chain
+of suffixes and contexts is then in one block: a block scores its share of the
+n-grams exactly, and the sums of the blocks add up to the score of a text. One
+block at a time is on the driver and in a broadcast.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.common import find, in_small_batches, mix
+from orrery.llm.common import find, in_small_batches, mix, saved
 
 ORDER = 4
 START, END, SPACE = 2, 3, 32
@@ -176,17 +179,26 @@ def count_ngrams(texts: DataFrame, kind, passes=None, flush: int = 1 << 20) -> D
     return rows.groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
-def _order_table(grams: DataFrame, k: int, keep: int) -> DataFrame:
-    """Stored n-grams of order k with their count and their context's sum."""
-    # a context has at most 65536 continuations; the sums of a language are joined
+def _order_table(grams: DataFrame, k: int) -> DataFrame:
+    """N-grams of order k with their count and their context's sum."""
+    # a context has at most 65536 continuations
     context = F.shiftrightunsigned("code", _BITS) if k > 1 else F.lit(0)
-    sums = grams.groupBy("lang").agg(
-        F.sum("n").alias("total"), *[F.sum((F.col("n") == i).cast("long")).alias(f"n{i}") for i in (1, 2, 3, 4)],
-        F.count(F.lit(1)).alias("types"))
-    with_sum = grams.withColumn("h", context) \
-        .withColumn("of_h", F.sum("n").over(Window.partitionBy("lang", "h")))
-    return with_sum.join(sums, "lang").where(F.col("n") * keep >= F.col("total")) \
-        .select("lang", F.lit(k).alias("k"), "code", "n", "of_h", "total", "n1", "n2", "n3", "n4", "types")
+    return grams.withColumn("h", context) \
+        .select("lang", F.lit(k).alias("k"), "code", "n", F.sum("n").over(Window.partitionBy("lang", "h")).alias("of_h"))
+
+
+# the shard of an n-gram, by the two symbols before its last one
+_PRIME, _OF_FIRST, _OF_SECOND = 65521, 40503, 30011
+
+
+def _part_column():
+    symbol = [F.shiftrightunsigned("code", _BITS * i).bitwiseAND(F.lit(0xFFFF)) for i in (1, 2)]
+    return (symbol[1] * _OF_FIRST + symbol[0] * _OF_SECOND) % _PRIME
+
+
+def _part(code: np.ndarray) -> np.ndarray:
+    symbol = [(code >> np.uint64(_BITS * i)) & np.uint64(0xFFFF) for i in (1, 2)]
+    return (symbol[1] * np.uint64(_OF_FIRST) + symbol[0] * np.uint64(_OF_SECOND)) % np.uint64(_PRIME)
 
 
 class Model:
@@ -215,6 +227,28 @@ class Model:
         return sum(x.nbytes for part in (self.keys, self.logp, self.contexts, self.loggamma) for x in part)
 
 
+def row_keys() -> list:
+    """Two hashes of (doc_id, lang, text), nulls told from values."""
+    of = [F.isnull(c) for c in ("doc_id", "lang", "text")] + [F.col(c) for c in ("doc_id", "lang", "text")]
+    return [F.xxhash64(F.lit(i), *of).alias(f"key{i}") for i in (1, 2)]
+
+
+def add_blocks(first: DataFrame, others: list, sums: list) -> DataFrame:
+    """``first`` (key1, key2, the columns ``sums``, more) with the sums that the
+    other blocks have for the same rows added. Rows that repeat have equal sums."""
+    if not others:
+        return first
+    rest = others[0].withColumn("block", F.lit(0))
+    for i, o in enumerate(others[1:], 1):
+        rest = rest.union(o.withColumn("block", F.lit(i)))
+    rest = rest.groupBy("key1", "key2", "block").agg(*[F.max(c).alias(c) for c in sums]) \
+        .groupBy("key1", "key2").agg(*[F.sum(c).alias(f"more_{c}") for c in sums])
+    zero = F.lit(0.0)
+    whole = {c: F.when(F.col(c).isNotNull() | F.col(f"more_{c}").isNotNull(),
+                       F.coalesce(F.col(c), zero) + F.coalesce(F.col(f"more_{c}"), zero)) for c in sums}
+    return first.join(rest, ["key1", "key2"], "left").withColumns(whole).drop(*[f"more_{c}" for c in sums])
+
+
 def packed(models: dict) -> dict:
     """Plain arrays, for a broadcast variable: tasks need not have this module."""
     return {lang: vars(m) for lang, m in models.items()}
@@ -247,32 +281,68 @@ def discounts(n1, n2, n3, n4, modified: bool) -> tuple:
     return min(max(d1, 0.05), 1.0), min(max(d2, 0.05), 1.95), min(max(d3, 0.05), 2.9)
 
 
-def fit(counts: DataFrame, modified: bool, keep: int = 1 << 18) -> dict:
-    """Language -> Model from (lang, code, n). The driver receives at most
-    ``keep`` rows of each language and order."""
+class Store:
+    """The n-grams of all languages, in blocks: a group of languages and a
+    shard of their higher orders each."""
+
+    def __init__(self, grams: DataFrame, stats: DataFrame, modified: bool, groups: int, shards: int):
+        self.grams, self.stats, self.modified, self.groups, self.shards = grams, stats, modified, groups, shards
+
+    def __len__(self) -> int:
+        return self.groups * self.shards
+
+    def langs(self) -> list:
+        return sorted(r["lang"] for r in self.stats.select("lang").distinct().collect())
+
+    def block(self, i: int) -> tuple:
+        """Language -> Model of block i, and what ``log_probabilities`` takes as its shard."""
+        group, shard = divmod(i, self.shards)
+        mine = F.pmod(F.xxhash64("lang"), F.lit(self.groups)) == group
+        stats = {(r["lang"], r["k"]): r for r in self.stats.where(mine).collect()}
+        got = self.grams.where(mine & ((F.col("k") < 3) | (_part_column() % self.shards == shard))).toArrow()
+        names = sorted({lang for lang, _ in stats})
+        number = {lang: j for j, lang in enumerate(names)}
+        coded = got.column("lang").combine_chunks().dictionary_encode()
+        if hasattr(coded, "combine_chunks"):
+            coded = coded.combine_chunks()
+        of = np.array([number[x] for x in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy()] if len(got) else np.zeros(0, np.int64)
+        place = of * (ORDER + 1) + got.column("k").to_numpy()
+        order = np.argsort(place, kind="stable")
+        cols = {c: got.column(c).to_numpy()[order] for c in ("code", "n", "of_h")}
+        ranked, models = place[order], {}
+        for lang in names:
+            models[lang] = Model()
+            for k in range(1, ORDER + 1):
+                lo, hi = np.searchsorted(ranked, number[lang] * (ORDER + 1) + k + np.arange(2))
+                _add_order(models[lang], k, {c: v[lo:hi] for c, v in cols.items()}, stats[lang, k], self.modified)
+        return models, (shard, self.shards)
+
+
+def fit(counts: DataFrame, modified: bool, rows: int = 1 << 21) -> Store:
+    """The models of all languages from (lang, code, n)."""
     tables, grams = [], counts.select("lang", "code", "n")
     for k in range(ORDER, 0, -1):
-        tables.append(_order_table(grams, k, keep))
+        tables.append(_order_table(grams, k))
         if k > 1:
             suffix = F.col("code").bitwiseAND(F.lit((1 << _BITS * (k - 1)) - 1))
             grams = grams.groupBy("lang", suffix.alias("code")).agg(F.count(F.lit(1)).alias("n"))
-    models: dict = {}
-    for k, t in zip(range(1, ORDER + 1), reversed(tables), strict=True):
-        got = t.toArrow()
-        langs = np.array(got.column("lang").to_pylist(), object)
-        cols = {c: got.column(c).to_numpy() for c in ("code", "n", "of_h", "total", "n1", "n2", "n3", "n4", "types")}
-        for lang in sorted(set(langs)):
-            mine = langs == lang
-            _add_order(models.setdefault(lang, Model()), k, {c: v[mine] for c, v in cols.items()}, modified)
-    return models
-
-
-def _add_order(m: Model, k: int, t: dict, modified: bool) -> None:
+    every = tables[0]
+    for t in tables[1:]:
+        every = every.union(t)
+    every = saved(every)
+    stats = saved(every.groupBy("lang", "k").agg(
+        *[F.sum((F.col("n") == i).cast("long")).alias(f"n{i}") for i in (1, 2, 3, 4)], F.count(F.lit(1)).alias("types")))
+    low, high = stats.agg(*[F.coalesce(F.sum(F.when(x, F.col("types"))), F.lit(0)) for x in (F.col("k") < 3, F.col("k") > 2)]).first()
+    groups = max(1, -(-low // rows))
+    return Store(every, stats, modified, groups, max(1, -(-high // (groups * rows))))
+
+
+def _add_order(m: Model, k: int, t: dict, stats, modified: bool) -> None:
     code, n, of_h = t["code"].view(np.uint64), t["n"].astype(float), t["of_h"].astype(float)
-    d = np.array((0.0, *discounts(*(float(t[c][0]) for c in ("n1", "n2", "n3", "n4")), modified)))
+    d = np.array((0.0, *discounts(*(float(stats[c]) for c in ("n1", "n2", "n3", "n4")), modified)))
     left = np.maximum(n - d[np.minimum(n, 3).astype(int)], 0) / of_h
     if k == 1:
-        m.floor = -float(np.log(t["types"][0] + 1.0))
+        m.floor = -float(np.log(stats["types"] + 1.0))
     context = code >> np.uint64(_BITS) if k > 1 else np.zeros(len(code), np.uint64)
     h, at = np.unique(context, return_inverse=True)
     gamma = np.maximum(1 - np.bincount(at, left, len(h)), 1e-9)
@@ -286,9 +356,9 @@ def _add_order(m: Model, k: int, t: dict, modified: bool) -> None:
     m.loggamma.append(np.log(gamma)[oc].astype(np.float32))
 
 
-def log_probabilities(models: list, texts: list, kind):
+def log_probabilities(models: list, texts: list, kind, shard: tuple = (0, 1)):
     """For each text: its number of symbols (with the end), and per model the
-    sum of log probabilities."""
+    sum of log probabilities of the n-grams of that shard."""
     total, sums = np.zeros(len(texts), np.int64), np.zeros((len(models), len(texts)))
     for codes, owner in ngrams(texts, kind):
         if not len(codes):
@@ -301,6 +371,9 @@ def log_probabilities(models: list, texts: list, kind):
         distinct = ranked[new]
         lo, hi = owner[0], owner[-1] + 1
         total[lo:hi] += np.bincount(owner - lo, minlength=hi - lo)
+        here = np.flatnonzero(_part(distinct) % np.uint64(shard[1]) == shard[0])
         for i, m in enumerate(models):
-            sums[i, lo:hi] += np.bincount(owner - lo, m.score(distinct)[place], hi - lo)
+            logp = np.zeros(len(distinct))
+            logp[here] = m.score(distinct[here])
+            sums[i, lo:hi] += np.bincount(owner - lo, logp[place], hi - lo)
     return total, sums

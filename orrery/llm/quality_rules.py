@@ -6,9 +6,8 @@ words lie in 3-word windows that the text has twice or more.
 
 Perplexity: each language has a modified Kneser-Ney character model, counted
 over all documents of the language that pass the base rules and whose share of
-symbols is small. Documents are scored by the model of their own language
-(their n-grams are among those counted; at four symbols a document's own share
-of a count is small). A language's band is the median of its documents' mean
+symbols is small. All counted n-grams are stored. Documents are scored by the
+model of their own language (their n-grams are among those counted). A language's band is the median of its documents' mean
 log probability, of all that pass the base rules, plus and minus ``width``
 times the scaled median deviation of that side: texts that the model finds too
 odd are above the upper perplexity bound, texts of endless repeats below the
@@ -95,40 +94,53 @@ def base_failed(c: dict, min_words: int, max_repeat: float):
 
 
 def quality_rules(docs: DataFrame, min_words: int = 50, max_repeat: float = 0.5, max_symbols: float = 0.1,
-                  width: float = 12.0, keep: int = 1 << 18) -> DataFrame:
+                  width: float = 12.0, block_rows: int = 1 << 21) -> DataFrame:
     """doc_id, the counts, base_failed, log_perplexity (natural, a symbol), the
-    bounds of its language, and kept: one row per row of ``docs``."""
+    bounds of its language, and kept: one row per row of ``docs``. Each block of
+    ``block_rows`` n-grams of the models is a pass over the texts."""
     rows = id_text_columns(docs, "lang")
 
     def passes(texts):
         c = base_counts([t.encode("utf-8") for t in texts], Powers())
         return ~base_failed(c, min_words, max_repeat) & (c["n_symbols"] <= max_symbols * c["n_words"])
 
-    models = kn.fit(saved(kn.count_ngrams(rows, kn.shapes, passes)), modified=True, keep=keep)
-    sent = docs.sparkSession.sparkContext.broadcast(kn.packed(models))
-
-    def score(batches):
-        import pyarrow as pa
-
-        powers, models = Powers(), kn.unpacked(sent.value)
-        for b in in_small_batches(batches, 4 << 20):
-            langs = b.column(2).to_pylist()
-            c = base_counts([t or b"" for t in utf8(b.column(1))], powers)
-            entropy = np.full(b.num_rows, np.nan)
-            texts = b.column(1).to_pylist()
-            for lang in dict.fromkeys(langs):
-                if lang in models:
-                    mine = np.array([i for i, x in enumerate(langs) if x == lang and texts[i]], np.int64)
-                    if len(mine):
-                        n, sums = kn.log_probabilities([models[lang]], [texts[i] for i in mine], kn.shapes)
-                        entropy[mine] = -sums[0] / n
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), *(pa.array(c[x]) for x in COUNTS),
-                 pa.array(base_failed(c, min_words, max_repeat)), pa.array(entropy, from_pandas=True)],
-                ["doc_id", "lang", *COUNTS, "base_failed", "log_perplexity"])
-
-    scored = saved(rows.mapInArrow(score, "doc_id long, lang string, " + ", ".join(f"{c} long" for c in COUNTS)
-                                   + ", base_failed boolean, log_perplexity double"))
+    store = kn.fit(saved(kn.count_ngrams(rows, kn.shapes, passes)), modified=True, rows=block_rows)
+    keyed = rows.select("*", *kn.row_keys())
+
+    def sums_of(block, with_counts):
+        """A pass over the texts: log_sum of the block's n-grams, null if it has not the language."""
+        models, shard = store.block(block)
+        sent = docs.sparkSession.sparkContext.broadcast(kn.packed(models))
+
+        def score(batches):
+            import pyarrow as pa
+
+            powers, models = Powers(), kn.unpacked(sent.value)
+            for b in in_small_batches(batches, 4 << 20):
+                langs, texts = b.column(2).to_pylist(), b.column(1).to_pylist()
+                log_sum, symbols = np.full(b.num_rows, np.nan), np.zeros(b.num_rows, np.int64)
+                for lang in dict.fromkeys(langs):
+                    if lang in models:
+                        mine = np.array([i for i, x in enumerate(langs) if x == lang and texts[i]], np.int64)
+                        if len(mine):
+                            symbols[mine], sums = kn.log_probabilities([models[lang]], [texts[i] for i in mine], kn.shapes, shard)
+                            log_sum[mine] = sums[0]
+                out = {"key1": b.column(3), "key2": b.column(4), "log_sum": pa.array(log_sum, from_pandas=True),
+                       "symbols": pa.array(symbols.astype(float))}
+                if with_counts:
+                    c = base_counts([t or b"" for t in utf8(b.column(1))], powers)
+                    out |= {"doc_id": b.column(0), "lang": b.column(2), **{x: pa.array(c[x]) for x in COUNTS},
+                            "base_failed": pa.array(base_failed(c, min_words, max_repeat))}
+                yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
+
+        kind = "key1 long, key2 long, log_sum double, symbols double"
+        if with_counts:
+            kind += ", doc_id long, lang string, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean"
+        return saved(keyed.mapInArrow(score, kind))
+
+    # a row's symbols are counted in the blocks that have its language: as often as there are shards
+    summed = kn.add_blocks(sums_of(0, True), [sums_of(i, False) for i in range(1, len(store))], ["log_sum", "symbols"])
+    scored = summed.withColumn("log_perplexity", -F.col("log_sum") * store.shards / F.nullif("symbols", F.lit(0.0)))
     good = scored.where("not base_failed and log_perplexity is not null")
     spark = docs.sparkSession
 

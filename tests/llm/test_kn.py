@@ -54,30 +54,72 @@ class BruteKN:
 TEXTS = ["the cat sat on the mat", "the dog ate the catalogue", "a  cat; a dog 12", "théâtre 日本😀", "", "on and on and on"]
 
 
+def sums_over_blocks(store, lang, texts, kind):
+    n, total, seen = None, 0, 0
+    for i in range(len(store)):
+        models, shard = store.block(i)
+        if lang in models:
+            n, sums = kn.log_probabilities([models[lang]], texts, kind, shard)
+            total, seen = total + sums[0], seen + 1
+    assert seen == store.shards
+    return n, total
+
+
 @pytest.mark.parametrize("modified", [True, False])
-def test_model_equals_definition(spark, modified):
+@pytest.mark.parametrize("rows", [1 << 21, 40])
+def test_model_equals_definition(spark, modified, rows):
     df = frame(spark, [("x", t, 1) for t in TEXTS] + [("y", "other words", 1), (None, "left out", 1), ("x", None, 1)],
                "lang string, text string, n int").repartition(3)
-    m = kn.fit(kn.count_ngrams(df, kn.shapes), modified)
-    assert set(m) == {"x", "y"}
+    store = kn.fit(kn.count_ngrams(df, kn.shapes), modified, rows)
+    assert store.langs() == ["x", "y"] and (len(store) == 1) == (rows > 40) and (store.shards > 1) == (rows == 40)
     want = BruteKN(TEXTS, kn.shapes, modified)
     tests = [*TEXTS[:5], "unseen catamaran", "zq!"]
-    n, sums = kn.log_probabilities([m["x"]], tests, kn.shapes)
-    for t, k, s in zip(tests, n, sums[0]):
+    n, sums = sums_over_blocks(store, "x", tests, kn.shapes)
+    for t, k, s in zip(tests, n, sums):
         grams = padded(t, kn.shapes)
         assert k == len(grams)
         assert s == pytest.approx(sum(math.log(want.p(g)) for g in grams), rel=1e-5)
 
 
-def test_bound_keeps_probabilities_whole(spark):
+def test_every_counted_ngram_is_stored(spark):
+    """Above 2^18 different 4-grams, most of them counted once."""
     rnd = random.Random(1)
-    texts = ["".join(rnd.choice("abcdefgh ") for _ in range(300)) for _ in range(10)]
-    m = kn.fit(kn.count_ngrams(frame(spark, [("x", t) for t in texts], "lang string, text string"), kn.letters), True, keep=40)["x"]
-    assert all(len(k) <= 40 for k in m.keys)
+    texts = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20000)) for _ in range(30)]
+    store = kn.fit(kn.count_ngrams(frame(spark, [("x", t) for t in texts], "lang string, text string"), kn.shapes), True, 1 << 17)
+    want = Counter(g for t in texts for g in padded(t, kn.shapes))
+    want = {sum(v << 16 * (3 - i) for i, v in enumerate(g)) for g in want}
+    assert len(want) > 1 << 18 and len(store) > 1
+    keys = np.concatenate([store.block(i)[0]["x"].keys[3] for i in range(len(store))])
+    assert len(keys) == len(want)
+    assert set(keys.tolist()) == set(kn._hash(np.array(sorted(want), np.uint64), 4).tolist())
+    codes = {kn.START, kn.END, *map(ord, "abcdefghijklmnopqrstuvwxyz")}
     h = [ord(c) for c in "abc"]
-    codes = np.array([sum(v << 16 * (3 - i) for i, v in enumerate([*h, c])) for c in [*map(ord, "abcdefgh "), kn.END]], np.uint64)
-    assert np.exp(m.score(codes)).sum() < 1.0001  # what is missing is the share of unseen symbols
-    assert np.exp(m.score(codes)).sum() > 0.8
+    codes = np.array([sum(v << 16 * (3 - i) for i, v in enumerate([*h, c])) for c in sorted(codes - {kn.START})], np.uint64)
+    shard = int(kn._part(codes[:1])[0]) % store.shards
+    assert 0.95 < np.exp(store.block(shard)[0]["x"].score(codes)).sum() < 1.0001  # missing: unseen symbols
+
+
+def test_blocks_change_nothing(spark):
+    rnd = random.Random(3)
+    words = {"aa": "kato mira solun beda".split(), "bb": "xyrr quoz wytt zerk".split(), "cc": "mun tep wok lar".split()}
+    rows = [(i, " ".join(rnd.choice(words[x]) for _ in range(60)), x) for i, x in enumerate(["aa", "bb", "cc"] * 40)]
+    rows += [rows[0], (None, rows[1][1], "aa"), (7, None, "aa"), (8, "", None), (9, "12 !", "bb")]
+    docs = frame(spark, rows, "doc_id long, text string, lang string")
+    def ids(size):
+        return sorted(map(repr, identify(docs, train(docs, block_rows=size)).selectExpr("doc_id", "lang_pred", "round(score, 6)", "round(cross_entropy, 6)").collect()))
+    def rules(size):
+        return sorted(map(repr, quality_rules(docs, block_rows=size).selectExpr("doc_id", "n_words", "round(log_perplexity, 6)", "kept").collect()))
+    assert ids(60) == ids(1 << 21) and rules(60) == rules(1 << 21) and len(rules(60)) == len(rows)
+
+
+def test_lower_band_rejects(spark):
+    rnd = random.Random(6)
+    good = [" ".join("".join(rnd.choice("aeioubdfgklmnprst") for _ in range(rnd.randint(3, 8))) for _ in range(150)) for _ in range(60)]
+    dull = " ".join("a" * rnd.randint(20, 200) for _ in range(80))
+    docs = frame(spark, [(i, t, "aa") for i, t in enumerate([*good, dull])], "doc_id long, text string, lang string")
+    rows = {r.doc_id: r for r in quality_rules(docs).collect()}
+    assert all(rows[i].kept for i in range(60))
+    assert not rows[60].base_failed and not rows[60].kept and rows[60].log_perplexity < rows[60].lower_bound
 
 
 def test_pieces_of_long_texts_change_nothing():
