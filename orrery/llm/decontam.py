@@ -19,13 +19,18 @@ ceil((n - e) / (e + 1)) successive words of the item at least, and n - e words
 of it in all. Candidates are verified by exact semi-global edit distance.
 
 Items go in blocks of at most ``BLOCK_CHARS`` characters; each block is one
-pass over the documents. Items of fewer than ``min_item_words`` words are too
-short to tell and are left out; null texts have no words. doc_id is the key:
-rows that repeat an id share their items. Extra columns are ignored.
+pass over the documents. Items of fewer than five words allow no edit, so only
+the whole item matches; items without a word match nothing. Whoever finds short
+items too common to tell can leave out those of fewer than ``min_item_words``.
+Null texts have no words. doc_id is the key: rows that repeat an id share their
+items. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import logging
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +43,8 @@ _WORD = np.zeros(256, bool)
 _WORD[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = True
 _WORD[128:] = True
 PAD = np.uint64(0)
+_A_WORD = re.compile(r"[A-Za-z0-9\x80-\U0010ffff]+")
+_LOG = logging.getLogger(__name__)
 
 
 def words_of(texts: list, powers: Powers, size: int = 1 << 20):
@@ -289,16 +296,26 @@ class Index:
 
 
 def _pieces(text: str, overlap: int, size: int = 1 << 22):
-    """Parts of a long text; each has the last ``overlap`` blank-separated
-    words of the one before. Yields (start, part)."""
-    at = 0
-    while len(text) - at > size:
-        part = text[at:at + size]
-        cut = max(part.rfind(" "), part.rfind("\n"))
-        part = part[:cut] if cut > size // 2 else part
-        yield at, part
-        tail = part.rsplit(None, overlap)
-        at += min(len(part), max(1, len(tail[0]))) if len(tail) > overlap else len(part)
+    """Parts of a long text that end between words; each has the last
+    ``overlap`` words of the one before. Yields (start, part). Parts of very
+    long words are longer, so that each has more than twice the overlap."""
+    at, most = 0, size
+    while len(text) - at > most:
+        cut = at + most
+        while cut < len(text) and _A_WORD.match(text, cut):  # to the end of a word
+            cut = _A_WORD.match(text, cut).end()
+        back = min(64 * overlap, most)
+        while True:
+            tail = [m.start() for m in _A_WORD.finditer(text, cut - back, cut)]
+            if len(tail) > 2 * overlap or back == most:
+                break
+            back = min(4 * back, most)
+        if len(tail) <= 2 * overlap:
+            # few words, or none: a longer part
+            most *= 2
+            continue
+        yield at, text[at:cut]
+        at, most = tail[-overlap], size
     yield at, text[at:]
 
 
@@ -319,17 +336,30 @@ def item_blocks(items: DataFrame, min_item_words: int, similarity: float, recall
         if use:
             index = Index([got[i]["item_id"] for i in use], [words[i] for i in use], similarity, sampled)
             index.build(recall, walks)
+            _LOG.info("block %d of %d: %d items, recall %.4f, %d of %d lengths verified whole", b + 1, blocks, len(use),
+                      index.recall, len(index.whole), len(index.words))
             yield index
 
 
+def _merged(found: list) -> list:
+    """Of overlapping stretches of one text and item, as two parts may have,
+    the one of fewest edits."""
+    out: list = []
+    for x in sorted(found, key=lambda x: (x[0], x[1], x[3], x[4])):
+        if out and out[-1][:2] == x[:2] and x[3] < out[-1][4]:
+            out[-1] = min(out[-1], x, key=lambda y: y[2:])
+        else:
+            out.append(x)
+    return out
+
+
 HITS = "doc_id long, item_id long, edits int, first_word long, end_word long"
 
 
 def contaminations(docs: DataFrame, items: DataFrame, similarity: float = 0.8, recall: float = 0.995,
-                   sampled: int = 3, walks: int = 6, min_item_words: int = 5) -> DataFrame:
+                   sampled: int = 3, walks: int = 24, min_item_words: int = 1) -> DataFrame:
     """(doc_id, item_id, edits, first_word, end_word): the stretches found,
-    word numbers counted within the document (or its part of four million
-    characters that holds them)."""
+    word numbers counted within the document."""
     spark = docs.sparkSession
     found = spark.createDataFrame([], HITS)
     for index in item_blocks(items, min_item_words, similarity, recall, sampled, walks):
@@ -344,15 +374,21 @@ def contaminations(docs: DataFrame, items: DataFrame, similarity: float = 0.8, r
             powers, kind = Powers(), pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("edits", pa.int32()),
                                                 ("first_word", pa.int64()), ("end_word", pa.int64())])
             for b in in_small_batches(batches, 6 << 20):
-                ids, parts = [], []
-                for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                ids, texts, parts = b.column(0).to_pylist(), [], []
+                for i, t in enumerate(b.column(1).to_pylist()):
                     for _, part in _pieces(t or "", longest):
-                        ids.append(i)
+                        texts.append(i)
                         parts.append(part)
                 h, owner = words_of(parts, powers)
-                first = np.searchsorted(owner, np.arange(len(parts)))
-                rows = [(ids[t], item, edits, a - int(first[t]), z - int(first[t]))
-                        for t, item, edits, a, z in index.search(h, owner, len(parts))]
+                first = np.searchsorted(owner, np.arange(len(parts) + 1))
+                # where part k has its first word if counted from the start of its document
+                before = np.zeros(len(parts), np.int64)
+                for k in range(1, len(parts)):
+                    if texts[k] == texts[k - 1]:
+                        before[k] = before[k - 1] + first[k] - first[k - 1] - longest
+                found = [(texts[t], item, edits, a + int(before[t] - first[t]), z + int(before[t] - first[t]))
+                         for t, item, edits, a, z in index.search(h, owner, len(parts))]
+                rows = [(ids[i], *x) for i, *x in _merged(found)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kind)], schema=kind)
 

@@ -106,11 +106,38 @@ def test_prefilter_loses_nothing():
 
 
 def test_pieces_cover_and_overlap():
-    text = " ".join("w%d" % i for i in range(5000))
-    parts = list(D._pieces(text, 20, 1000))
-    assert all(text[a:a + len(p)] == p for a, p in parts) and parts[-1][0] + len(parts[-1][1]) == len(text)
-    for (a, p), (b, q) in zip(parts, parts[1:]):
-        assert len(text[b:a + len(p)].split()) >= 20
+    for text in (" ".join("w%d" % i for i in range(5000)), "-".join("w%d" % i for i in range(5000)),
+                 "--".join("é%d" % i + "x" * (i % 7 * 90) for i in range(900)), "a" * 3000 + " b " + "c" * 5000, "." * 9000, "x" * 9000):
+        parts = list(D._pieces(text, 20, 1000))
+        assert all(text[a:a + len(p)] == p for a, p in parts) and parts[-1][0] + len(parts[-1][1]) == len(text)
+        assert parts[0][0] == 0
+        for (a, p), (b, _) in zip(parts, parts[1:]):
+            assert a < b and len(words(text[b:a + len(p)])) == 20  # whole words, as many as the overlap
+            assert words(text[a:b]) + words(text[b:]) == words(text[a:])
+
+
+def test_long_text_without_blanks(spark):
+    """A passage over the cut of a long text, its words parted by dashes."""
+    item = ["passage%d" % i for i in range(20)]
+    filler = "--".join("f%07d" % i for i in range(1 << 19))
+    size = (1 << 22) - 90
+    text = filler[:size] + "--" + "--".join(item) + "--" + filler[:300000]
+    got = D.contaminations(frame(spark, [(1, text), (2, filler)], "doc_id long, text string"),
+                           frame(spark, [(5, " ".join(item))], "item_id long, text string")).collect()
+    first = len(words(filler[:size]))
+    assert [tuple(r) for r in got] == [(1, 5, 0, first, first + 20)]
+
+
+def test_short_items(spark):
+    items = [(1, "alpha beta gamma delta"), (2, "one, two"), (3, "Zebra"), (4, "!?"), (5, ""), (6, "un deux trois")]
+    docs = [(1, "so Alpha beta; gamma-delta ends"), (2, "alpha beta gamma"), (3, "one two zebra zebras"), (4, "!? un deux quatre trois"),
+            (5, "alpha beta gamma gamma delta one one two"), (6, None), (7, "")]
+    got = {r.doc_id: list(r.item_ids) for r in D.decontaminate(frame(spark, docs, "doc_id long, text string"),
+                                                               frame(spark, items, "item_id long, text string")).collect()}
+    want = {i: [j for j, x in items if words(x) and " " + " ".join(words(x)) + " " in " " + " ".join(words(t)) + " "] for i, t in docs}
+    assert got == want and want[1] == [1] and want[3] == [2, 3] and want[5] == [2]
+    longer = D.decontaminate(frame(spark, docs, "doc_id long, text string"), frame(spark, items, "item_id long, text string"), min_item_words=5)
+    assert not any(r.contaminated for r in longer.collect())
 
 
 def test_rows(spark):
