@@ -259,21 +259,107 @@ def test_pseudo_labels_from_all_rows(spark):
     q = rng.integers(0, 2, 1300)
     t, m = (np.c_[q * 4 + rng.normal(size=1300), rng.normal(size=1300)].astype(np.float32) for _ in range(2))
     pool = frame(spark, [(i, t[i].tolist(), m[i].tolist()) for i in range(300, 1300)], "doc_id long, t array<float>, m array<float>").repartition(3)
-    models, steps = C.co_train((t[:300], m[:300]), q[:300], pool, 4, 0.1, 0.9, 40)  # fits on 40 rows
-    taken = np.zeros(1000, bool)
+    aside = (t[:100], m[:100]), q[:100]
+    models, steps = C.co_train((t[100:300], m[100:300]), q[100:300], aside, pool, 4, 0.1, 40)  # fits on 40 rows
+    turn, open_ = C._turn(np.arange(300, 1300)), np.ones(1000, bool)
     for k in range(1, len(steps) + 1):
-        left, labels = C._picks(steps[:k], (t[300:], m[300:]), 0.9)
+        left, labels, weights = C._picks(steps[:k], (t[300:], m[300:]), turn)
         for i, x in enumerate(labels):
             odds = steps[k - 1][0][i].odds((t, m)[i][300:])
-            for value, n in ((0.0, round(100 * (1 - q[:300].mean()))), (1.0, round(100 * q[:300].mean()))):
-                open_ = np.sort(odds[~taken] if value == 0 else -odds[~taken])
-                sure = min(n, int((open_ <= -np.log(9)).sum()))  # so many are asked for and sure enough
-                chosen = (x == value).sum()
-                assert 0.9 * sure - 3 <= chosen <= n + 5
+            for value, sign, part in ((0.0, 1, 1 - q[100:300].mean()), (1.0, -1, q[100:300].mean())):
+                asked = round(0.1 * open_.sum() * part)
+                chosen = x == value
+                assert 0.8 * asked - 3 <= chosen.sum() <= asked + 3  # fewer where the views contradict
+                assert np.isin(np.flatnonzero(chosen), np.flatnonzero(open_)[np.argsort(sign * odds[open_])[:asked + 3]]).all()
+                belief = 1 / (1 + np.exp(sign * steps[k - 1][1][i].odds(odds[chosen][:, None])))
+                assert np.allclose(weights[i][chosen], np.maximum((belief - part) / (1 - part), 0), atol=1e-6)
             assert (x[~np.isnan(x)] == q[300:][~np.isnan(x)]).mean() > 0.9
-        assert not (taken & left).any()
-        taken = ~left
-    assert len(steps) == 4 and taken.sum() > 300
+        assert not (~open_ & left).any()
+        open_ = left
+    assert len(steps) == 4 and open_.sum() < 700
+
+
+def test_cuts_take_so_many_rows():
+    from orrery.llm import cotrain as C
+
+    rng = np.random.default_rng(4)
+    for size in (1, 3, 400):
+        count = np.zeros(C._BINS, np.int64)
+        count[rng.integers(0, C._BINS, 30)] = rng.integers(1, size + 1, 30)
+        for low, high in ((0, 0), (1, 2), (5, 9)):
+            (a, pa_), (z, pz) = C._cuts(count, low, high)
+            if (a, z) != (-1, C._BINS):
+                assert count[:a].sum() + pa_ * count[a] == pytest.approx(low) and 0 <= pa_ < 1 and a < z
+                assert count[z + 1:].sum() + pz * count[z] == pytest.approx(high) and 0 <= pz < 1
+    assert C._cuts(np.bincount([7] * 50, minlength=C._BINS), 5, 20) == C._NONE  # all alike
+    assert C._cuts(np.zeros(C._BINS, np.int64), 0, 0) == C._NONE
+
+
+def test_trust_and_balance():
+    from orrery.llm import cotrain as C
+
+    rng = np.random.default_rng(5)
+    y = (rng.random(400) < 0.8).astype(float)
+    odds = np.round(rng.normal(size=400) + y, 1)
+    area = ((odds[y > 0][:, None] > odds[y < 1]) + 0.5 * (odds[y > 0][:, None] == odds[y < 1])).mean()
+    error = np.sqrt(401 / (12 * y.sum() * (400 - y.sum())))
+    assert C.trust(odds, y) == pytest.approx(2 * (area - 2 * error) - 1) and C.trust(-odds, y) == 0
+    assert C.trust(np.zeros(400), y) == C.trust(odds, np.ones(400)) == C.trust(odds[:0], y[:0]) == 0
+    label, weight = (rng.random(50) < 0.5).astype(float), rng.random(50)
+    got = C._balanced(label, weight, 0.7)
+    assert got[label > 0].sum() == pytest.approx(0.7 * got.sum()) and (got <= weight).all()
+    assert not C._balanced(np.ones(3), np.ones(3), 0.7).any() and len(C._balanced(label[:0], weight[:0], 0.7)) == 0
+
+
+def test_content_slots():
+    import re
+
+    from orrery.llm import cotrain as C
+
+    texts = ["Sun tree  sun", "", "A b\nab ab", "sun", "日本 x"]
+    data = [x.encode() for x in texts]
+    first = np.cumsum([0, *(len(x) + 1 for x in data)])[:-1]
+    got = C.content_slots(np.frombuffer(b"\n".join(data) + b"\n", np.uint8), first, C.Powers())
+    words = [re.findall(rb"[^\x20\x09-\x0d]+", x.lower()) for x in data]
+    slot = {}
+    for w in {w for ws in words for w in ws}:
+        one = C.content_slots(np.frombuffer(w + b"\n", np.uint8), np.array([0]), C.Powers())[0]
+        slot[w] = int(np.flatnonzero(one[:C.WORD_SLOTS])[0])
+    for row, ws in zip(got, words, strict=True):
+        want = np.bincount([slot[w] for w in ws], minlength=C.WORD_SLOTS) / max(len(ws), 1)
+        assert np.allclose(row[:C.WORD_SLOTS], want)
+    grams = got[:, C.WORD_SLOTS:].sum(1)
+    assert np.allclose(grams[[0, 2, 3, 4]], 1)
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_both_views_hand_out_labels(spark, sf):
+    """On the given tables: labels by view and round, and how each view does on labels held out."""
+    from orrery.llm import cotrain as C
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{x}.parquet") for x in ("documents", "labels"))
+    rows = C._measured(docs).join(labels.groupBy("doc_id").agg({"quality": "min"}).toDF("doc_id", "q"), "doc_id", "left").toArrow()
+    q = rows.column("q").to_numpy(zero_copy_only=False).astype(float)
+    ids = rows.column("doc_id").to_numpy()
+    views = tuple(C._matrix(rows, c) for c in "tm")
+    known = ~np.isnan(q)
+    held, aside = known & (C._turn(ids) < 0.25), known & (C._turn(ids) >= 0.8)
+    learnt = known & ~held & ~aside
+    apart = tuple(v[aside] for v in views), q[aside]
+    pool = frame(spark, [(int(ids[i]), views[0][i].tolist(), views[1][i].tolist()) for i in np.flatnonzero(~known)],
+                 "doc_id long, t array<float>, m array<float>")
+    models, steps = C.co_train(tuple(v[learnt] for v in views), q[learnt], apart, pool, 5, 0.05, 20_000)
+    assert len(steps) == 5
+    for k in range(1, 6):
+        _, given, _ = C._picks(steps[:k], tuple(v[~known] for v in views), C._turn(ids[~known]))
+        counts = [[int((x == value).sum()) for value in (0, 1)] for x in given]
+        print(sf, "round", k, "labels 0 and 1 of text and metadata view:", counts)
+        assert all(sum(c) > 0 for c in counts)
+    for i, name in enumerate(("text", "metadata")):
+        before, after = (float(((m[i].odds(views[i][held]) >= 0) == (q[held] > 0)).mean()) for m in (steps[0][0], models))
+        print(sf, name, "right of", int(held.sum()), "held out: before", round(before, 4), "after", round(after, 4))
+        assert after >= before - 0.02
+    assert ((models[0].odds(views[0][held]) >= 0) == (q[held] > 0)).mean() > 0.95
 
 
 # ---- language model -------------------------------------------------------
