@@ -384,7 +384,8 @@ def test_windows_score_every_symbol_once():
     w = {c: v + (0.05 * rng.standard_normal(v.shape)).astype(np.float32) for c, v in A.new_weights().items()}
     length = np.array([0, 1, 5, A.WINDOW, A.WINDOW + 1, 200, 0, 33])
     s = rng.integers(0, A.HEAD + 2, int(length.sum()))
-    got = A.score_sequences(w, s, length, block=3)
+    starts = rng.random(A.OUT) < 0.4
+    got, boundary = A.score_sequences(w, s, length, starts, block=3)
     at = 0
     for n in length:
         seq, before = s[at:at + n], np.append(A.START, s[at:at + n])[:n]
@@ -395,7 +396,10 @@ def test_windows_score_every_symbol_once():
             x[0, :len(part)] = part
             h, _ = A.hidden(w, x)
             j = i - k * A.STRIDE
-            assert got[at + i] == pytest.approx(A.log_probs(w, h[0, j:j + 1], seq[i:i + 1])[0], abs=1e-4)
+            z = h[0, j].astype(float) @ w["out"] + w["out0"]
+            z -= np.log(np.exp(z).sum())
+            assert got[at + i] == pytest.approx(z[seq[i]], abs=1e-3)
+            assert boundary[at + i] == pytest.approx(np.log(np.exp(z[starts]).sum()), abs=1e-3)
             x[0, j + 1:] = 7  # what follows is masked
             assert np.allclose(A.hidden(w, x)[0][0, j], h[0, j], atol=1e-5)
         at += n
@@ -455,7 +459,84 @@ def test_large_logits():
     w["out"] = w["out"] * 20
     top = z.max(1, keepdims=True)
     want = z[[0, 1, 2], y] - top[:, 0] - np.log(np.exp(z - top).sum(1))
-    assert np.allclose(A.log_probs(w, h, y), want, rtol=1e-3, atol=0.1)
+    assert np.allclose(A.log_probs(w, h, y, np.ones(A.OUT))[0], want, rtol=1e-3, atol=0.1)
+
+
+def test_spellings_add_up_to_one():
+    """What may begin a word, and after each beginning its end or its next symbol."""
+    w = A.new_weights(3)
+    w["mix"] = w["mix"] + 0.3
+    starts = np.zeros(A.OUT, bool)
+    starts[:A.HEAD:3] = True
+    starts[[A.REST, A.END]] = True
+    first = np.flatnonzero(starts)
+    lp, boundary = A.score_sequences(w, np.repeat(first, 1), np.ones(len(first), np.int64), starts)
+    assert np.exp(lp - boundary).sum() == pytest.approx(1, abs=1e-3)
+    words = first[first != A.END]
+    nexts = np.flatnonzero(~starts)
+    s = np.stack((np.repeat(words, len(nexts)), np.tile(nexts, len(words))), 1)
+    lp, boundary = (x.reshape(s.shape) for x in A.score_sequences(w, s.ravel(), np.full(len(s), 2), starts))
+    go_on = np.exp(lp[:, 1]).reshape(len(words), -1).sum(1)
+    assert np.allclose(go_on + np.exp(boundary[::len(nexts), 1]), 1, atol=1e-3)
+    known, unseen = np.array([3, 1, 0, 0, 0]), np.log([0.1, 0.2, 0.3, 0.3, 0.1])  # three unseen words, an end of no count
+    total = np.exp(A.mixed(unseen, known, known.sum() + 0.5 * (2 + 1), 0.5)).sum()
+    assert total <= 1 + 1e-9
+
+
+def test_scores_by_definition(spark, monkeypatch):
+    """Scores of short and long documents, one symbol at a time."""
+    import math
+    from collections import Counter
+
+    import sentencepiece
+    from pyspark.sql import functions as F
+
+    model = "/opt/tokenizers/piece_bpe_32k.model"
+    rnd = random.Random(8)
+    words = ["".join(rnd.choice(["ta", "ri", "mo", "sen", "lu"]) for _ in range(rnd.randint(1, 4))) for _ in range(60)]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.choice([2, 9, 40]))) for _ in range(30)] + ["", None, "neu\u3000wort x", "\u200b y", "日本 Q"]
+    docs = frame(spark, list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    kept, fit = {}, A.train
+    monkeypatch.setattr(A, "train", lambda texts, of, *more: kept.update(w=fit(texts, of, *more), of=of) or kept["w"])
+    got = {r.doc_id: r.score for r in A.score_documents(docs, F.col("doc_id") % 5 != 1, model).collect()}
+    w, of, cutter = kept["w"], kept["of"], sentencepiece.SentencePieceProcessor(model_file=model)
+    cut = lambda x: cutter.encode(x)
+    tokens = lambda t: [x.decode() for x in (t or "").encode().lower().split()]
+    seen, pieces = Counter(), Counter()
+    for i, t in enumerate(texts):
+        if i % 5 != 1:
+            seen.update([*tokens(t), None])
+            pieces.update(p for x in tokens(t) for p in cut(x))
+    floor = sum(seen.values()) + 0.5 * (len(seen) + 1)
+    begins = [cutter.id_to_piece(i).startswith("\u2581") for i in range(cutter.vocab_size())]
+    rest = {k: sum(pieces[i] + 0.5 for i in range(len(of)) if of[i] == k) for k in (A.REST, A.TAIL)}
+    starts = [A.REST, A.END, *(int(of[i]) for i in range(len(of)) if of[i] < A.HEAD and begins[i])]
+    for i, t in enumerate(texts):
+        s = [int(of[p]) for x in tokens(t) for p in cut(x)] + [A.END]
+        dist = []
+        for k in range(len(s)):
+            window = 0 if k < A.WINDOW else -(-(k - A.WINDOW + 1) // A.STRIDE)
+            x = [A.START, *s][window * A.STRIDE:][:A.WINDOW]
+            x[0] = A.START if window == 0 else s[window * A.STRIDE - 1]
+            h, _ = A.hidden(w, np.array([x + [A.START] * (A.WINDOW - len(x))]))
+            z = h[0, k - window * A.STRIDE].astype(float) @ w["out"] + w["out0"]
+            dist.append(np.exp(z - z.max()) / np.exp(z - z.max()).sum())
+        score, k = 0.0, 0
+        for x in [*tokens(t), None]:
+            ids = cut(x) if x is not None else []
+            if x is None:
+                p = dist[k][A.END] / dist[k][starts].sum()
+            elif not ids or not begins[ids[0]] or any(begins[j] for j in ids[1:]):
+                p, k = None, k + len(ids)
+            else:
+                p = 1 / dist[k][starts].sum()
+                for j in ids:
+                    p *= dist[k][of[j]] * ((pieces[j] + 0.5) / rest[int(of[j])] if of[j] >= A.HEAD else 1)
+                    k += 1
+                p *= dist[k][starts].sum()
+            share = (seen[x] + 0.5) / floor * (1 if seen[x] or p is None else p)
+            score += math.log10(0.5 * (p or 0) + 0.5 * share)
+        assert got[i] == pytest.approx(score, rel=1e-3, abs=1e-3), (i, t)
 
 
 def test_scores(spark, monkeypatch):
