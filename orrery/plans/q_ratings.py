@@ -11,6 +11,7 @@ from orrery.operators import ratings as R
 from orrery.operators.ordered import dense_index
 from orrery.plans.common import (SQL_DENSE, SQL_RATINGS, SQL_SPLIT, Inputs, query, r6,
                                  with_ctes)
+from orrery.session import written
 
 RD = with_ctes(SQL_RATINGS, SQL_DENSE)
 RS = with_ctes(SQL_RATINGS, SQL_SPLIT)
@@ -252,18 +253,31 @@ cands AS (SELECT t.user_id, t.item_key AS target, tr.neighbour, tr.neighbour_rat
 
 
 def _dense_cf(spark, sf_dir):
-    d = Inputs(spark, sf_dir)
-    train, test = d.split(dense=True)
+    """Train, test, candidates and the codes of the items (item_key, code).
+    Items go by their number in key order, so that ties are the keys' own and a
+    pair of them takes little room in the join with the similarities."""
+    dense = written(Inputs(spark, sf_dir).dense, "dense")  # read by the codes and by the split
+    codes = written(dense_index(dense, "item_key", "code").withColumn("code", F.col("code").cast("int")), "codes")
+    coded = written(R.hash_split(dense, "user_id", "item_key").join(codes, "item_key")
+                    .select("user_id", F.col("code").alias("item_key"), "rating", "is_test"), "coded")
+    train, test = coded.where(~F.col("is_test")).drop("is_test"), coded.where("is_test").drop("is_test")
     sim = CF.item_similarity(train, item="item_key")
     cands = CF.candidates(train, test, sim, item="item_key")
-    return train, test, cands
+    return train, test, cands, codes
+
+
+def _named(df, codes, *cols):
+    """``df`` with keys in place of the codes in ``cols``."""
+    for c in cols:
+        df = df.withColumnRenamed(c, "code").join(codes, "code").drop("code").withColumnRenamed("item_key", c)
+    return df
 
 
 @query("candidate_neighbours", ops="J7 J8 J11 R3 P5", sql=_CANDS + """
 SELECT user_id, target, neighbour, neighbour_rating, round(similarity, 6) AS similarity FROM cands""")
 def candidate_neighbours(spark, sf_dir):
-    _, _, cands = _dense_cf(spark, sf_dir)
-    return cands.select("user_id", "target", "neighbour", "neighbour_rating",
+    _, _, cands, codes = _dense_cf(spark, sf_dir)
+    return _named(cands, codes, "target", "neighbour").select("user_id", "target", "neighbour", "neighbour_rating",
                         r6(F.col("similarity")).alias("similarity"))
 
 
@@ -281,16 +295,16 @@ pred AS (SELECT user_id, target,
 @query("neighbour_prediction_desc", ops="W4 A21 R4", sql=_pred_sql("DESC") + """
 SELECT user_id, target, round(prediction, 6) AS prediction FROM pred WHERE prediction <> 0""")
 def neighbour_prediction_desc(spark, sf_dir):
-    _, _, cands = _dense_cf(spark, sf_dir)
-    p = CF.neighbour_prediction(cands, 5, "desc")
+    _, _, cands, codes = _dense_cf(spark, sf_dir)
+    p = _named(CF.neighbour_prediction(cands, 5, "desc"), codes, "target")
     return p.select("user_id", "target", r6(F.col("prediction")).alias("prediction"))
 
 
 @query("neighbour_prediction_asc", ops="W4 A21 R4 (ledger Q6)", sql=_pred_sql("ASC") + """
 SELECT user_id, target, round(prediction, 6) AS prediction FROM pred WHERE prediction <> 0""")
 def neighbour_prediction_asc(spark, sf_dir):
-    _, _, cands = _dense_cf(spark, sf_dir)
-    p = CF.neighbour_prediction(cands, 5, "asc")
+    _, _, cands, codes = _dense_cf(spark, sf_dir)
+    p = _named(CF.neighbour_prediction(cands, 5, "asc"), codes, "target")
     return p.select("user_id", "target", r6(F.col("prediction")).alias("prediction"))
 
 
@@ -306,9 +320,9 @@ scored AS (
 
 
 def _dense_scored(spark, sf_dir):
-    train, test, cands = _dense_cf(spark, sf_dir)
+    train, test, cands, codes = _dense_cf(spark, sf_dir)
     pred = CF.neighbour_prediction(cands, 5, "desc")
-    return CF.blend(test, train, pred, item="item_key")
+    return _named(CF.blend(test, train, pred, item="item_key"), codes, "item_key")
 
 
 @query("blended_prediction", ops="J4 R5 R6", sql=_BLEND + """
