@@ -1,7 +1,10 @@
 """Term vectors, words of terms, the grid of ALS fits and Lloyd steps at sizes that used to fail."""
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from orrery.operators import als as ALSO
 from orrery.operators import text as TXT
 from orrery.operators import topics as TP
 
@@ -30,3 +33,44 @@ def test_words_of_some_terms(spark):
     every = {r.stem: r.word for r in c.words.collect()}
     got = {r.stem: r.word for r in c.words_of(terms).collect()}
     assert got and got == {t.term: every[t.term] for t in terms.collect()}
+
+
+def test_grid_is_that_of_single_spark_ml_fits(spark):
+    """Every fit side by side has the errors of Spark ML's own; pairs of unknown users or items are dropped."""
+    rng = np.random.default_rng(5)
+    x, y = rng.random((60, 3)), rng.random((40, 3))
+    cells = [(u, i, float(np.round(x[u] @ y[i] * 4) / 2), bool(rng.random() < .2)) for u in range(60) for i in range(40) if rng.random() < .3]
+    cells += [(900, 3, 2.0, True), (4, 901, 1.0, True)]
+    df = spark.createDataFrame(cells, "user_id int, item_id int, rating double, t boolean")
+    train, test = df.where("not t").drop("t"), df.where("t").drop("t")
+    grid = dict(ranks=[3, 2], iterations=[1, 4], regs=[0.05, 0.3])
+    runs, best_model, best = ALSO.grid_search(train, test, **grid)
+    got = {(r["rank"], r.iterations, r.reg): (r.mse_train, r.mse_test) for r in runs.collect()}
+    assert list(got) == [(rk, it, lam) for it in (1, 4) for rk in (3, 2) for lam in (0.05, 0.3)]
+    for (rk, it, lam), mse in got.items():
+        m = ALSO.fit_als(train, rk, it, lam)
+        assert mse == pytest.approx((ALSO.als_mse(m, train), ALSO.als_mse(m, test)), rel=1e-4)
+    assert best == min(got, key=lambda k: (got[k][0], k)) and best_model().rank == best[0]
+
+
+def test_grid_needs_no_job_for_each_fit(spark):
+    """Jobs grow with the iterations of the longest fits, not with the number of fits."""
+    df = spark.createDataFrame([(u, i, float((u * i) % 5)) for u in range(20) for i in range(10)], "user_id int, item_id int, rating double")
+    fits, one = [], ALSO.fit_als
+    ALSO.fit_als = lambda train, rank, iterations, *a: fits.append(iterations) or one(train, rank, iterations, *a)
+    try:
+        ALSO.grid_search(df, df.limit(0), [2, 3], [1, 2], [0.1, 0.2, 0.3])
+    finally:
+        ALSO.fit_als = one
+    assert fits == [0, 0]
+
+
+def test_rows_of_many_ratings_in_pieces(monkeypatch):
+    rng = np.random.default_rng(6)
+    first, src = np.array([0, 9, 18, 18, 23]), rng.integers(0, 12, 23)
+    table, rating, runs = rng.random((12, 7)).astype(np.float32), rng.random(23), [(2, .1), (2, .3), (3, .2)]
+    whole = ALSO.solved_rows(first, src, rating, table, runs)
+    monkeypatch.setattr(ALSO, "EXPLICIT_CELLS", 14)
+    assert np.allclose(ALSO.solved_rows(first, src, rating, table, runs), whole, rtol=1e-5, atol=1e-6)
+    f = table[src[9:18], 4:].astype(float)
+    assert np.allclose(whole[1, 4:], np.linalg.solve(f.T @ f + .2 * 9 * np.eye(3), f.T @ rating[9:18]), rtol=1e-5)
