@@ -462,6 +462,55 @@ def test_large_logits():
     assert np.allclose(A.log_probs(w, h, y, np.ones(A.OUT))[0], want, rtol=1e-3, atol=0.1)
 
 
+def test_context_needs_no_states():
+    rng = np.random.default_rng(6)
+    w = {c: v + (0.2 * rng.standard_normal(v.shape)).astype(np.float32) for c, v in A.new_weights().items()}
+    x = rng.integers(0, A.OUT + 1, (5, A.WINDOW))
+    lead = A.WINDOW - A.STRIDE
+    assert A.hidden(w, x, lead)[0].shape == (5, A.STRIDE, A.WIDTH)
+    assert np.allclose(A.hidden(w, x, lead)[0], A.hidden(w, x)[0][:, lead:], atol=1e-5)
+
+
+def test_gradient_out_of_range():
+    """Softmax does not change if all logits grow alike, but the exponentials leave the range of 32 bits."""
+    rng = np.random.default_rng(7)
+    w = {c: v + (0.1 * rng.standard_normal(v.shape)).astype(np.float32) for c, v in A.new_weights().items()}
+    x, y = (rng.integers(0, A.OUT, (4, A.WINDOW)) for _ in range(2))
+    far = {**w, "out0": w["out0"] + np.float32(120)}
+    (a, g), (b, h) = A.gradient(w, x, y), A.gradient(far, x, y)
+    assert a == pytest.approx(b, rel=1e-4) and all(np.allclose(g[c], h[c], atol=1e-4) for c in g)
+    states, starts = A.hidden(w, x)[0].reshape(-1, A.WIDTH), rng.random(A.OUT) < 0.4
+    assert np.allclose(A.log_probs(w, states, y.ravel(), starts), A.log_probs(far, states, y.ravel(), starts), atol=1e-3)
+
+
+def test_texts_are_read_once(spark, monkeypatch):
+    """What scoring gets instead of the texts: words, their parts and their counts in the order of the shards' replies."""
+    import sentencepiece
+
+    file = "/opt/tokenizers/piece_bpe_32k.model"
+    cutter = sentencepiece.SentencePieceProcessor(model_file=file)
+    rnd = random.Random(9)
+    texts = [" ".join("w" + str(rnd.randint(0, 300)) for _ in range(n)) for n in (0, 3, 50, 900)] + [None, "é \u65e5\u672c é"]
+    monkeypatch.setattr(A, "PART_BYTES", 1500)
+    packed = A._pack(frame(spark, [(i, t, i != 2) for i, t in enumerate(texts)], "doc_id long, text string, train boolean").coalesce(1)).cache()
+    sent = A._gather(packed, open(file, "rb").read(), cutter.vocab_size(), 5).cache()
+    replies = A._answers(sent, 5).where("batch >= 0").collect()
+    count = {}
+    for i, t in enumerate(texts):
+        for x in (t or "").split():
+            count[x] = count.get(x, 0) + (i != 2)
+    got = {}
+    for row in packed.drop("data").join(sent.where(sent.kind == A.CUT).drop("kind", "shard"), "batch").collect():
+        t = A.Gathered(row.asDict())
+        mine = sorted((r for r in replies if r.batch == row.batch), key=lambda r: r.shard)
+        c = np.concatenate([A._spread(r.counts, np.int64) for r in mine])
+        begin = np.cumsum(t.size) - t.size
+        for part, word in zip(t.part[t.new], t.of[t.new]):
+            ids = t.flat[begin[word]:begin[word] + t.size[word]].tolist()
+            got.setdefault(int(t.ids[part]), []).append((ids, int(c[word])))
+    assert got == {i: [(cutter.encode(x), count[x]) for x in t.split()] for i, t in enumerate(texts) if t}
+
+
 def test_spellings_add_up_to_one():
     """What may begin a word, and after each beginning its end or its next symbol."""
     w = A.new_weights(3)
