@@ -39,3 +39,12 @@ def test_written_tables_leave_no_shuffle(spark):
     assert left(spark, before, 0) == 0
     assert out.count() == 12 and df.count() == 360
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
+def test_the_grid_keeps_one_step_on_disk(spark):
+    top = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    factors = lambda: {d for _, names, _ in os.walk(top) for d in names if d.startswith("factors-")}
+    df, tables, before = cells(spark), factors(), shuffles(spark)
+    runs, _, _ = ALSO.grid_search(df, df, [2, 3], [2, 6], [0.1, 0.2])
+    assert factors() == tables and runs.count() == 8
+    assert left(spark, before, 16) <= 16
