@@ -71,3 +71,15 @@ def test_matches_brute_force(spark, seed, monkeypatch):
 
 def test_empty(spark):
     assert S.remove_repeats(frame(spark, [], "doc_id long, text string"), 50).collect() == []
+
+
+def test_messages_do_not_grow_with_pieces(spark, monkeypatch):
+    """A batch has several pieces, and each sends one message to a shard: one for
+    each piece made as many as pieces times shards."""
+    monkeypatch.setattr(S, "PACK_BYTES", 2000)
+    rnd = random.Random(3)
+    rows = [(i, "".join(rnd.choice("abcdefgh ") for _ in range(900))) for i in range(100)]
+    packed = S.pack(frame(spark, [(i, t, 1) for i, t in rows], "doc_id long, text string, row_key long").coalesce(1), 50)
+    assert packed.count() <= 8
+    sent = S.repeated_minimizers(packed, 50, 40)
+    assert sent.groupBy("batch", "shard").count().where("count > 1").count() == 0 and sent.count() <= 8 * 40
