@@ -81,3 +81,18 @@ def test_half_step_with_a_null_rating(spark):
     items = spark.createDataFrame([(1, [1.0, 2.0]), (2, [3.0, 1.0])], "i int, f array<double>")
     got = {x.u: x.f for x in ALSO.explicit_half_step(r, items, "i", "u", 2, 0.1).collect()}
     assert got[1] == pytest.approx(np.linalg.solve([[10.2, 5.0], [5.0, 5.2]], [2.0, 4.0]).tolist()) and got[2] == [None, None]
+
+
+def test_weighted_sums_in_pieces(monkeypatch):
+    """Rows of few, many and no terms, whatever number is summed up at once."""
+    rng = np.random.default_rng(8)
+    to = np.repeat([0, 2, 3, 7], [1, 40, 3, 3])
+    of, weight, table = rng.integers(0, 6, len(to)), rng.random(len(to)), rng.random((6, 5))
+    want = np.zeros((9, 5))
+    np.add.at(want, to, table[of] * weight[:, None])
+    for cells in (1, 30, 1 << 16):
+        monkeypatch.setattr(ALSO, "SUM_CELLS", cells)
+        got = np.zeros((9, 5))
+        ALSO.weighted_sums(got, to, of, weight, table)
+        ALSO.weighted_sums(got, to[:0], of[:0], weight[:0], table)
+        assert np.allclose(got, want)
