@@ -96,3 +96,29 @@ def test_weighted_sums_in_pieces(monkeypatch):
         ALSO.weighted_sums(got, to, of, weight, table)
         ALSO.weighted_sums(got, to[:0], of[:0], weight[:0], table)
         assert np.allclose(got, want)
+
+
+def test_best_products(monkeypatch):
+    rng = np.random.default_rng(9)
+    u, v = (rng.integers(-3, 4, (m, 3)).astype(np.float32) for m in (7, 50))  # many ties
+    for n in (1, 2, 60):
+        want = [(r, int(c), float(s[c])) for r, s in enumerate(u @ v.T) for c in np.argsort(-s, kind="stable")[:n]]
+        for step in (1, 8, 1024):
+            monkeypatch.setattr(ALSO, "TOP_STEP", step)
+            assert [(int(r), int(c), float(s)) for r, c, s in zip(*ALSO.best_products(u, v, n))] == want
+
+
+def test_top_items_are_those_of_spark_ml(spark, monkeypatch):
+    """Also over several blocks; users without factors and repeated ones as there, an item without a name gives null."""
+    monkeypatch.setattr(ALSO, "TOP_USERS", 3)
+    monkeypatch.setattr(ALSO, "TOP_ITEMS", 5)
+    rng = np.random.default_rng(10)
+    df = spark.createDataFrame([(u, i, float(rng.integers(1, 11)) / 2) for u in range(20) for i in range(30) if rng.random() < .4], "user_id int, item_id int, rating double")
+    m = ALSO.fit_als(df, 3, 4, 0.1)
+    asked = spark.createDataFrame([(1,), (5,), (5,), (12,), (99,)], "user_id int")
+    want = {r.user_id: [(x.item_id, round(x.rating, 4)) for x in r.recommendations] for r in m.recommendForUserSubset(asked, 4).collect()}
+    got = ALSO.top_n(m, 4, asked, "user_id", "item_id").orderBy("user_id", "pos").collect()
+    assert {u: [(r.item_id, round(r.rating, 4)) for r in got if r.user_id == u] for u in want} == want and len(got) == 12
+    names = df.select("item_id").distinct().where("item_id <> %d" % want[5][0][0]).withColumn("p_name", F.concat(F.lit("n"), "item_id"))
+    row = ALSO.top_n_named(m, 2, asked, names, "item_id").where("user_id = 5").first()
+    assert (row.recommend_1, row.recommend_2) == (None, f"n{want[5][1][0]}")
